@@ -153,6 +153,9 @@ def integrate(
 
     Keeps exactly the production rows; a shift without readings has NULL measures.
     """
+    if hot is None:  # measured on the inputs, not on the joined rows
+        machines = production.select("machine_id").unionAll(maintenance.select("machine_id"))
+        hot = skew.has_hot_group(machines, ["machine_id"])
     measured = production.join(aggregate_to_shift(sensor, columns, shifts), SHIFT_KEYS, "left")
     started = measured.withColumn("_shift_start", fn.shift_start("date", "shift", shifts))
     ordered = [*production.columns, *[c for c in started.columns if c not in production.columns]]

@@ -25,12 +25,12 @@ SELECT * EXCLUDE (event_id, status, long_gap) FROM (
     {_TIME} AS timestamp,
     day(ts) BETWEEN 10 AND 15 AND user_id % 3 = 0 AS long_gap,
     CASE WHEN event_type = 'error' THEN 'DOWN' ELSE 'RUNNING' END AS status,
-    CASE WHEN event_id % 7 = 0 OR long_gap THEN NULL WHEN event_id % 211 = 0 THEN -(295.0::DOUBLE + value / 10.0::DOUBLE) ELSE 295.0::DOUBLE + value / 10.0::DOUBLE END AS temperature_k,
-    305.0::DOUBLE + k / 10.0::DOUBLE AS process_temperature_k,
-    CASE WHEN event_id % 11 = 0 OR long_gap THEN NULL WHEN event_id % 211 = 0 THEN 99.0::DOUBLE ELSE value / 20.0::DOUBLE END AS vibration_mm_s,
-    CASE WHEN event_id % 13 = 0 OR long_gap THEN NULL ELSE 5.0::DOUBLE + k / 10.0::DOUBLE END AS pressure_bar,
-    40.0::DOUBLE + k / 5.0::DOUBLE AS torque_nm,
-    1500.0::DOUBLE + value * 5.0::DOUBLE AS rotational_speed_rpm,
+    CASE WHEN event_id % 7 = 0 OR long_gap THEN NULL WHEN event_id % 211 = 0 THEN -(295.0::DOUBLE + value / 9.7::DOUBLE) ELSE 295.0::DOUBLE + value / 9.7::DOUBLE END AS temperature_k,
+    305.0::DOUBLE + k / 9.7::DOUBLE AS process_temperature_k,
+    CASE WHEN event_id % 11 = 0 OR long_gap THEN NULL WHEN event_id % 211 = 0 THEN 99.0::DOUBLE ELSE value / 19.7::DOUBLE END AS vibration_mm_s,
+    CASE WHEN event_id % 13 = 0 OR long_gap THEN NULL ELSE 5.0::DOUBLE + k / 9.7::DOUBLE END AS pressure_bar,
+    40.0::DOUBLE + k / 4.9::DOUBLE AS torque_nm,
+    1500.0::DOUBLE + value * 5.0::DOUBLE / 1.03::DOUBLE AS rotational_speed_rpm,
     k::DOUBLE AS load_pct,
     (event_id % 240)::DOUBLE AS tool_wear_min,
     CASE WHEN event_id % 53 = 0 THEN ' ' || lower(status) || chr(9) ELSE status END AS operating_status,
@@ -59,7 +59,7 @@ SELECT p.* EXCLUDE (user_id, status) FROM (
     CASE WHEN (user_id * 31 + d) % 401 = 0 THEN 'n/a' ELSE CAST(day AS VARCHAR) END AS date, shift,
     ks / 8.0::DOUBLE AS production_rate,
     CAST(CASE WHEN (user_id + d) % 29 = 0 THEN -1 ELSE ks END AS BIGINT) AS production_count,
-    CASE WHEN (user_id + d) % 17 = 0 THEN NULL ELSE 100.0::DOUBLE - ks / (10.0::DOUBLE * n) END AS quality_score,
+    CASE WHEN (user_id + d) % 17 = 0 THEN NULL ELSE 100.0::DOUBLE - ks / (9.7::DOUBLE * n) END AS quality_score,
     480.0::DOUBLE * errors / n AS downtime_minutes,
     CASE WHEN errors = n THEN 'DOWN' WHEN purchases > 0 THEN 'MAINTENANCE' ELSE 'RUNNING' END AS status,
     CASE WHEN user_id % 11 = 0 THEN ' ' || lower(status) ELSE status END AS operating_status

@@ -58,7 +58,7 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     def channel(value: Column, every: int) -> Column:
         return F.when((F.col("event_id") % every == 0) | long_gap, F.lit(None).cast("double")).otherwise(value)
 
-    temperature = 295.0 + F.col("value") / 10.0
+    temperature = 295.0 + F.col("value") / 9.7
     glitch = F.col("event_id") % 211 == 0
     status = F.when(F.col("event_type") == "error", "DOWN").otherwise("RUNNING")
     readings = events(spark, sf_dir).select(
@@ -66,11 +66,11 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(untidy, F.concat(F.lit(" "), F.lower(_machine_type()), F.lit("\t"))).otherwise(_machine_type()).alias("machine_type"),
         _time_text().alias("timestamp"),
         channel(F.when(glitch, -temperature).otherwise(temperature), 7).alias("temperature_k"),
-        (305.0 + F.col("k") / 10.0).alias("process_temperature_k"),
-        channel(F.when(glitch, 99.0).otherwise(F.col("value") / 20.0), 11).alias("vibration_mm_s"),
-        channel(5.0 + F.col("k") / 10.0, 13).alias("pressure_bar"),
-        (40.0 + F.col("k") / 5.0).alias("torque_nm"),
-        (1500.0 + F.col("value") * 5.0).alias("rotational_speed_rpm"),
+        (305.0 + F.col("k") / 9.7).alias("process_temperature_k"),
+        channel(F.when(glitch, 99.0).otherwise(F.col("value") / 19.7), 11).alias("vibration_mm_s"),
+        channel(5.0 + F.col("k") / 9.7, 13).alias("pressure_bar"),
+        (40.0 + F.col("k") / 4.9).alias("torque_nm"),
+        (1500.0 + F.col("value") * 5.0 / 1.03).alias("rotational_speed_rpm"),
         F.col("k").cast("double").alias("load_pct"),
         (F.col("event_id") % 240).cast("double").alias("tool_wear_min"),
         F.when(untidy, F.concat(F.lit(" "), F.lower(status), F.lit("\t"))).otherwise(status).alias("operating_status"),
@@ -104,7 +104,7 @@ def production_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("ks") / 8.0).alias("production_rate"),
         F.when((F.col("user_id") + F.col("d")) % 29 == 0, F.lit(-1)).otherwise(F.col("ks")).cast("bigint").alias("production_count"),
         F.when((F.col("user_id") + F.col("d")) % 17 == 0, F.lit(None).cast("double"))
-        .otherwise(100.0 - F.col("ks") / (10.0 * F.col("n")))
+        .otherwise(100.0 - F.col("ks") / (9.7 * F.col("n")))
         .alias("quality_score"),
         (480.0 * F.col("errors") / F.col("n")).alias("downtime_minutes"),
         F.when(F.col("user_id") % 11 == 0, F.concat(F.lit(" "), F.lower(status))).otherwise(status).alias("operating_status"),
