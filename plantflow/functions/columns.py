@@ -154,8 +154,21 @@ def direction(contribution: Column | str) -> Column:
 
 
 def percent(c: Column | str) -> Column:
-    """A share as text with one decimal, such as 12.5%."""
-    return F.format_string("%.1f%%", as_column(c) * 100.0)
+    """A share as text with one decimal, such as 12.5%, rounded by the exact binary value.
+
+    Twenty times the value is summed with its rounding error, so a value that
+    only looks like a tie (most do) goes to the side it really lies on, and a
+    true tie goes to the even digit.
+    """
+    value = as_column(c) * 100.0
+    large, small = value * 16.0, value * 4.0
+    total = large + small
+    back = total - large
+    error = (large - (total - back)) + (small - back)
+    low = F.floor(total / 2.0).cast("double")
+    over = total - 2.0 * low
+    up = F.when(over == 1.0, (error > 0) | ((error == 0) & (low % 2 == 1))).otherwise(over > 1.0)
+    return F.format_string("%.1f%%", (low + F.when(up, 1.0).otherwise(0.0)) / 10.0)
 
 
 def readable(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from plantflow.config import CHUNK_OVERLAP, CHUNK_WORDS
 from plantflow.functions import columns as fn
 
 MAX_FEATURES = 4096
-SECTION_HEADING = r"^Section\s+\d+[:\-]?\s*.*$"
+SECTION_HEADING = r"(?s)^Section\s+\d+[:\-]?\s*.*$"
 
 
 def english_stop_words(spark: SparkSession) -> list[str]:
@@ -83,28 +83,28 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_
     exchange, whatever the number of pages.
     """
     step = size - overlap
+    last_chunk = F.ceil((F.col("_n") - size) / step).cast("int")
     prepared = (
         pages.withColumn("_lines", _lines(F.col("text")))
         .withColumn("_split", F.transform("_lines", fn.words))
         .withColumn("_words", F.flatten("_split"))
         .withColumn("_line_of", F.flatten(F.transform("_split", lambda ws, i: F.array_repeat(i, F.size(ws)))))
         .withColumn("_n", F.size("_words"))
-        .filter(F.col("_n") > 0)
         .withColumn(
             "_heads",
             F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get(F.col("_lines"), i).rlike(SECTION_HEADING)),
         )
-        .withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.col("_n") - size) / step).cast("int")))))
+        .withColumn("_at", F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), last_chunk)))))
     )
-    start = F.col("chunk_no") * step
+    start = F.col("_at") * step
     count = F.least(F.lit(size), F.col("_n") - start)
     last_line = F.get(F.col("_line_of"), start + count - 1)
     heading = F.array_max(F.filter("_heads", lambda i: i <= last_line))
     return prepared.select(
         "document",
         "page",
-        (F.col("chunk_no") + 1).alias("chunk_no"),
-        F.concat_ws(":", "document", "page", F.col("chunk_no") + 1).alias("chunk_id"),
+        (F.col("_at") + 1).alias("chunk_no"),
+        F.concat_ws(":", "document", "page", F.col("_at") + 1).alias("chunk_id"),
         F.get(F.col("_lines"), heading).alias("section"),
         F.array_join(F.slice("_words", start + 1, count), " ").alias("text"),
         count.alias("word_count"),

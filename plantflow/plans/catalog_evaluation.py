@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantflow.operators import evaluate, score
+from plantflow.plans import sql_tables  # noqa: F401  (defines the common tables)
 from plantflow.plans.registry import common, query, rounded
 from plantflow.sources import star_inputs as inputs
 

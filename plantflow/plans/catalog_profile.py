@@ -331,11 +331,11 @@ def key_union(spark, sf_dir):
 
 @query(
     "distinct_list",
-    "SELECT o_orderpriority, list_sort(list(DISTINCT o_orderstatus)) AS statuses FROM orders GROUP BY o_orderpriority",
+    "SELECT o_orderpriority, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses FROM orders GROUP BY o_orderpriority",
 )
 def distinct_list(spark, sf_dir):
     orders = inputs.table(spark, sf_dir, "orders")
-    return orders.groupBy("o_orderpriority").agg(F.sort_array(F.collect_set("o_orderstatus")).alias("statuses"))
+    return orders.groupBy("o_orderpriority").agg(F.array_join(F.sort_array(F.collect_set("o_orderstatus")), ",").alias("statuses"))
 
 
 @query(

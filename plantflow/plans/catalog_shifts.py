@@ -221,7 +221,7 @@ def event_time_split(spark, sf_dir):
 @query(
     "split_day_overlap",
     """
-SELECT sim_day, list_sort(list(DISTINCT split)) AS splits FROM (
+SELECT sim_day, array_to_string(list_sort(list(DISTINCT split)), ',') AS splits FROM (
   SELECT date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS sim_day, CASE WHEN user_id % 2 = 0 THEN 'train' ELSE 'test' END AS split
   FROM ev WHERE user_id % 2 = 0 OR day(ts) > 20) GROUP BY sim_day HAVING count(DISTINCT split) > 1""",
     ("ev",),
@@ -233,4 +233,5 @@ def split_day_overlap(spark, sf_dir):
         fn.sim_day(F.to_date("ts"), inputs.EVENT_DAYS.start).alias("sim_day"),
         F.when(F.col("user_id") % 2 == 0, "train").when(F.dayofmonth("ts") > 20, "test").alias("split"),
     )
-    return features.overlapping_days(leaky.filter(F.col("split").isNotNull()))
+    found = features.overlapping_days(leaky.filter(F.col("split").isNotNull()))
+    return found.withColumn("splits", F.array_join("splits", ","))
