@@ -1,4 +1,13 @@
 """All registered queries."""
 
-from plantflow.plans import catalog_cleaning, catalog_evaluation, catalog_profile, catalog_shifts, catalog_text, catalog_windows  # noqa: F401
+from plantflow.plans import (  # noqa: F401
+    catalog_cleaning,
+    catalog_decisions,
+    catalog_evaluation,
+    catalog_jobs,
+    catalog_profile,
+    catalog_shifts,
+    catalog_text,
+    catalog_windows,
+)
 from plantflow.plans.registry import QUERIES, SQL  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,14 +41,24 @@ def broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_DEFAULT)))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and cut its lineage there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, named by the cluster in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; only a
-    session without one (a test) gets a folder of its own.
+    Only a session without one (a test) gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="plantflow-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table in the shared folder."""
+    return f"{shared_folder(spark)}/plantflow-{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared checkpoint folder and cut its lineage there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -22,7 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a session-zone timestamp and the JSON counter `k` as an integer."""
-    return table(spark, sf_dir, "events").select(
+    return _event_columns(table(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a streaming frame over the table's files."""
+    schema = table(spark, sf_dir, "events").schema
+    return _event_columns(spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir))
+
+
+def _event_columns(raw: DataFrame) -> DataFrame:
+    return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -52,6 +62,11 @@ def _with_copies(df: DataFrame, rule: Column) -> DataFrame:
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sensor_from_events(events(spark, sf_dir))
+
+
+def sensor_from_events(source: DataFrame) -> DataFrame:
+    """Raw sensor readings from events; row by row, so it also works on a stream."""
     untidy = F.col("event_id") % 53 == 0
     long_gap = F.dayofmonth("ts").between(10, 15) & (F.col("user_id") % 3 == 0)
 
@@ -61,7 +76,7 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     temperature = 295.0 + F.col("value") / 9.7
     glitch = F.col("event_id") % 211 == 0
     status = F.when(F.col("event_type") == "error", "DOWN").otherwise("RUNNING")
-    readings = events(spark, sf_dir).select(
+    readings = source.select(
         _machine_id().alias("machine_id"),
         F.when(untidy, F.concat(F.lit(" "), F.lower(_machine_type()), F.lit("\t"))).otherwise(_machine_type()).alias("machine_type"),
         _time_text().alias("timestamp"),
