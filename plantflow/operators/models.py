@@ -62,8 +62,11 @@ def train_and_score(
 ) -> tuple[dict, DataFrame]:
     """Fit the chosen classifiers on the training split and score every split.
 
-    The encoded rows are materialised once, since every fit reads them many times.
+    The features and the encoded rows are materialised once each, since learning
+    the encoding and every fit read them many times.
     """
+    wanted = dict.fromkeys([*keep, "split", *numeric, *categorical, TARGET])
+    features = durable(features.select(*wanted))
     contract = encode.fit_contract(features, numeric, categorical)
     vectors = durable(assemble(features, contract, keep)).persist()
     fitted, tables = {}, []

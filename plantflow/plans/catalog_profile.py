@@ -9,6 +9,7 @@ from plantflow.operators import encode, evaluate, profile, quality, sampling
 from plantflow.plans import inputs as tables
 from plantflow.plans import sql_tables
 from plantflow.plans.registry import query, rounded
+from plantflow.session import durable
 from plantflow.sources import readers, star_inputs as inputs
 
 _KEY_COLUMNS = ["production_rate", "production_count", "quality_score", "downtime_minutes"]
@@ -42,7 +43,7 @@ round(quantile_cont({c}::DOUBLE, 0.25), {digits}) AS q25, round(quantile_cont({c
 
 @query("numeric_summary", _summary_sql("production_clean", _KEY_COLUMNS), ("production_clean",))
 def numeric_summary(spark, sf_dir):
-    clean = quality.clean_production(inputs.production_raw(spark, sf_dir))
+    clean = durable(quality.clean_production(inputs.production_raw(spark, sf_dir)).select(*_KEY_COLUMNS))
     return profile.numeric_summary(clean, _KEY_COLUMNS, digits=6)
 
 
@@ -90,7 +91,7 @@ def scaler_statistics(spark, sf_dir):
 def scaled_features(spark, sf_dir):
     """Training statistics applied to every split."""
     names = ["production_rate", "quality_score", "vibration_mm_s_mean"]
-    features = tables.feature_table(spark, sf_dir)
+    features = durable(tables.feature_table(spark, sf_dir).select("machine_id", "sim_day", "shift", "split", *names))
     scaled = profile.standardise(features, profile.scaler_statistics(features, names), names)
     return rounded(scaled.select("machine_id", "sim_day", "shift", *names))
 
@@ -104,7 +105,8 @@ _MEDIANS = ["quality_score", "vibration_mm_s_mean", "days_since_last_maintenance
     ("split_features",),
 )
 def train_medians(spark, sf_dir):
-    return rounded(profile.train_medians(tables.feature_table(spark, sf_dir), _MEDIANS))
+    features = durable(tables.feature_table(spark, sf_dir).select("split", *_MEDIANS))
+    return rounded(profile.train_medians(features, _MEDIANS))
 
 
 @query(
@@ -206,7 +208,8 @@ _TYPES = ["CNC", "INJECTION_MOLDER", "PRESS"]
 )
 def one_hot_frozen(spark, sf_dir):
     """0/1 columns for the categories seen in training, applied to all splits."""
-    features = tables.feature_table(spark, sf_dir).select("machine_id", "sim_day", "shift", "split", "machine_type", "operating_status")
+    columns = ["machine_id", "sim_day", "shift", "split", "machine_type", "operating_status"]
+    features = durable(tables.feature_table(spark, sf_dir).select(*columns))
     frozen = encode.train_categories(features, ["machine_type", "operating_status"])
     return encode.one_hot(features, frozen).drop("split")
 
@@ -224,7 +227,7 @@ def one_hot_frozen(spark, sf_dir):
 def missing_flags(spark, sf_dir):
     """Missing flags and training medians for the columns that are NULL in any split."""
     names = ["temperature_k_std", "days_since_last_maintenance", "quality_score_lag1", "production_rate"]
-    features = tables.feature_table(spark, sf_dir)
+    features = durable(tables.feature_table(spark, sf_dir).select("machine_id", "sim_day", "shift", "split", *names))
     contract = encode.fit_contract(features, names)
     filled = encode.flag_and_impute(features, contract.medians, contract.flagged)
     flagged = [c for c in names if c != "production_rate"]
@@ -242,7 +245,8 @@ SELECT machine_id, sim_day, shift, production_rate, round(coalesce(quality_score
 )
 def contract_conform(spark, sf_dir):
     """Test rows rebuilt to the exact training columns and order."""
-    features = tables.feature_table(spark, sf_dir)
+    columns = ["machine_id", "sim_day", "shift", "split", "production_rate", "quality_score_lag1", "operating_status"]
+    features = durable(tables.feature_table(spark, sf_dir).select(*columns))
     contract = encode.fit_contract(features, ["production_rate", "quality_score_lag1"], ["operating_status"])
     test = features.filter(F.col("split") == "test")
     return rounded(encode.apply_contract(test, contract, keep=["machine_id", "sim_day", "shift"]))
