@@ -80,7 +80,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     Files that cannot be read are skipped; it is an error if nothing usable is left.
     """
     files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
-    content = F.decode("content", F.lit("UTF-8"))
+    content = F.col("content").cast("string")
     numbered = files.select(
         F.element_at(F.split("path", "/"), -1).alias("document"), F.posexplode(F.split(content, "\f")).alias("page", "text")
     )
