@@ -94,12 +94,11 @@ def classify_text(
     """
     cleaned = docs.withColumn("_text", clean_text(text))
     train = cleaned.filter(F.col("split") == "train")
-    counts = tx.term_counts(cleaned, id_column, "_text", stop_words, pattern)
     train_counts = tx.term_counts(train, id_column, "_text", stop_words, pattern)
     vocab = tx.vocabulary(train_counts, train, max_features)
     vocab = durable(vocab)
     terms = [r["term"] for r in vocab.select("term").orderBy("term").collect()]  # at most max_features
-    rows = tx.dense_rows(tx.tfidf(counts, vocab, id_column), terms, id_column, "_values")
+    rows = tx.dense_rows(tx.tfidf_of(cleaned, vocab, id_column, "_text", stop_words, pattern), terms, id_column, "_values")
     zeros = F.array_repeat(F.lit(0.0), len(terms))
     labelled = cleaned.select(id_column, "split", F.col(label).cast("string").alias("truth")).join(rows, id_column, "left")
     names = sorted(encode.train_categories(labelled, ["truth"])["truth"])

@@ -73,18 +73,18 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], digits: int = 3, hot:
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """Pearson correlation of every column pair over the rows where both are known, `(a, b, r)`.
 
-    One aggregate; each unordered pair is computed once.
+    One aggregate; each unordered pair is computed once. `corr` itself skips a
+    row where either side is NULL.
     """
     pairs = list(combinations(columns, 2))
 
     def pair_column(name: str, other: str) -> str:
         return f"{name}|{other}"
 
-    def corr(a: str, b: str):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        return F.corr(F.when(both, F.col(a)), F.when(both, F.col(b)))
-
-    totals = df.agg(*[corr(a, b).alias(pair_column(a, b)) for a, b in pairs], *[corr(c, c).alias(pair_column(c, c)) for c in columns])
+    totals = df.agg(
+        *[F.corr(a, b).alias(pair_column(a, b)) for a, b in pairs],
+        *[F.when(F.var_pop(c) > 0, F.lit(1.0)).alias(pair_column(c, c)) for c in columns],
+    )
     rows = []
     for a in columns:
         for b in columns:

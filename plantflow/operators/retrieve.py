@@ -11,6 +11,7 @@ from plantflow import wording
 from plantflow.config import MIN_SCORE, TOP_K
 from plantflow.functions import columns as fn
 from plantflow.operators import text as tx
+from plantflow.session import durable, stored
 from plantflow.sources.sinks import path_exists
 
 TIE_DIGITS = 9
@@ -51,11 +52,16 @@ class Index:
 def build_index(
     pages: DataFrame, stop_words: Sequence[str] = (), max_features: int = tx.MAX_FEATURES, pattern: str | None = None
 ) -> Index:
-    """Chunk the pages and weigh their terms."""
-    chunks = tx.chunk_pages(pages)
+    """Chunk the pages and weigh their terms.
+
+    The chunks and the (limited) vocabulary are materialised, since the
+    vocabulary, the weights and every later lookup read them.
+    """
+    chunks = stored(tx.chunk_pages(pages), "chunks")
     counts = tx.term_counts(chunks, "chunk_id", "text", stop_words, pattern)
-    vocab = tx.vocabulary(counts, chunks, max_features)
-    return Index(chunks, tx.tfidf(counts, vocab, "chunk_id"), vocab, tuple(stop_words), pattern)
+    vocab = durable(tx.vocabulary(counts, chunks, max_features))
+    postings = tx.tfidf_of(chunks, vocab, "chunk_id", "text", stop_words, pattern)
+    return Index(chunks, postings, vocab, tuple(stop_words), pattern)
 
 
 def blank_queries(queries: DataFrame) -> DataFrame:
@@ -77,8 +83,8 @@ def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_sco
     known term has no rows.
     """
     asked = queries.filter(F.size(fn.words("question")) > 0)
-    counts = tx.term_counts(asked, "query_id", "question", index.stop_words, index.pattern)
-    weights = tx.tfidf(counts, index.vocabulary, "query_id").withColumnRenamed("weight", "_query_weight")
+    weights = tx.tfidf_of(asked, index.vocabulary, "query_id", "question", index.stop_words, index.pattern)
+    weights = weights.withColumnRenamed("weight", "_query_weight")
     scores = (
         index.postings.join(weights, "term")
         .groupBy("chunk_id", "query_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from plantflow.config import CHUNK_OVERLAP, CHUNK_WORDS
 from plantflow.functions import columns as fn
@@ -26,10 +26,14 @@ def term_counts(docs: DataFrame, id_column: str, text: str = "text", stop_words:
     Texts are placed by id before they are taken apart, so counting, weighting
     and normalising per id need no further exchange of the many terms.
     """
+    terms = _terms(docs, id_column, text, stop_words, pattern)
+    return terms.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _terms(docs: DataFrame, id_column: str, text: str, stop_words: Sequence[str], pattern: str | None) -> DataFrame:
     found = fn.tokens(text, stop_words, pattern) if pattern else fn.tokens(text, stop_words)
     placed = docs.select(id_column, F.col(text)).repartition(id_column)
-    terms = placed.select(id_column, F.explode(fn.unigrams_and_bigrams(found)).alias("term"))
-    return terms.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return placed.select(id_column, F.explode(fn.unigrams_and_bigrams(found)).alias("term"))
 
 
 def vocabulary(counts: DataFrame, documents: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -53,9 +57,19 @@ def tfidf(counts: DataFrame, vocab: DataFrame, id_column: str) -> DataFrame:
 
     The vocabulary is limited by `max_features`, so it is broadcast.
     """
-    from pyspark.sql import Window as W
+    return _normalised(counts.join(F.broadcast(vocab.select("term", "idf")), "term"), id_column)
+
+
+def tfidf_of(
+    docs: DataFrame, vocab: DataFrame, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None
+) -> DataFrame:
+    """The same weights straight from texts: terms outside the vocabulary go before anything is counted."""
+    known = _terms(docs, id_column, text, stop_words, pattern).join(F.broadcast(vocab.select("term", "idf")), "term")
+    return _normalised(known.groupBy(id_column, "term", "idf").agg(F.count(F.lit(1)).alias("tf")), id_column)
+
 
-    raw = counts.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("_w", F.col("tf") * F.col("idf"))
+def _normalised(counts: DataFrame, id_column: str) -> DataFrame:
+    raw = counts.withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(id_column)))
     return raw.select(id_column, "term", (F.col("_w") / norm).alias("weight"))
 

@@ -131,8 +131,8 @@ def vocabulary(spark, sf_dir):
 def tfidf(spark, sf_dir):
     """Normalised TF-IDF weights over the 200 most frequent terms."""
     notes = _notes(spark, sf_dir)
-    counts = tx.term_counts(notes, "doc_id", "note", STOP, TOKEN)
-    return rounded(tx.tfidf(counts, tx.vocabulary(counts, notes, 200), "doc_id"))
+    vocab = tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200)
+    return rounded(tx.tfidf_of(notes, vocab, "doc_id", "note", STOP, TOKEN))
 
 
 @query(
@@ -145,7 +145,7 @@ def tfidf(spark, sf_dir):
 def tfidf_transform(spark, sf_dir):
     """Weights of new texts under a vocabulary fitted on others."""
     notes = _notes(spark, sf_dir)
-    vocab = tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200)
+    vocab = tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200)  # fitted on notes only
     items = inputs.table(spark, sf_dir, "benchmark").select("item_id", fn.clean_text("text").alias("note"))
     return rounded(tx.tfidf(tx.term_counts(items, "item_id", "note", STOP, TOKEN), vocab, "item_id"))
 

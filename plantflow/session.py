@@ -62,3 +62,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write a frame to the shared checkpoint folder and cut its lineage there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as a Parquet table in the shared folder and read it back.
+
+    For large frames that several steps read: each step then reads only its columns.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
