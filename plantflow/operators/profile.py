@@ -174,4 +174,4 @@ def sigma_bands(df: DataFrame, thresholds: DataFrame, channel: str, key: str = "
         .when(F.col(channel) >= F.col("warning"), "WARNING")
         .when(F.col(channel).isNotNull(), "NORMAL")
     )
-    return df.join(levels, key, "left").withColumn("band", band).drop("warning", "danger")
+    return df.join(skew.checked_broadcast(levels), key, "left").withColumn("band", band).drop("warning", "danger")

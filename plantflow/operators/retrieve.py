@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from plantflow import wording
 from plantflow.config import MIN_SCORE, TOP_K
 from plantflow.functions import columns as fn
-from plantflow.operators import text as tx
+from plantflow.operators import skew, text as tx
 from plantflow.session import durable, stored
 from plantflow.sources.sinks import path_exists
 
@@ -80,11 +80,13 @@ def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_sco
     """`(query_id, chunk_id, score, rank)`: cosine over shared terms, best `top_k`, then the score cut.
 
     Only chunks that share a term with a query are scored. A query without any
-    known term has no rows.
+    known term has no rows. The query weights are measured and broadcast while
+    they are few, so that the index is read where it lies; a larger batch is an
+    ordinary join on the term.
     """
     asked = queries.filter(F.size(fn.words("question")) > 0)
     weights = tx.tfidf_of(asked, index.vocabulary, "query_id", "question", index.stop_words, index.pattern)
-    weights = weights.withColumnRenamed("weight", "_query_weight")
+    weights = skew.checked_broadcast(weights.withColumnRenamed("weight", "_query_weight"))
     scores = (
         index.postings.join(weights, "term")
         .groupBy("chunk_id", "query_id")
@@ -95,7 +97,7 @@ def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_sco
 
 def retrieve(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
     """Ranked evidence with its source: `(query_id, rank, document, page, section, evidence, score)`."""
-    found = similar_chunks(queries, index, top_k, min_score)
+    found = skew.checked_broadcast(similar_chunks(queries, index, top_k, min_score))
     sources = index.chunks.select("chunk_id", "document", "page", "section", F.col("text").alias("evidence"))
     return found.join(sources, "chunk_id").select("query_id", "rank", "document", "page", "section", "evidence", "score")
 

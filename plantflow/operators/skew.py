@@ -15,14 +15,18 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plantflow.session import broadcast_rows, durable, group_rows
 
-BINS = 1024
+MAX_BINS = 65536
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Whether any group has more rows than one task should hold."""
-    limit = limit or group_rows(df.sparkSession)
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest group: one counting job over the key columns."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return not sizes.filter(F.col("_n") > limit).isEmpty()
+    return sizes.agg(F.max("_n")).first()[0] or 0
+
+
+def has_hot_group(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any group has more rows than one task should hold."""
+    return largest_group(df, keys) > group_rows(df.sparkSession)
 
 
 def checked_broadcast(df: DataFrame) -> DataFrame:
@@ -99,19 +103,27 @@ def over_segments(
 
 
 def _with_bins(df: DataFrame, groups: list[str], order: str) -> DataFrame | None:
-    """Give every row of a large group one of BINS equally filled value bins; None if no group is large."""
+    """Give every row of a large group one of many evenly filled value bins; None if no group is large.
+
+    The number of bins follows the measured size of the largest group, so that
+    a bin fits one task.
+    """
     limit = group_rows(df.sparkSession)
-    shares = [i / BINS for i in range(1, BINS)]
+    largest = largest_group(df, groups)
+    if largest <= limit:
+        return None
+    bins = 16
+    while bins < MAX_BINS and bins * limit < 2 * largest:
+        bins *= 2
+    shares = [i / bins for i in range(1, bins)]
     sketch = (
         df.groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(order, shares, 10 * BINS).alias("_cuts"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(order, shares, 10 * bins).alias("_cuts"))
         .filter(F.col("_n") > limit)
         .select(*groups, F.array_distinct("_cuts").alias("_cuts"))
     )
-    if not has_hot_group(df, groups):
-        return None
     # The sketch is materialised: both users of the bins must see the same cuts.
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BINS.bit_length()))])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(bins.bit_length()))])
 
     def descend(place: Column, step: Column) -> Column:
         reachable = place + step <= F.size("_cuts")

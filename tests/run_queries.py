@@ -15,6 +15,7 @@ from plantflow.session import build_session  # noqa: E402
 parser = argparse.ArgumentParser()
 parser.add_argument("--sf", default="0.01")
 parser.add_argument("--group-rows")
+parser.add_argument("--plans", action="store_true", help="report plan nodes that would not scale")
 parser.add_argument("names", nargs="*")
 args = parser.parse_args()
 sf_dir = f"/root/testdata/sf{args.sf}"
@@ -29,7 +30,17 @@ bad = []
 for name in names:
     start = time.time()
     try:
-        left = compare.spark_rows(queries[name](spark, sf_dir))
+        frame = queries[name](spark, sf_dir)
+        if args.plans:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            for smell in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+                if smell in plan:
+                    print("PLAN", name, smell, plan.count(smell))
+            lines = plan.split("\n")
+            for i, line in enumerate(lines):
+                if "Exchange SinglePartition" in line and any(" Window " in x or "- Window" in x for x in lines[max(0, i - 3) : i]):
+                    print("PLAN", name, "window over one partition")
+        left = compare.spark_rows(frame)
         took = time.time() - start
         problem = None
         if name in sql:
