@@ -35,9 +35,10 @@ def add_history(
     columns: Sequence[str] = HISTORY_COLUMNS,
     windows: Sequence[int] = ROLLING_SHIFTS,
     shifts: Sequence[Shift] = SHIFTS,
+    order: WindowSpec | None = None,
 ) -> DataFrame:
     """Previous-shift value and rolling means of strictly earlier shifts, all from one sort."""
-    order = shift_sequence(shifts)
+    order = order or shift_sequence(shifts)
     new = {}
     for c in [c for c in columns if c in df.columns]:
         new[f"{c}_lag1"] = F.lag(c, 1).over(order)
@@ -50,16 +51,23 @@ def add_recent_maintenance(df: DataFrame, count: str = "maintenance_count_past_7
     return df.withColumn("has_recent_maintenance", (F.col(count) > 0).cast("int"))
 
 
-def add_target(df: DataFrame, flag: str = "failure_occurred_this_shift", target: str = TARGET, shifts: Sequence[Shift] = SHIFTS) -> DataFrame:
+def add_target(
+    df: DataFrame,
+    flag: str = "failure_occurred_this_shift",
+    target: str = TARGET,
+    shifts: Sequence[Shift] = SHIFTS,
+    order: WindowSpec | None = None,
+) -> DataFrame:
     """Failure flag of the next shift; NULL where there is none (or it has no readings)."""
-    return df.withColumn(target, F.lead(flag, 1).over(shift_sequence(shifts)).cast("int"))
+    return df.withColumn(target, F.lead(flag, 1).over(order or shift_sequence(shifts)).cast("int"))
 
 
 def build_features(integrated: DataFrame, shifts: Sequence[Shift] = SHIFTS) -> DataFrame:
     """The labelled feature table: ratios, history, maintenance flag, next-shift label."""
-    enriched = add_recent_maintenance(add_production_ratios(integrated))
-    labelled = add_target(add_history(enriched, shifts=shifts), shifts=shifts)
-    return labelled.filter(F.col(TARGET).isNotNull())
+    enriched = add_recent_maintenance(add_production_ratios(integrated)).withColumn("_place", fn.shift_order("shift", shifts))
+    order = W.partitionBy("machine_id").orderBy(F.col("date").asc_nulls_last(), F.col("_place").asc_nulls_last())
+    labelled = add_target(add_history(enriched, order=order), order=order)
+    return labelled.filter(F.col(TARGET).isNotNull()).drop("_place")
 
 
 def feature_summary(integrated: DataFrame, features: DataFrame, target: str = TARGET) -> DataFrame:

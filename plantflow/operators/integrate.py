@@ -88,7 +88,8 @@ def event_history(
             .withColumn("_recent", F.sum("_n").over(week))
             .filter(F.col("_probe").isNotNull())
         )
-        probe = [F.col("_probe").getField(c).alias(c) for c in probes.columns]
+        # The key comes from the partitioning column, so that later windows per key need no exchange.
+        probe = [(F.col("_key") if c == key else F.col("_probe").getField(c)).alias(c) for c in probes.columns]
     since = F.round((F.col("_us") - F.col("_last")) / float(DAY_MICROS), 2)
     return joined.select(
         *probe, since.alias(last), F.coalesce("_recent", F.lit(0)).cast("bigint").alias(recent)
