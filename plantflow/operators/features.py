@@ -107,3 +107,8 @@ def overlapping_days(df: DataFrame) -> DataFrame:
     """Days that occur in more than one split (there must be none); checks every pair of splits."""
     days = df.select("sim_day", "split").distinct()
     return days.groupBy("sim_day").agg(F.sort_array(F.collect_set("split")).alias("splits")).filter(F.size("splits") > 1)
+
+
+def in_shift_order(df: DataFrame, shifts: Sequence[Shift] = SHIFTS, key: str = "machine_id") -> DataFrame:
+    """Sort for a report: machine, day, then the shifts as they happen (a range exchange, not one task)."""
+    return df.orderBy(key, F.col("date").asc_nulls_last(), fn.shift_order("shift", shifts))

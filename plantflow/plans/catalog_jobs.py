@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plantflow.config import CHANNELS, Economics, SEQUENCE_SHIFTS, TARGET
 from plantflow.operators import decide, encode, evaluate, models, profile, retrieve, score, whatif
-from plantflow.plans import catalog_decisions, catalog_text, catalog_windows as windows
+from plantflow.plans import catalog_decisions, catalog_text, catalog_windows as windows, jobs
 from plantflow.plans import inputs as tables
 from plantflow.plans.registry import query, rounded
 from plantflow.session import durable, new_folder
@@ -191,3 +191,26 @@ def counterfactual_scenarios(spark, sf_dir):
     chances = whatif.scenario_probabilities(state, current, baseline, names, contract.means, contract.stds, scorer)
     return whatif.scenario_table(chances, Economics())
 
+
+
+@query("machine_workflow")
+def machine_workflow(spark, sf_dir):
+    """The whole decision path for every machine: score, attribution, what-if, retrieval, rules, reasoning."""
+    columns = [*windows.SIGNALS, "torque_nm_mean", "rotational_speed_rpm_mean", "load_pct_mean", "maintenance_count_past_7d"]
+    events = inputs.events(spark, sf_dir).withColumn("machine_id", F.concat(F.lit("M-"), F.col("user_id").cast("string")))
+    images = events.filter(F.col("event_type") == "view").select(
+        "machine_id", F.when(F.col("k") > 93, "defect").otherwise("normal").alias("cv_prediction"),
+        (F.col("k") / 100.0).alias("cv_confidence"), F.col("event_id").cast("string").alias("image_path"), F.col("ts").alias("at"),
+    )
+    notes = events.filter(F.col("event_type") == "signup").select(
+        "machine_id", F.when(F.col("k") > 90, "Safety").otherwise("Quality").alias("nlp_prediction"),
+        (F.col("k") / 100.0).alias("nlp_confidence"), F.col("ts").cast("string").alias("timestamp"), F.col("ts").alias("at"),
+    )
+    scorer = score.recurrent_scorer(windows.fixed_weights(len(columns) + 3))
+    decided = jobs.decide_all(
+        tables.feature_table(spark, sf_dir), scorer, 0.5, images, notes, catalog_text._index(spark, sf_dir), columns
+    )
+    return decided.select(
+        "machine_id", "priority", "recommendation", F.array_join("reasoning", " | ").alias("reasoning"),
+        F.col("xai.human_summary").alias("summary"), "question", "grounded", "recommended_scenario", F.size("trace").alias("steps"),
+    )

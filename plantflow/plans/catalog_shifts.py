@@ -235,3 +235,16 @@ def split_day_overlap(spark, sf_dir):
     )
     found = features.overlapping_days(leaky.filter(F.col("split").isNotNull()))
     return found.withColumn("splits", F.array_join("splits", ","))
+
+
+@query(
+    "shift_order_sort",
+    f"SELECT machine_id, {_DATE}, shift, {sql_tables.SHIFT_ORDER} AS place, round(production_rate, 6) AS production_rate FROM production_clean ORDER BY machine_id, date NULLS LAST, {sql_tables.SHIFT_ORDER}",
+    ("production_clean",),
+)
+def shift_order_sort(spark, sf_dir):
+    """Production rows in the order in which the shifts happen."""
+    ordered = features.in_shift_order(quality.clean_production(inputs.production_raw(spark, sf_dir)))
+    return _dated(
+        ordered.select("machine_id", "date", "shift", fn.shift_order("shift").alias("place"), "production_rate")
+    )
