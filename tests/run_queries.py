@@ -18,7 +18,7 @@ parser.add_argument("--group-rows")
 parser.add_argument("--plans", action="store_true", help="report plan nodes that would not scale")
 parser.add_argument("names", nargs="*")
 args = parser.parse_args()
-sf_dir = f"/root/testdata/sf{args.sf}"
+sf_dir = args.sf if args.sf.startswith("/") else f"/root/testdata/sf{args.sf}"
 spark = build_session("check", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
 spark.sparkContext.setLogLevel("ERROR")
 if args.group_rows:
