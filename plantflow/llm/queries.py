@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantflow.llm import substring_dedup
+from plantflow.llm import substring_dedup, suffix_dedup
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -50,3 +50,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query(
+    "op3_suffix_dedup",
+    """
+    WITH t AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+    win AS (
+      SELECT doc_id, i, md5(substr(x, 2 * i + 1, 200)) AS h
+      FROM t, unnest(range(0, greatest(len(x) // 2 - 99, 0))) AS u(i)),
+    ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS r FROM win),
+    runs AS (
+      SELECT doc_id, i, CASE WHEN i - lag(i) OVER w <= 100 THEN 0 ELSE 1 END AS opens
+      FROM ranked WHERE r > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM runs),
+    spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 100 AS z FROM numbered GROUP BY doc_id, k),
+    edges AS (
+      SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM spans),
+    pieces AS (
+      SELECT e.doc_id, string_agg(substr(x, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS head,
+        max(z) AS tail, sum(z - a) AS gone, count(*) AS n
+      FROM edges e JOIN t USING (doc_id) GROUP BY e.doc_id)
+    SELECT t.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+      coalesce(n, 0)::BIGINT AS n_spans,
+      sha256(unhex(CASE WHEN gone IS NULL THEN x ELSE head || substr(x, 2 * tail + 1) END)) AS kept_sha256
+    FROM t LEFT JOIN pieces USING (doc_id)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), texts=False)
