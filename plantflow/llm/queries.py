@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantflow.llm import substring_dedup, suffix_dedup
+from plantflow.llm import simhash, substring_dedup, suffix_dedup
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -79,3 +79,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), texts=False)
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
