@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKET_BYTES = 2 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 18
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -117,7 +117,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, U64)
         have[0] = 1
         have = _POWERS[base] = np.multiply.accumulate(have)
-        if len(have) > SLICE_BYTES * 2:  # a giant text: not worth keeping
+        if len(have) > SLICE_BYTES * 16:  # a giant text: not worth keeping
             _POWERS.pop(base)
     return have[:n]
 

@@ -53,44 +53,46 @@ RESULT = DIGESTS + ", text string, kept_text string"
 # ---- suffix order ---------------------------------------------------------------------------------
 
 
+STRIDE = 5  # bytes compared at once, beside a group number of 24 bits
+
+
 def suffix_order(buffer: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places `starts` in the order of the `length` bytes there, and the common prefix with the one before.
+    """Which of the places `starts` comes at each rank in the order of the `length` bytes there, and the
+    common prefix with the rank before.
 
-    Eight bytes at a time; only places that are still tied go on.
+    A few bytes at a time; only places that are still tied go on.
     """
-    padded = np.concatenate([buffer, np.zeros(16, np.uint8)])
-    eight = np.zeros(len(buffer) + 8, b.U64)
-    for i in range(8):
-        eight |= padded[i : i + len(eight)].astype(b.U64) << b.U64(56 - 8 * i)
-
-    order = starts[np.argsort(eight[starts], kind="stable")]
-    common = np.full(len(order), length, np.int32)
-    if not len(order):
-        return order, common
-    group = np.zeros(len(order), np.int64)
-    active, depth = np.arange(len(order)), 0
-    while len(active):
-        key = eight[order[active] + depth]
-        if length - depth < 8:
-            key >>= b.U64(64 - 8 * (length - depth))
-            key <<= b.U64(64 - 8 * (length - depth))
-        if depth or length < 8:
-            within = np.lexsort((key, group[active]))
-            order[active], key = order[active[within]], key[within]
-        split = np.flatnonzero((group[active[1:]] == group[active[:-1]]) & (key[1:] != key[:-1])) + 1
-        differ = key[split] ^ key[split - 1]
-        common[active[split]] = depth + sum((differ >> b.U64(64 - 8 * i)) == 0 for i in range(1, 8))
-        fresh = np.zeros(len(order), bool)
-        fresh[active[split]] = True
-        fresh[0] = True
-        fresh |= np.r_[True, group[1:] != group[:-1]]
-        group = np.cumsum(fresh)
-        depth += 8
-        if depth >= length:
+    padded = np.concatenate([buffer, np.zeros(STRIDE, np.uint8)])
+    bytes_at = np.zeros(len(buffer), b.U64)
+    for i in range(STRIDE):
+        bytes_at |= padded[i : i + len(buffer)].astype(b.U64) << b.U64(8 * (STRIDE - 1 - i))
+    order = np.arange(len(starts))
+    common = np.full(len(starts), length, np.int32)
+    group = np.zeros(len(starts), b.U64)  # of each active rank: ranks that tie share one
+    active = np.arange(len(starts))
+    for depth in range(0, length, STRIDE):
+        key = bytes_at[starts[order[active]] + depth]
+        short = depth + STRIDE - length
+        if short > 0:
+            key >>= b.U64(8 * short)
+            key <<= b.U64(8 * short)
+        key |= group << b.U64(8 * STRIDE)
+        within = np.argsort(key)
+        order[active], key = order[active[within]], key[within]
+        differ = key[1:] ^ key[:-1]
+        split = np.r_[True, differ != 0]
+        same = np.flatnonzero(split[1:] & (differ >> b.U64(8 * STRIDE) == 0))
+        bits = differ[same]
+        common[active[same + 1]] = depth + sum((bits >> b.U64(8 * (STRIDE - i))) == 0 for i in range(1, STRIDE))
+        tied = ~split
+        tied[:-1] |= ~split[1:]
+        active = active[tied]
+        if not len(active):
             break
-        tied = np.r_[group[1:] == group[:-1], False]
-        active = np.flatnonzero(tied | np.r_[False, tied[:-1]])
-    common[0] = 0
+        group = np.cumsum(split[tied]).astype(b.U64)
+        if int(group[-1]) >> 24:
+            raise ValueError("too many suffixes for one part")
+    common[:1] = 0
     return order, common
 
 
@@ -368,16 +370,21 @@ def _earlier_copies(texts: np.ndarray, doc: np.ndarray, start: np.ndarray, size:
     leader = np.empty(len(order), np.int64)
     leader[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
     chosen = order[first]
+    rank_of = np.lexsort((start[chosen], doc[chosen]))
+    chosen = chosen[rank_of]
+    named = np.empty(len(first), np.int64)
+    named[rank_of] = np.arange(len(first))
+    leader = named[leader]
     place = _spread(begin[chosen], size[chosen])
     of = np.repeat(np.arange(len(chosen)), size[chosen])
-    own_doc, own_start = doc[chosen][of], _spread(start[chosen], size[chosen])
-    by_place = np.lexsort((own_start, own_doc))
-    fresh = np.r_[True, (np.diff(own_doc[by_place]) != 0) | (np.diff(own_start[by_place]) != 0)][: len(by_place)]
-    rank = np.empty(len(place), np.int64)
-    rank[by_place] = np.cumsum(fresh)
-    suffixes, common = suffix_order(texts, place, length)
-    sorter = np.argsort(place)
-    window = sorter[np.searchsorted(place, suffixes, sorter=sorter)]
+    rank = np.arange(len(place))
+    after = (doc[chosen][1:] == doc[chosen][:-1]) & (start[chosen][1:] < start[chosen][:-1] + size[chosen][:-1])
+    if after.any():  # rows with one doc_id: windows may share a place
+        own_doc, own_start = doc[chosen][of], _spread(start[chosen], size[chosen])
+        by_place = np.lexsort((own_start, own_doc))
+        fresh = np.r_[True, (np.diff(own_doc[by_place]) != 0) | (np.diff(own_start[by_place]) != 0)]
+        rank[by_place] = np.cumsum(fresh)
+    window, common = suffix_order(texts, place, length)
     factor = np.zeros(len(place), np.int32)
     factor[window] = longest_previous_factor(rank[window], common, length)
     copied = factor >= length
