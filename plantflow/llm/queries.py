@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantflow.llm import simhash, substring_dedup, suffix_dedup
+from plantflow.llm import simhash, substring_dedup, suffix_dedup, url_filter
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -84,3 +84,38 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+@query(
+    "op2_url_filter",
+    """
+    WITH p AS (
+      SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    s AS (
+      SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+      FROM p),
+    m AS (
+      SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+      FROM s)
+    SELECT page_id, host, path, rule,
+      CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+    FROM m
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
