@@ -162,7 +162,7 @@ class _Block:
             end = at + size + length - 1
             starts.append(at + low)
             sizes.append(size)
-            keys.append(minimum[at])
+            keys.append(b.mixed(minimum[at]))  # minima are small numbers: spread them over all parts again
             highs.append(b.Rolling(values, b.BASES[1]).spans(at, end))
             lows.append(b.Rolling(values, b.BASES[2]).spans(at, end))
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
