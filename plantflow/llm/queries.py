@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import simhash, substring_dedup, suffix_dedup, url_filter
+from plantflow.llm import simhash, substring_dedup, suffix_dedup, topk, url_filter
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -119,3 +119,23 @@ RULES = [
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@query(
+    "op6_exact_topk",
+    """
+    WITH v AS (
+      SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.r, q.vec_id AS query_id, v.vec_id,
+        list_sum(list_transform(list_zip(q.e, v.e), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v AS q JOIN v ON len(q.e) = len(v.e) AND q.r <> v.r WHERE q.vec_id % 50 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
