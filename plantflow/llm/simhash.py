@@ -32,7 +32,7 @@ SHINGLE = 3
 LINK = 3
 SEED = 42
 SAMPLE = 65_536
-LEAF = 4_096
+LEAF = 32_768
 MAX_LEAVES = 16_384
 BLOCK = 512
 
