@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
+from plantflow.llm import language, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -149,3 +149,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
