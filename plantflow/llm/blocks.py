@@ -28,9 +28,13 @@ _POWERS: dict[int, np.ndarray] = {}
 # ---- frames ---------------------------------------------------------------------------------------
 
 
-def text_rows(docs: DataFrame) -> DataFrame:
-    """`doc_id` as long and `text`; other columns, whatever their names, are left behind."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def text_rows(docs: DataFrame, *carried: str) -> DataFrame:
+    """`doc_id` as long and `text`; other columns, whatever their names, are left behind.
+
+    Those named in `carried` come along in a struct `row`, where their names clash with nothing.
+    """
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(*columns, *([F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")] if carried else []))
 
 
 def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -42,7 +46,7 @@ def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
 def bucketed(docs: DataFrame, buckets: int) -> DataFrame:
     """Deal rows to buckets; by id and text, so that rows without an id do not meet in one bucket."""
     bucket: Column = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
-    return docs.select(bucket.alias("bucket"), "doc_id", "text")
+    return docs.select(bucket.alias("bucket"), "*")
 
 
 # ---- Arrow ----------------------------------------------------------------------------------------
@@ -158,13 +162,13 @@ def part_of(digest: np.ndarray, parts: int) -> np.ndarray:
 # ---- words ----------------------------------------------------------------------------------------
 
 
-def _cuts(buffer: np.ndarray, offsets: np.ndarray, size: int) -> list[int]:
+def _cuts(buffer: np.ndarray, offsets: np.ndarray, size: int, between: np.ndarray) -> list[int]:
     """Places at which the buffer may be cut without cutting a word, about `size` apart."""
     cuts, at = [0], size
     while at < len(buffer):
         limit = int(offsets[np.searchsorted(offsets, at)])
         while at < limit:
-            blank = SPACE[buffer[at : min(at + 4096, limit)]]
+            blank = between[buffer[at : min(at + 4096, limit)]]
             if blank.any():
                 at += int(blank.argmax())
                 break
@@ -177,14 +181,17 @@ def _cuts(buffer: np.ndarray, offsets: np.ndarray, size: int) -> list[int]:
 
 
 class Words:
-    """Words of all texts of a block: their digests, and the text each belongs to."""
+    """Words of all texts of a block: their digests, and the text each belongs to.
+
+    `between` says which bytes part words, `values` what each byte counts as in a digest.
+    """
 
-    def __init__(self, buffer: np.ndarray, offsets: np.ndarray):
+    def __init__(self, buffer: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE, values: np.ndarray = BYTE_VALUES):
         starts, ends, digests = [], [], []
-        cuts = _cuts(buffer, offsets, SLICE_BYTES)
+        cuts = _cuts(buffer, offsets, SLICE_BYTES, between)
         for low, high in zip(cuts, cuts[1:]):
             piece = buffer[low:high]
-            blank = SPACE[piece]
+            blank = between[piece]
             edges = offsets[np.searchsorted(offsets, low) : np.searchsorted(offsets, high, "right")] - low
             before = np.r_[True, blank[:-1]]
             before[edges[edges < len(piece)]] = True
@@ -192,7 +199,7 @@ class Words:
             after[edges[edges > 0] - 1] = True
             start = np.flatnonzero(before & ~blank)
             end = np.flatnonzero(after & ~blank) + 1
-            digests.append(Rolling(BYTE_VALUES[piece], BASES[0]).spans(start, end))
+            digests.append(Rolling(values[piece], BASES[0]).spans(start, end))
             starts.append(start + low)
             ends.append(end + low)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)

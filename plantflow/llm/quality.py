@@ -1,7 +1,6 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-Statistics of whole texts are computed once, in pieces of bounded size, and written. Trees are boosted on a
-sample of at most about `SAMPLE` labelled documents (the rows that may be learned from, drawn by a hash of
+Statistics are computed over whole texts, in pieces of bounded size. Trees are boosted on a sample of at most about `SAMPLE` labelled documents (the rows that may be learned from, drawn by a hash of
 doc_id): features are cut into at most `BINS` bins, a node's split is found from histograms of gradients, and
 all trees have one depth. The model is a few flat arrays (feature, threshold, children, value); scoring walks
 all documents of a batch down all trees in NumPy at once.
@@ -122,20 +121,6 @@ def statistics(texts: pa.Array) -> np.ndarray:
     ).astype(np.float32)
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and its features."""
-
-    def run(batches):
-        for batch in batches:
-            for piece in learn.pieces(batch):
-                found = statistics(piece["text"])
-                bounds = pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(FEATURES))
-                values = pa.ListArray.from_arrays(bounds, pa.array(found.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([piece["doc_id"], values], ["doc_id", "features"])
-
-    return b.text_rows(docs).mapInArrow(run, "doc_id long, features array<float>")
-
-
 # ---- trees ----------------------------------------------------------------------------------------
 
 
@@ -244,11 +229,22 @@ def _split_level(level, at, binned, edges, gradient, curve, node, add) -> list[i
 # ---- the operator ---------------------------------------------------------------------------------
 
 
-def train(features: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Boost trees on the features of at most about `sample` labelled documents."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
+    """Boost trees on the statistics of at most about `sample` labelled documents."""
     chosen = learn.drawn(durable(learn.labelled(labels, "quality")), sample)
+
+    def run(batches):
+        for batch in batches:
+            for piece in learn.pieces(batch):
+                found = statistics(piece["text"])
+                bounds = pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(FEATURES))
+                values = pa.ListArray.from_arrays(bounds, pa.array(found.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["label"], values], ["doc_id", "label", "features"])
+
     rows = (
-        features.join(F.broadcast(chosen), "doc_id")  # bounded by `sample`
+        b.text_rows(docs).join(F.broadcast(chosen), "doc_id")  # bounded by `sample`
+        .select("doc_id", "label", "text")
+        .mapInArrow(run, "doc_id long, label int, features array<float>")
         .groupBy("doc_id").agg(F.min("features").alias("features"), F.max("label").alias("label"))
         .orderBy("doc_id").select("features", "label").collect()
     )
@@ -257,19 +253,32 @@ def train(features: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees
     return boost(np.array([r["features"] for r in rows], np.float32), np.array([r["label"] for r in rows], np.float64))
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 if the score reaches `cut`)."""
-    features = durable(with_statistics(docs))
-    trees = docs.sparkSession.sparkContext.broadcast(train(features, labels, sample))
+def _scored(docs: DataFrame, labels: DataFrame, sample: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    trees = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
+    rows = b.text_rows(docs, *carried)
+    kept = [c for c in rows.columns if c != "text" or carried]
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept) + ", score double"
 
     def run(batches):
         for batch in batches:
-            rows = np.asarray(batch["features"].flatten()).reshape(batch.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(trees.value.score(rows))], ["doc_id", "score"])
+            for piece in learn.pieces(batch):
+                score = pa.array(trees.value.score(statistics(piece["text"])))
+                yield pa.RecordBatch.from_arrays([*(piece[c] for c in kept), score], [*kept, "score"])
 
-    return features.mapInArrow(run, "doc_id long, score double").select(
+    return rows.mapInArrow(run, schema)
+
+
+def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
+    """doc_id, held_out, score and predicted (1 if the score reaches `cut`)."""
+    return _scored(docs, labels, sample).select(
         "doc_id",
         learn.held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= cut).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
+    """The documents whose score reaches `cut`, with all their columns."""
+    scored = _scored(docs, labels, sample, tuple(docs.columns))
+    return scored.where(F.col("score") >= cut).select("row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import language, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
+from plantflow.llm import decontaminate, language, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -154,3 +154,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -443,14 +443,19 @@ def _remove(length: int, texts: bool):
         if texts:
             out["text"] = block.table["text"]
             out["kept_text"] = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
+        if "row" in block.table.column_names:
+            out["row"] = block.table["row"]
         return pa.table(out)
 
     return remove
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, texts: bool = True, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """Each document's counts and digest after removal, and with `texts` its text before and after."""
-    docs = b.text_rows(docs)
+def dedup(
+    docs: DataFrame, length: int = LENGTH, texts: bool = True, carried: tuple[str, ...] = (), hot_runs: int = HOT_RUNS
+) -> DataFrame:
+    """Each document's counts and digest after removal; with `texts` its text before and after; and in a
+    struct `row` the columns named in `carried`."""
+    docs = b.text_rows(docs, *carried)
     buckets = b.bucket_count(docs)
     dealt = b.bucketed(docs, buckets)
     seen = (
@@ -461,4 +466,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, texts: bool = True, hot_runs: i
         dealt.groupBy("bucket").cogroup(seen.groupBy("bucket")).applyInArrow(_send_runs(buckets, length), WIDE)
         .groupBy("part").applyInArrow(_match_runs(length), FOUND)
     )
-    return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_remove(length, texts), RESULT if texts else DIGESTS)
+    result = RESULT if texts else DIGESTS
+    if carried:
+        result += f", row {docs.schema['row'].dataType.simpleString()}"
+    return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_remove(length, texts), result)
