@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import decontaminate, language, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
+from plantflow.llm import decontaminate, language, pieces, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -159,3 +159,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load(spark)
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), model), model)
