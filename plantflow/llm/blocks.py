@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 BUCKET_BYTES = 2 << 20
 SLICE_BYTES = 1 << 18
@@ -37,6 +38,11 @@ def text_rows(docs: DataFrame, *carried: str) -> DataFrame:
     return docs.select(*columns, *([F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")] if carried else []))
 
 
+def schema(own: DataFrame | None, ddl: str) -> StructType:
+    """The columns of a frame, with their own types, and those of the text behind them."""
+    return StructType([*(own.schema.fields if own is not None else []), *StructType.fromDDL(ddl).fields])
+
+
 def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     """How many buckets the texts need, from their measured total size."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -38,7 +38,7 @@ _BETWEEN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 _VALUES = b.BYTE_VALUES.copy()
 _VALUES[0x41:0x5B] = _VALUES[0x61:0x7B]
 
-FOUND = "row {row}, item_id long, coverage double, n_items int"
+FOUND = "item_id long, coverage double, n_items int"
 
 
 def tokens(texts: pa.Array | pa.ChunkedArray) -> b.Words:
@@ -209,15 +209,15 @@ def judged(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     Clean documents have no item and coverage 0.
     """
     context = docs.sparkSession.sparkContext
-    kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     rows = docs.select(
         F.struct("*").alias("row"),
         F.lit(None).cast("long").alias("item_id"),
         F.lit(0.0).alias("coverage"),
         F.lit(0).alias("n_items"),
     )
+    schema = b.schema(rows.select("row"), FOUND)
     for block in _blocks(benchmark):
-        rows = rows.mapInArrow(_mark(context.broadcast(block), coverage), FOUND.format(row=kind))
+        rows = rows.mapInArrow(_mark(context.broadcast(block), coverage), schema)
     return rows
 
 

@@ -335,8 +335,7 @@ def encode(docs: DataFrame, model: Model, carried: tuple[str, ...] = ()) -> Data
                 column = pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()), mask=null)
                 yield pa.RecordBatch.from_arrays([*piece.columns, column], [*names, "ids"])
 
-    schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names) + ", ids array<int>"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, b.schema(rows, "ids array<int>"))
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
@@ -353,8 +352,7 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
             column = pa.array([t if k else None for t, k in zip(texts, known.tolist())], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*names, "decoded"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded string"
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(run, b.schema(encoded, "decoded string"))
 
 
 def digests(encoded: DataFrame, model: Model) -> DataFrame:

@@ -257,7 +257,6 @@ def _scored(docs: DataFrame, labels: DataFrame, sample: int, carried: tuple[str,
     trees = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
     rows = b.text_rows(docs, *carried)
     kept = [c for c in rows.columns if c != "text" or carried]
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept) + ", score double"
 
     def run(batches):
         for batch in batches:
@@ -265,7 +264,7 @@ def _scored(docs: DataFrame, labels: DataFrame, sample: int, carried: tuple[str,
                 score = pa.array(trees.value.score(statistics(piece["text"])))
                 yield pa.RecordBatch.from_arrays([*(piece[c] for c in kept), score], [*kept, "score"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, b.schema(rows.select(kept), "score double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:

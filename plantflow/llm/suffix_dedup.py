@@ -466,7 +466,7 @@ def dedup(
         dealt.groupBy("bucket").cogroup(seen.groupBy("bucket")).applyInArrow(_send_runs(buckets, length), WIDE)
         .groupBy("part").applyInArrow(_match_runs(length), FOUND)
     )
-    result = RESULT if texts else DIGESTS
+    result = b.schema(None, RESULT if texts else DIGESTS)
     if carried:
-        result += f", row {docs.schema['row'].dataType.simpleString()}"
+        result = result.add(docs.schema["row"])
     return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_remove(length, texts), result)

@@ -63,8 +63,11 @@ def grid(vectors: DataFrame) -> dict[int, np.ndarray]:
     def ranges(batches):
         for batch in batches:
             for size, (_, own) in _integers(batch).items():
+                if not size:
+                    own = np.zeros((1, 1))  # vectors without components still have a length to compare
+                places = np.arange(own.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, size, np.int32)), pa.array(np.arange(size, dtype=np.int32)), pa.array(own.min(0)), pa.array(own.max(0))],
+                    [pa.array(np.full(len(places), size, np.int32)), pa.array(places), pa.array(own.min(0)), pa.array(own.max(0))],
                     ["size", "place", "low", "high"],
                 )
 
@@ -72,7 +75,8 @@ def grid(vectors: DataFrame) -> dict[int, np.ndarray]:
     rows = found.groupBy("size", "place").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
     out: dict[int, np.ndarray] = {}
     for row in rows:
-        out.setdefault(row["size"], np.zeros((2, row["size"])))[:, row["place"]] = row["low"], row["high"]
+        own = out.setdefault(row["size"], np.zeros((2, row["size"])))
+        own[:, row["place"] : row["place"] + 1] = np.array([[row["low"]], [row["high"]]])[:, : own.shape[1]]
     return out
 
 
