@@ -9,12 +9,12 @@ Toxic documents are mostly clean text, so a document scores as its worst segment
 segments too: first every segment of a toxic document counts as a little toxic, then only those that the
 model so far finds worst, against clean documents' segments, among them the ones it finds worst.
 
-Training uses a sample of at most about `TOXIC` toxic and `CLEAN` clean documents of up to `LONGEST` bytes
-(the rows that may be learned from, drawn by a hash of doc_id). Scoring covers whole texts of any length:
+Training uses a sample of at most about `TOXIC` toxic and `CLEAN` clean documents of up to `LONGEST` bytes,
+about `TRAIN_BYTES` together (the rows that may be learned from, drawn by a hash of doc_id). Scoring covers whole texts of any length:
 as the softmax is linear in the average, each table row is reduced to one number beforehand, and running sums
 over a piece of text give all its segments at once.
 
-Edge cases: a null, empty or blank text scores as an empty segment, by the bias alone; without labels of both
+Edge cases: a null, empty or blank text has nothing toxic and scores 0; without labels of both
 kinds every score is the share of label 1 (0.5 without labels); a row without doc_id is scored, never learned
 from; repeated rows are scored each and learned from once; other columns are ignored.
 """
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plantflow.llm import blocks as b
 from plantflow.llm import learn
+from plantflow.session import durable
 
 SEGMENT = 6
 SIZES = (3, 4, 5)
@@ -37,6 +38,7 @@ WIDTH = 8
 TOXIC = 1_500
 CLEAN = 2_500
 LONGEST = 1 << 16
+TRAIN_BYTES = 10 << 20
 EPOCHS = 5
 CUT = 0.5
 
@@ -114,8 +116,9 @@ class Model:
         worst = np.full(strings.texts, -np.inf)
         if len(strings.opens):
             np.maximum.at(worst, strings.of, _segment_sums(strings, self.weight))
-        worst[np.isinf(worst)] = 0.0
-        return learn.sigmoid(worst + self.bias)
+        nothing = np.isinf(worst)
+        worst[nothing] = 0.0
+        return np.where(nothing & self.weight.any(), 0.0, learn.sigmoid(worst + self.bias))
 
 
 def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +143,24 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owners.append(np.full(len(strings.opens), i))
     if not bags:
         return np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(bags), np.r_[0, np.cumsum(np.concatenate(sizes))], np.concatenate(owners)
+    bounds = np.r_[0, np.cumsum(np.concatenate(sizes))]
+    rows = np.empty(bounds[-1], np.int32)
+    end = len(rows)
+    while bags:  # each part is freed as it is copied
+        own = bags.pop()
+        rows[end - len(own) : end] = own
+        end -= len(own)
+    return rows, bounds, np.concatenate(owners)
+
+
+def _averages(weight: np.ndarray, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Average weight of every segment, a few thousand segments at a time."""
+    out = np.zeros(len(bounds) - 1)
+    for low in range(0, len(out), 4096):
+        own = bounds[low : low + 4097]
+        sums = np.r_[0, np.cumsum(weight[rows[own[0] : own[-1]]], dtype=np.float64)]
+        out[low : low + 4096] = (sums[own[1:] - own[0]] - sums[own[:-1] - own[0]]) / np.maximum(np.diff(own), 1)
+    return out
 
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
@@ -159,9 +179,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
     size = np.maximum(np.diff(bounds), 1)
 
     def odds() -> np.ndarray:
-        weight = table @ (softmax[:, 1] - softmax[:, 0])
-        sums = np.r_[0, np.cumsum(weight[rows], dtype=np.float64)]
-        return (sums[bounds[1:]] - sums[bounds[:-1]]) / size + float(bias[1] - bias[0])
+        return _averages(table @ (softmax[:, 1] - softmax[:, 0]), rows, bounds) + float(bias[1] - bias[0])
 
     clean = np.flatnonzero(~toxic)
     for epoch in range(epochs):
@@ -203,8 +221,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
 
 def _placed(model: Model, rows: np.ndarray, bounds: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> Model:
     """Shift the bias so that 0.5 parts toxic from clean documents best, by their worst segments."""
-    sums = np.r_[0, np.cumsum(model.weight[rows])]
-    score = (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(np.diff(bounds), 1)
+    score = _averages(model.weight, rows, bounds)
     worst = np.full(len(labels), -np.inf)
     np.maximum.at(worst, owner, score)
     known = np.isfinite(worst)
@@ -226,12 +243,15 @@ def _placed(model: Model, rows: np.ndarray, bounds: np.ndarray, owner: np.ndarra
 def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> Model:
     known = learn.labelled(labels, "toxic")
     chosen = learn.drawn(known.where("label = 1"), toxic).union(learn.drawn(known.where("label = 0"), clean))
-    rows = (
+    found = durable(
         b.text_rows(docs).where(F.octet_length("text") <= LONGEST)
         .join(F.broadcast(chosen), "doc_id")  # bounded by `toxic` + `clean`
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-        .orderBy("doc_id").select("text", "label").collect()
     )
+    total = found.agg(F.sum(F.octet_length("text"))).first()[0] or 1
+    share = int(min(1.0, TRAIN_BYTES / total) * (1 << 30))
+    rows = found.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) < share)
+    rows = rows.orderBy("doc_id").select("text", "label").collect()
     return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64))
 
 
