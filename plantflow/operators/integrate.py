@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from plantflow.config import CHANNELS, MAINTENANCE_DAYS, SHIFTS, Shift
 from plantflow.functions import columns as fn
 from plantflow.operators import skew
+from plantflow.session import group_rows
 
 SHIFT_KEYS = ["machine_id", "date", "shift"]
 DAY_MICROS = 86_400_000_000
@@ -61,7 +62,8 @@ def event_history(
     """
     recent = recent or f"maintenance_count_past_{days}d"
     happened = (
-        events.select(F.col(key).alias("_key"), F.unix_micros(event_ts).alias("_us"))
+        events.filter(F.col(key).isNotNull())  # a missing key matches nothing
+        .select(F.col(key).alias("_key"), F.unix_micros(event_ts).alias("_us"))
         .groupBy("_key", "_us")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -100,10 +102,9 @@ def _history_by_bucket(probes: DataFrame, happened: DataFrame, as_of: str, key:
     """Latest event and recent count per distinct (key, instant), with bounded groups.
 
     The recent count is the running count at the instant minus the running
-    count at the start of the interval; each is a count inside an hour bucket
-    plus the total of the earlier buckets.
+    count at the start of the interval; each is a count inside a time bucket
+    (an hour, or less in a burst) plus the total of the earlier buckets.
     """
-    hour = F.floor(F.col("_us") / 3_600_000_000)
     instants = probes.select(F.col(key).alias("_key"), F.unix_micros(as_of).alias("_at")).distinct()
     ends = F.array(
         F.struct(F.col("_at").alias("_us"), F.lit(True).alias("_now")),
@@ -111,7 +112,8 @@ def _history_by_bucket(probes: DataFrame, happened: DataFrame, as_of: str, key:
     )
     marks = instants.withColumn("_end", F.explode(ends)).select("_key", "_at", "_end._us", "_end._now")
     rows = marks.withColumn("_n", F.lit(None).cast("bigint")).unionByName(happened, allowMissingColumns=True)
-    rows = rows.withColumn("_hour", hour)
+    bucket = skew.time_bucket(rows, ["_key"], group_rows(probes.sparkSession))
+    rows = rows.withColumn("_hour", bucket(F.col("_us")))
     event_us = F.when(F.col("_n").isNotNull(), F.col("_us"))
     inside = W.partitionBy("_key", "_hour").orderBy("_us").rangeBetween(W.unboundedPreceding, -1)
     earlier = W.partitionBy("_key").orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)

@@ -65,13 +65,16 @@ def fill_short_gaps(
 
 
 def with_group_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str], hot: bool | None = None) -> DataFrame:
-    """Add `_median_<column>`, the exact median of the row's group."""
+    """Add `_median_<column>`, the exact median of the row's group; NULL for a row without a key."""
     keys = list(keys)
     if hot is None:
         hot = skew.has_hot_group(df, keys)
     if not hot:
         group = W.partitionBy(*keys)
-        return df.withColumns({f"_median_{c}": F.median(c).over(group) for c in columns})
+        keyed = F.lit(True)
+        for k in keys:
+            keyed = keyed & F.col(k).isNotNull()
+        return df.withColumns({f"_median_{c}": F.when(keyed, F.median(c).over(group)) for c in columns})
     medians = skew.exact_quantiles(df, keys, columns, [0.5], hot=True)
     named = medians.select(*keys, *[F.element_at(c, 1).alias(f"_median_{c}") for c in columns])
     return df.join(skew.checked_broadcast(named), keys, "left")

@@ -4,18 +4,20 @@ A window, a median or a running total needs its group together. These helpers
 first measure the groups with a counting aggregate (partial counts on the map
 side). When every group fits one task, the plain Spark expression is used. When
 one does not, the group is cut into pieces of bounded size that are solved on
-their own and put together through small per-piece totals. Results are equal.
+their own and put together through small per-piece totals. Results are equal,
+also for a group whose key is NULL, which is a group like any other here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from functools import reduce
 
-from plantflow.session import broadcast_rows, durable, group_rows
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType
 
-MAX_BINS = 65536
+from plantflow.session import broadcast_bytes, broadcast_rows, durable, group_rows
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -29,10 +31,48 @@ def has_hot_group(df: DataFrame, keys: Sequence[str]) -> bool:
     return largest_group(df, keys) > group_rows(df.sparkSession)
 
 
+def _field_bytes(name: str, kind: DataType) -> Column:
+    """About the bytes that a value takes in memory."""
+    own = F.col(f"`{name}`")
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(own)
+    elif isinstance(kind, ArrayType) and not isinstance(kind.elementType, (StringType, BinaryType, ArrayType)):
+        size = 8 * F.greatest(F.size(own), F.lit(0))
+    elif isinstance(kind, ArrayType):
+        size = F.octet_length(F.to_json(own))
+    else:
+        size = F.lit(0)
+    return F.lit(16) + F.coalesce(size, F.lit(0)).cast("bigint")
+
+
 def checked_broadcast(df: DataFrame) -> DataFrame:
-    """Materialise a side table; hint a broadcast only when its row count is within the bound."""
+    """Materialise a side table; hint a broadcast only when its rows and bytes are within the bounds."""
     table = durable(df)
-    return F.broadcast(table) if table.count() <= broadcast_rows(df.sparkSession) else table
+    size = reduce(Column.__add__, [_field_bytes(f.name, f.dataType) for f in table.schema])
+    rows, held = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    fits = rows <= broadcast_rows(df.sparkSession) and held <= broadcast_bytes(df.sparkSession)
+    return F.broadcast(table) if fits else table
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a table of groups to rows by their keys, where NULL is a key as well."""
+    named = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    hinted = right.withColumnsRenamed(named)
+    if not named:
+        return left.join(hinted, how=how)
+    same = reduce(Column.__and__, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in named.items()])
+    return left.join(hinted, same, how).drop(*named.values())
+
+
+def time_bucket(rows: DataFrame, keys: Sequence[str], limit: int, seconds: int = 3600) -> Callable[[Column], Column]:
+    """Time buckets, at most `seconds` wide, that hold at most `limit` rows of a key; or one instant each."""
+    width = seconds * 1_000_000
+    while True:
+        place = F.floor(F.col("_us") / F.lit(width))
+        largest = rows.groupBy(*keys, place.alias("_place")).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if width == 1 or (largest or 0) <= limit:
+            return lambda us: F.floor(us / F.lit(width))
+        width = max(1, width // 60)
 
 
 def over_segments(
@@ -51,7 +91,8 @@ def over_segments(
     depend on at most `before` earlier and `after` later rows in `ts` order.
     A segment is a run of whole time buckets with about one task's worth of
     rows. It gets a copy of the neighbouring buckets that hold those rows, and
-    the copies are dropped after the windows.
+    the copies are dropped after the windows. Buckets are made as narrow as a
+    burst needs, down to one instant.
     """
     keys = list(keys)
     if hot is None:
@@ -60,7 +101,7 @@ def over_segments(
         return body(df, keys)
 
     limit = group_rows(df.sparkSession)
-    bucket = F.floor(F.unix_micros(ts) / F.lit(bucket_seconds * 1_000_000))
+    bucket = time_bucket(df.select(*keys, F.unix_micros(ts).alias("_us")), keys, limit, bucket_seconds)(F.unix_micros(ts))
     by_bucket = W.partitionBy(*keys).orderBy("_bucket")
     layout = (
         df.groupBy(*keys, bucket.alias("_bucket"))
@@ -94,7 +135,7 @@ def over_segments(
 
     tagged = (
         df.withColumn("_bucket", bucket)
-        .join(checked_broadcast(places), [*keys, "_bucket"], "left")
+        .transform(lambda rows: join_groups(rows, checked_broadcast(places), [*keys, "_bucket"], "left"))
         .withColumn("_own", F.coalesce("_own", F.lit(0).cast("bigint")))
         .withColumn("_segment", F.explode(F.coalesce("_segments", F.array(F.lit(0).cast("bigint")))))
     )
@@ -113,7 +154,7 @@ def _with_bins(df: DataFrame, groups: list[str], order: str) -> DataFrame | None
     if largest <= limit:
         return None
     bins = 16
-    while bins < MAX_BINS and bins * limit < 2 * largest:
+    while bins * limit < 2 * largest:
         bins *= 2
     shares = [i / bins for i in range(1, bins)]
     sketch = (
@@ -131,7 +172,7 @@ def _with_bins(df: DataFrame, groups: list[str], order: str) -> DataFrame | None
         return F.when(reachable & (cut <= F.col(order)), place + step).otherwise(place)
 
     return (
-        df.join(checked_broadcast(sketch), groups, "left")
+        join_groups(df, checked_broadcast(sketch), groups, "left")
         .withColumn("_bin", F.when(F.col("_cuts").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), descend)))
         .drop("_cuts")
     )
@@ -167,7 +208,7 @@ def running_totals(
         bins = bins.withColumn(f"_{a}_before", F.coalesce(F.sum(f"_{a}_bin").over(earlier), F.lit(0)))
         bins = bins.withColumn(f"{a}_all", F.sum(f"_{a}_bin").over(W.partitionBy(*groups)))
         binned = binned.withColumn(f"_{a}_in", F.sum(a).over(inside))
-    joined = binned.join(bins.drop(*[f"_{a}_bin" for a in amounts]), [*groups, "_bin"])
+    joined = join_groups(binned, bins.drop(*[f"_{a}_bin" for a in amounts]), [*groups, "_bin"])
     for a in amounts:
         joined = joined.withColumn(f"{a}_upto", F.col(f"_{a}_in") + F.col(f"_{a}_before"))
     return joined.drop("_bin", *[f"_{a}_in" for a in amounts], *[f"_{a}_before" for a in amounts])
@@ -210,12 +251,18 @@ def exact_quantiles(
         low, high = F.floor(place), F.ceil(place)
         at_low = F.max(F.when((first <= low) & (low < last), F.col("_v")))
         at_high = F.max(F.when((first <= high) & (high < last), F.col("_v")))
-        picks.append(at_low + (at_high - at_low) * F.max(place - low))
+        # the formula of `percentile`
+        above, below = F.max(high - place), F.max(place - low)
+        picks.append(F.when(F.max(low) == F.max(high), at_low).otherwise(above * at_low + below * at_high))
     per_column = ranked.groupBy(*keys, "_c").agg(F.array(*picks).alias("_q"))
     wide = per_column.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_c") == c, F.col("_q"))).alias(c) for c in columns]
     )
-    return wide.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], *columns)
+    if not keys:
+        return wide.select(*columns)
+    # a group without any value is a row of NULLs, as it is in the plain form
+    every = df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)]).distinct()
+    return join_groups(every, wide, keys, "left").select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], *columns)
 
 
 def numbered(df: DataFrame, groups: Sequence[str], bucket: Column, order: Sequence[Column], name: str = "number") -> DataFrame:
@@ -236,8 +283,7 @@ def numbered(df: DataFrame, groups: Sequence[str], bucket: Column, order: Sequen
         .drop("_n")
     )
     return (
-        placed.withColumn("_in", F.row_number().over(inside))
-        .join(sizes, [*groups, "_bucket"])
+        join_groups(placed.withColumn("_in", F.row_number().over(inside)), sizes, [*groups, "_bucket"])
         .withColumn(name, F.col("_in") + F.col("_before"))
         .drop("_bucket", "_in", "_before")
     )

@@ -15,6 +15,10 @@ GROUP_ROWS_DEFAULT = 4_000_000
 BROADCAST_ROWS_CONF = "spark.plantflow.maxBroadcastRows"
 BROADCAST_ROWS_DEFAULT = 200_000
 
+# Bytes up to which it may.
+BROADCAST_BYTES_CONF = "spark.plantflow.maxBroadcastBytes"
+BROADCAST_BYTES_DEFAULT = 64 << 20
+
 
 def build_session(app: str = "plantflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on: UTC, ANSI casts and adaptive plans."""
@@ -33,6 +37,10 @@ def build_session(app: str = "plantflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_BYTES_DEFAULT)))
+
+
 def group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS_DEFAULT)))
 
@@ -44,15 +52,23 @@ def broadcast_rows(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, named by the cluster in `spark.checkpoint.dir`.
 
-    Only a session without one (a test) gets a folder of its own.
+    Only a local session without one (a test) gets a folder of its own; on a cluster every executor would
+    write to its own disk.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not is_local(context.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="plantflow-checkpoint-"))
     return context.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for a table in the shared folder."""
     return f"{shared_folder(spark)}/plantflow-{name}-{uuid.uuid4().hex}"

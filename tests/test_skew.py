@@ -122,3 +122,95 @@ def test_stratified_split_sizes(spark):
         assert counts[label, "train"] == train
         assert counts[label, "validation"] == validation
         assert counts[label, "test"] == n - train - validation
+
+
+def with_odd_keys(spark, n=300):
+    """Rows of which a third have no key, with ties and a group without any value."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        key = rng.choice([None, "h", "h", "k"])
+        rows.append((i, key, None if rng.random() < 0.2 else float(rng.randint(0, 20))))
+    rows += [(n + i, "empty", None) for i in range(30)]
+    return spark.createDataFrame(rows, "i bigint, g string, x double")
+
+
+def in_both_forms(spark, limit, run):
+    plain = sorted(map(tuple, run().collect()), key=repr)
+    spark.conf.set(GROUP_ROWS_CONF, limit)
+    split = sorted(map(tuple, run().collect()), key=repr)
+    spark.conf.unset(GROUP_ROWS_CONF)
+    return plain, split
+
+
+def test_split_keeps_rows_without_label(spark):
+    df = with_odd_keys(spark)
+    got = sampling.stratified_split(df, "g", "i")
+    assert got.count() == df.count()
+    sizes = {(r.g, r.split): r["count"] for r in got.groupBy("g", "split").count().collect()}
+    for g, n in df.groupBy("g").count().collect():
+        assert sizes[g, "train"] == int(n * 0.6)
+
+
+def test_quantiles_with_odd_groups(spark):
+    df = with_odd_keys(spark)
+    plain, split = in_both_forms(spark, "20", lambda: skew.exact_quantiles(df, ["g"], ["x"], [0.1, 0.5, 0.9]))
+    as_lists = lambda rows: [(g, None if q is None else [v for v in q if v is not None]) for g, q in rows]
+    assert as_lists(plain) == as_lists(split)
+    assert len(plain) == 4
+
+
+def test_running_totals_with_odd_groups(spark):
+    df = with_odd_keys(spark).where("x IS NOT NULL").groupBy("g", "x").agg(F.count("*").alias("n"))
+    plain, split = in_both_forms(spark, "5", lambda: skew.running_totals(df, ["g"], "x", ["n"]).select("g", "x", "n", "n_upto", "n_all"))
+    assert plain == split and any(r[0] is None for r in split)
+
+
+def test_median_of_rows_without_key_is_missing(spark):
+    df = with_odd_keys(spark)
+    plain, split = in_both_forms(spark, "20", lambda: quality.with_group_median(df, ["g"], ["x"]).select("i", "_median_x"))
+    assert plain == split
+    missing = {r.i for r in df.where("g IS NULL").collect()}
+    assert all((m is None) == (i in missing or i >= 300) for i, m in plain)
+
+
+def test_history_of_rows_without_key_is_empty(spark):
+    rng = random.Random(2)
+    at = lambda: rng.randint(0, 40) * 7200
+    keys = [None, "hot", "hot", "a"]
+    probes = spark.createDataFrame([(i, rng.choice(keys), at()) for i in range(200)], "i bigint, machine_id string, s bigint")
+    events = spark.createDataFrame([(rng.choice(keys), at()) for _ in range(200)], "machine_id string, s bigint")
+    probes, events = (f.withColumn("timestamp", F.timestamp_seconds("s")) for f in (probes, events))
+    plain, split = in_both_forms(spark, "20", lambda: integrate.event_history(probes, events, "timestamp").drop("timestamp", "s"))
+    assert plain == split
+    assert all(r[2] is None and r[3] == 0 for r in plain if r[1] is None)
+
+
+def test_bursts_are_cut(spark, small_groups):
+    rows = [("m", 3_600_000_000 + i * 250_000, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "machine_id string, us bigint, i bigint").withColumn("timestamp", F.timestamp_micros("us"))
+    sizes = {}
+
+    def body(frame, group):
+        sizes["largest"] = skew.largest_group(frame, group)
+        return frame.withColumn("lag", F.lag("i").over(W.partitionBy(*group).orderBy("timestamp")))
+
+    got = skew.over_segments(df, ["machine_id"], "timestamp", body, before=1)
+    assert sorted((r.i, r.lag) for r in got.collect()) == [(i, i - 1 if i else None) for i in range(900)]
+    assert sizes["largest"] <= 3 * small_groups
+
+
+def test_broadcasts_have_a_bound_in_bytes(spark):
+    small = spark.range(10).select("id", F.lit("x").alias("t"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(skew.checked_broadcast(small))
+    spark.conf.set("spark.plantflow.maxBroadcastBytes", "100")
+    assert not hinted(skew.checked_broadcast(small))
+    spark.conf.unset("spark.plantflow.maxBroadcastBytes")
+
+
+def test_only_local_sessions_get_a_folder_of_their_own():
+    from plantflow import session
+
+    assert session.is_local("local") and session.is_local("local[8]")
+    assert not session.is_local("local-cluster[2,1,1024]") and not session.is_local("spark://host:7077")
