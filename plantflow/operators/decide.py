@@ -178,47 +178,81 @@ def combine(machines: DataFrame, *parts: DataFrame, key: str = "machine_id") ->
     return machines
 
 
-def _summary(part: str, fields: Sequence[str]) -> Column:
-    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{f}="), F.coalesce(F.col(f).cast("string"), F.lit("None"))) for f in fields])
+def _shown(name: str, kind: str) -> Column:
+    """A value as the trace writes it."""
+    value = F.col(name)
+    if kind == "boolean":
+        text = F.when(value, "True").when(~value, "False")
+    else:
+        text = value.cast("string")
+    return F.coalesce(text, F.lit("None"))
+
+
+def _name_list(names: Column) -> Column:
+    quoted = F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'")))
+    return F.concat(F.lit("["), F.coalesce(F.array_join(quoted, ", "), F.lit("")), F.lit("]"))
+
+
+def _summary(part: str, fields: Sequence[tuple[str, str]]) -> Column:
+    """The first fields of a part's record, under their names there; its status if it has none."""
+    named = [F.concat(F.lit(f"{shown}="), _shown(f, TRACE_COLUMNS[f])) for shown, f in fields]
     status = F.col(f"{part}_status")
-    return F.when(status == "ok", shown).otherwise(F.concat(F.lit("status="), F.coalesce(status, F.lit("None"))))
+    return F.when(status == "ok", F.concat_ws(", ", *named)).otherwise(
+        F.concat(F.lit("status="), F.coalesce(status, F.lit("unavailable")))
+    )
+
+
+# Fields the trace shows beside the findings; a classifier of two classes knows no defect type or severity.
+TRACE_COLUMNS = FINDING_COLUMNS | {
+    "machine_id": "string", "defect_type": "string", "severity": "string", "nlp_source_timestamp": "string",
+    "question": "string", "answer": "string", "used_live_llm": "boolean",
+}
 
 
 def with_trace(decided: DataFrame) -> DataFrame:
-    """Add the execution trace: one entry per part with status, inputs, four output fields and the reason."""
-    asked = F.concat(F.lit("machine_id="), F.col("machine_id"))
+    """Add the execution trace: one entry per part with status, input, output and the reason."""
+    decided = complete(decided)
+    added = {c: F.lit(None).cast(t) for c, t in TRACE_COLUMNS.items() if c not in decided.columns}
+    added |= {"used_live_llm": F.lit(False)} if "used_live_llm" in added else {}
+    added |= {"question": knowledge_question()} if "question" in added else {}
+    rows = decided.withColumns(added)
+    machine = F.concat(F.lit("machine_id="), F.col("machine_id"))
+    question = F.concat(F.lit("question='"), F.col("question"), F.lit("'"))
+    seen = F.coalesce(F.col("vision_status") == "ok", F.lit(False))
+    explained = F.coalesce(F.size("top_features") > 0, F.lit(False)) & F.coalesce(F.col("pm_status") == "ok", F.lit(False))
+    features = F.when(explained, F.col("top_features"))
+    state = {p: F.coalesce(F.col(f"{p}_status"), F.lit("unavailable")) for p in ("vision", "pm", "nlp", "twin", "rag")}
     steps = [
-        ("vision_agent", "vision", ["machine_id", "defect_detected", "vision_confidence", "vision_class"]),
-        ("predictive_maintenance_agent", "pm", ["machine_id", "failure_probability", "predicted_failure", "risk_level"]),
-        ("nlp_info", "nlp", ["machine_id", "incident_type", "note_confidence"]),
-        ("digital_twin", "twin", ["recommended_scenario"]),
-        ("knowledge_rag_agent", "rag", ["grounded"]),
-    ]
+        ("vision_agent", state["vision"], machine, _summary("vision", [(f, f) for f in ("machine_id", "defect_detected", "defect_type", "severity")]), "vision_reason"),
+        ("predictive_maintenance_agent", state["pm"], machine, _summary("pm", [(f, f) for f in ("machine_id", "failure_probability", "predicted_failure", "risk_level")]), "pm_reason"),
+        ("nlp_info", state["nlp"], machine, _summary("nlp", [("machine_id", "machine_id"), ("incident_type", "incident_type"), ("confidence", "note_confidence"), ("source_timestamp", "nlp_source_timestamp")]), "nlp_reason"),
+        ("xai_layer", F.when(explained | seen, "ok").otherwise("unavailable"), machine, F.concat(F.lit("top_features="), _name_list(features), F.lit(", vision_available="), F.when(seen, "True").otherwise("False")), None),
+        ("digital_twin", state["twin"], machine, F.concat(F.lit("recommended_scenario="), _shown("recommended_scenario", "string")), "twin_reason"),
+        ("knowledge_rag_agent", state["rag"], question, _summary("rag", [(f, f) for f in ("question", "answer", "grounded", "used_live_llm")]), "rag_reason"),
+        ("planning_decision_agent", F.lit("ok"), F.lit("vision+predictive_maintenance+nlp+rag results"), F.concat(F.lit("priority="), F.col("priority"), F.lit(", recommendation="), F.substring("recommendation", 1, 80), F.lit("...")), None),
+    ]
     entries = [
         F.struct(
             F.lit(agent).alias("agent"),
-            F.coalesce(F.col(f"{part}_status"), F.lit("unavailable")).alias("status"),
+            status.alias("status"),
             asked.alias("input_summary"),
-            _summary(part, fields).alias("output_summary"),
-            F.col(f"{part}_reason").alias("error"),
+            said.alias("output_summary"),
+            (F.col(reason) if reason else F.lit(None).cast("string")).alias("error"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         )
-        for agent, part, fields in steps
+        for agent, status, asked, said, reason in steps
     ]
-    final = F.struct(
-        F.lit("planning_decision_agent").alias("agent"),
-        F.lit("ok").alias("status"),
-        F.lit("vision+predictive_maintenance+nlp+rag results").alias("input_summary"),
-        F.concat(F.lit("priority="), F.col("priority"), F.lit(", recommendation="), F.substring("recommendation", 1, 80), F.lit("...")).alias("output_summary"),
-        F.lit(None).cast("string").alias("error"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-    )
-    return complete(decided).withColumn("trace", F.array(*entries, final))
+    return rows.withColumn("trace", F.array(*entries)).drop(*[c for c in added if c not in FINDING_COLUMNS])
 
 
 # --- human review ---------------------------------------------------------
 
 
+def _quoted(name: str) -> Column:
+    """A string as it is shown in a message; nothing shows as None."""
+    return F.coalesce(F.concat(F.lit("'"), F.col(name), F.lit("'")), F.lit("None"))
+
+
 def check_decisions(decisions: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Join human decisions to their recommendation and name the first broken rule in `error`.
 
@@ -230,7 +264,7 @@ def check_decisions(decisions: DataFrame, recommendations: DataFrame) -> DataFra
         return F.coalesce(F.col(c), F.lit("")) == ""
 
     error = (
-        F.when(~said.isin(wording.DECISIONS), F.format_string(wording.ERROR_DECISION, F.coalesce("human_decision", F.lit("None"))))
+        F.when(~said.isin(wording.DECISIONS), F.format_string(wording.ERROR_DECISION, _quoted("human_decision")))
         .when((said == "REJECT") & blank("comment"), wording.ERROR_REJECT)
         .when((said == "MODIFY") & blank("modified_action"), wording.ERROR_ACTION)
         .when((said == "MODIFY") & blank("comment"), wording.ERROR_MODIFY)

@@ -18,11 +18,14 @@ def neutralisation_importance(windows: DataFrame, features: Sequence[str], score
 
     `windows` hold standardised values, so the mean is 0. Each window becomes one
     row per feature plus itself, all scored in a single batch call:
-    `(key..., base_prob, feature, value, contribution)`.
+    `(key..., base_prob, feature, value, contribution)`. `value` is the feature's
+    real value in the last row, from the array `actual` where windows carry one.
     """
     key = list(key)
+    if "actual" not in windows.columns:
+        windows = windows.withColumn("actual", F.element_at("window", -1))
     changed = F.explode(F.sequence(F.lit(0), F.lit(len(features))))
-    varied = windows.select(*key, "window", changed.alias("_f")).withColumn(
+    varied = windows.select(*key, "window", "actual", changed.alias("_f")).withColumn(
         "varied",
         F.transform("window", lambda row: F.transform(row, lambda v, i: F.when(i + 1 == F.col("_f"), F.lit(0.0)).otherwise(v))),
     )
@@ -36,7 +39,7 @@ def neutralisation_importance(windows: DataFrame, features: Sequence[str], score
             *key,
             "base_prob",
             F.element_at(names, F.col("_f")).alias("feature"),
-            F.element_at(F.element_at(F.col("window"), -1), F.col("_f")).alias("value"),
+            F.element_at("actual", F.col("_f")).alias("value"),
             (F.col("base_prob") - F.col("prob")).alias("contribution"),
             F.col("_f").alias("feature_order"),
         )
@@ -95,13 +98,14 @@ def human_summary(risk_level: Column, probability: Column, explanations: Column,
     up, down = _named(explanations, "increases_risk", 3), _named(explanations, "decreases_risk", 2)
     parts = F.array(
         F.when(risk_level.isNotNull(), F.format_string(wording.SUMMARY_RISK, risk_level, fn.percent(F.coalesce(probability, F.lit(0.0)))))
-        .otherwise(F.lit(wording.SUMMARY_NO_RISK)),
+        .when(probability.isNull(), F.lit(wording.SUMMARY_NO_RISK)),
         F.when(up.isNotNull(), F.format_string(wording.SUMMARY_UP, up)),
         F.when(down.isNotNull(), F.format_string(wording.SUMMARY_DOWN, down)),
         F.when(vision_class == "defect", F.format_string(wording.SUMMARY_DEFECT, fn.percent(vision_confidence)))
         .when(vision_class.isNotNull(), F.format_string(wording.SUMMARY_NO_DEFECT, fn.percent(vision_confidence))),
     )
-    return F.array_join(F.array_compact(parts), " ")
+    said = F.array_compact(parts)
+    return F.when(F.size(said) == 0, F.lit(wording.SUMMARY_NONE)).otherwise(F.array_join(said, " "))
 
 
 def explanation_record(findings: DataFrame) -> DataFrame:

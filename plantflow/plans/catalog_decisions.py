@@ -35,20 +35,20 @@ THRESHOLD = 0.25
 
 common(
     "images",
-    "SELECT 'M-' || user_id AS machine_id, ts, event_id, CASE WHEN k > 93 THEN 'defect' ELSE 'normal' END AS cv_prediction, k / 100.0::DOUBLE AS cv_confidence, 'img_' || event_id AS image_path FROM ev WHERE event_type = 'view' AND k >= 88",
+    "SELECT 'M-' || user_id AS machine_id, ts, event_id, CASE WHEN k > 93 THEN 'defect' ELSE 'normal' END AS cv_prediction, k / 100.0::DOUBLE AS cv_confidence, 'img_' || event_id AS image_path FROM ev WHERE event_type = 'view' AND user_id % 4 <> 1",
     ("ev",),
 )
 common(
     "note_results",
-    "SELECT 'M-' || user_id AS machine_id, ts, event_id, (" + str(_KINDS) + ")[event_id % 5 + 1] AS nlp_prediction, (100 - k) / 100.0::DOUBLE AS nlp_confidence, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp FROM ev WHERE event_type = 'signup' AND k < 8",
+    "SELECT 'M-' || user_id AS machine_id, ts, event_id, (" + str(_KINDS) + ")[event_id % 5 + 1] AS nlp_prediction, (100 - k) / 100.0::DOUBLE AS nlp_confidence, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp FROM ev WHERE event_type = 'signup' AND user_id % 5 <> 2",
     ("ev",),
 )
 common(
     "findings",
     """
 SELECT coalesce(i.machine_id, n.machine_id) AS machine_id, cv_prediction, cv_confidence, image_path AS cv_source_image, nlp_prediction, nlp_confidence, timestamp AS nlp_source_timestamp
-FROM (SELECT * FROM images QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY ts DESC) = 1) i
-FULL OUTER JOIN (SELECT * FROM note_results QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY ts DESC) = 1) n ON i.machine_id = n.machine_id""",
+FROM (SELECT * FROM images QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY ts DESC, event_id DESC) = 1) i
+FULL OUTER JOIN (SELECT * FROM note_results QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY ts DESC, event_id DESC) = 1) n ON i.machine_id = n.machine_id""",
     ("images", "note_results"),
 )
 common(
@@ -117,19 +117,19 @@ FROM decision_input""",
 
 def _findings(spark, sf_dir):
     events = inputs.events(spark, sf_dir).withColumn("machine_id", F.concat(F.lit("M-"), F.col("user_id").cast("string")))
-    images = events.filter((F.col("event_type") == "view") & (F.col("k") >= 88)).select(
-        "machine_id", "ts",
+    images = events.filter((F.col("event_type") == "view") & (F.col("user_id") % 4 != 1)).select(
+        "machine_id", "ts", "event_id",
         F.when(F.col("k") > 93, "defect").otherwise("normal").alias("cv_prediction"),
         (F.col("k") / 100.0).alias("cv_confidence"),
         F.concat(F.lit("img_"), F.col("event_id").cast("string")).alias("image_path"),
     )
-    notes = events.filter((F.col("event_type") == "signup") & (F.col("k") < 8)).select(
-        "machine_id", "ts",
+    notes = events.filter((F.col("event_type") == "signup") & (F.col("user_id") % 5 != 2)).select(
+        "machine_id", "ts", "event_id",
         F.element_at(F.array(*[F.lit(v) for v in _KINDS]), (F.col("event_id") % 5 + 1).cast("int")).alias("nlp_prediction"),
         ((100 - F.col("k")) / 100.0).alias("nlp_confidence"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
     )
-    return decide.latest_findings(images, notes, [F.col("ts")], [F.col("ts")])
+    return decide.latest_findings(images, notes, [F.col("ts"), F.col("event_id")], [F.col("ts"), F.col("event_id")])
 
 
 def _states(spark, sf_dir):
@@ -208,13 +208,16 @@ def finding_status(spark, sf_dir):
     return joined.select("machine_id", "vision_status", "vision_reason", "nlp_status", "nlp_reason")
 
 
-@query(
-    "knowledge_question",
+common(
+    "questions",
     f"""
 SELECT machine_id, CASE WHEN risk_level IN ('HIGH', 'MEDIUM') THEN {filled(wording.QUESTION_SIGNAL, "replace(signals[1], '_', ' ')")}
   WHEN {_DEFECT} THEN {q(wording.QUESTION_DEFECT)} ELSE {q(wording.QUESTION_ROUTINE)} END AS question FROM decision_input""",
     ("decision_input",),
 )
+
+
+@query("knowledge_question", "SELECT machine_id, question FROM questions", ("questions",))
 def knowledge_question(spark, sf_dir):
     """The question each machine's findings raise."""
     return _decision_input(spark, sf_dir).select("machine_id", decide.knowledge_question().alias("question"))
@@ -222,12 +225,12 @@ def knowledge_question(spark, sf_dir):
 
 @query(
     "compounded_risk",
-    "SELECT id, round(1 - pow(1 - prob, greatest(0, id % 9 - 2)), 6) AS risk FROM scored WHERE model = 'ratio'",
+    "SELECT model, id, round(1 - pow(1 - prob, greatest(0, id % 9 - 2)), 6) AS risk FROM scored",
     ("scored",),
 )
 def compounded_risk(spark, sf_dir):
-    scored = inputs.scored(spark, sf_dir).filter(F.col("model") == "ratio")
-    return rounded(scored.select("id", fn.compounded_risk("prob", (F.col("id") % 9 - 2).cast("double")).alias("risk")))
+    scored = inputs.scored(spark, sf_dir)
+    return rounded(scored.select("model", "id", fn.compounded_risk("prob", (F.col("id") % 9 - 2).cast("double")).alias("risk")))
 
 
 _STATE = ["machine_id", "production_rate", "p_continue", "p_maintenance", "p_reduced"]
@@ -283,16 +286,26 @@ def decision_reasoning(spark, sf_dir):
 @query(
     "decision_trace",
     """
-SELECT machine_id, step, agent, status FROM (
-  SELECT machine_id, unnest([1, 2, 3, 4, 5, 6]) AS step, unnest(['vision_agent', 'predictive_maintenance_agent', 'nlp_info', 'digital_twin', 'knowledge_rag_agent', 'planning_decision_agent']) AS agent,
-    unnest([vision_status, pm_status, nlp_status, 'ok', coalesce(rag_status, 'unavailable'), 'ok']) AS status FROM decided)""",
-    ("decided",),
+SELECT machine_id, unnest([1, 2, 3, 4, 5, 6, 7]) AS step,
+  unnest(['vision_agent', 'predictive_maintenance_agent', 'nlp_info', 'xai_layer', 'digital_twin', 'knowledge_rag_agent', 'planning_decision_agent']) AS agent,
+  unnest([vision_status, pm_status, nlp_status, CASE WHEN pm_status = 'ok' OR vision_status = 'ok' THEN 'ok' ELSE 'unavailable' END, 'ok', coalesce(rag_status, 'unavailable'), 'ok']) AS status,
+  unnest([asked, asked, asked, asked, asked, 'question=''' || question || '''', 'vision+predictive_maintenance+nlp+rag results']) AS input_summary,
+  unnest([
+    CASE WHEN vision_status = 'ok' THEN asked || ', defect_detected=' || CASE WHEN defect THEN 'True' ELSE 'False' END || ', defect_type=None, severity=None' ELSE 'status=unavailable' END,
+    CASE WHEN pm_status = 'ok' THEN asked || ', failure_probability=' || failure_probability || ', predicted_failure=' || CASE WHEN risk_level = 'HIGH' THEN 1 ELSE 0 END || ', risk_level=' || risk_level ELSE 'status=unavailable' END,
+    CASE WHEN nlp_status = 'ok' THEN asked || ', incident_type=' || incident_type || ', confidence=' || note_confidence || ', source_timestamp=' || nlp_source_timestamp ELSE 'status=unavailable' END,
+    'top_features=[' || CASE WHEN pm_status = 'ok' THEN '''' || signals[2] || ''', ''' || signals[1] || '''' ELSE '' END || '], vision_available=' || CASE WHEN vision_status = 'ok' THEN 'True' ELSE 'False' END,
+    'recommended_scenario=' || recommended_scenario,
+    CASE WHEN rag_status = 'ok' THEN 'question=' || question || ', answer=None, grounded=' || CASE WHEN grounded THEN 'True' ELSE 'False' END || ', used_live_llm=False' ELSE 'status=unavailable' END,
+    'priority=' || priority || ', recommendation=' || substr(recommendation, 1, 80) || '...']) AS output_summary
+FROM (SELECT *, 'machine_id=' || machine_id AS asked FROM decided JOIN questions USING (machine_id) LEFT JOIN (SELECT machine_id, nlp_source_timestamp FROM findings) USING (machine_id))""",
+    ("decided", "questions", "findings"),
 )
 def decision_trace(spark, sf_dir):
     """The execution trace of every machine, step by step."""
     traced = decide.with_trace(decide.decide(_decision_input(spark, sf_dir)))
     return traced.select("machine_id", F.posexplode("trace").alias("p", "e")).select(
-        "machine_id", (F.col("p") + 1).alias("step"), "e.agent", "e.status"
+        "machine_id", (F.col("p") + 1).alias("step"), "e.agent", "e.status", "e.input_summary", "e.output_summary"
     )
 
 
@@ -301,14 +314,15 @@ def decision_trace(spark, sf_dir):
 common(
     "human_decisions",
     """
-SELECT 'M-' || user_id AS machine_id, event_id, ['approve', 'REJECT', 'Modify', 'MAYBE', 'APPROVE'][k % 5 + 1] AS human_decision, CASE WHEN k % 3 = 0 THEN '' WHEN k % 3 = 1 THEN 'because ' || k END AS comment,
+SELECT 'M-' || user_id AS machine_id, event_id, ['approve', 'REJECT', 'Modify', 'MAYBE', 'APPROVE', NULL][k % 6 + 1] AS human_decision, CASE WHEN k % 3 = 0 THEN '' WHEN k % 3 = 1 THEN 'because ' || k END AS comment,
   CASE WHEN k % 2 = 0 THEN 'inspect line ' || k END AS modified_action, 'sup_' || (k % 4) AS supervisor FROM ev WHERE event_type = 'click'""",
     ("ev",),
 )
+_QUOTED = "coalesce('''' || human_decision || '''', 'None')"
 common(
     "checked",
     f"""
-SELECT h.*, d.recommendation, CASE WHEN upper(human_decision) NOT IN ('APPROVE', 'REJECT', 'MODIFY') THEN {filled(wording.ERROR_DECISION, 'human_decision')}
+SELECT h.*, d.recommendation, CASE WHEN coalesce(upper(human_decision), '') NOT IN ('APPROVE', 'REJECT', 'MODIFY') THEN {filled(wording.ERROR_DECISION, _QUOTED)}
   WHEN upper(human_decision) = 'REJECT' AND coalesce(comment, '') = '' THEN {q(wording.ERROR_REJECT)} WHEN upper(human_decision) = 'MODIFY' AND modified_action IS NULL THEN {q(wording.ERROR_ACTION)}
   WHEN upper(human_decision) = 'MODIFY' AND coalesce(comment, '') = '' THEN {q(wording.ERROR_MODIFY)} WHEN d.recommendation IS NULL THEN {q(wording.ERROR_EMPTY)} END AS error
 FROM human_decisions h LEFT JOIN (SELECT machine_id, recommendation FROM decided WHERE pm_status = 'ok') d USING (machine_id)""",
@@ -318,12 +332,12 @@ FROM human_decisions h LEFT JOIN (SELECT machine_id, recommendation FROM decided
 
 def _checked(spark, sf_dir):
     events = inputs.events(spark, sf_dir).filter(F.col("event_type") == "click")
-    kinds = F.array(*[F.lit(v) for v in ("approve", "REJECT", "Modify", "MAYBE", "APPROVE")])
+    kinds = F.array(*[F.lit(v) for v in ("approve", "REJECT", "Modify", "MAYBE", "APPROVE", None)])
     k = F.col("k")
     decisions = events.select(
         F.concat(F.lit("M-"), F.col("user_id").cast("string")).alias("machine_id"),
         "event_id",
-        F.element_at(kinds, (k % 5 + 1).cast("int")).alias("human_decision"),
+        F.element_at(kinds, (k % 6 + 1).cast("int")).alias("human_decision"),
         F.when(k % 3 == 0, "").when(k % 3 == 1, F.concat(F.lit("because "), k.cast("string"))).alias("comment"),
         F.when(k % 2 == 0, F.concat(F.lit("inspect line "), k.cast("string"))).alias("modified_action"),
         F.concat(F.lit("sup_"), (k % 4).cast("string")).alias("supervisor"),

@@ -170,19 +170,19 @@ def misclassified_rows(spark, sf_dir):
 
 @query(
     "risk_levels",
-    "SELECT id, CASE WHEN prob >= 0.7 THEN 1 ELSE 0 END AS predicted_failure, CASE WHEN prob >= 0.7 THEN 'HIGH' WHEN prob < 0.35 THEN 'LOW' ELSE 'MEDIUM' END AS risk_level FROM scored WHERE model = 'ratio'",
+    "SELECT model, id, CASE WHEN prob >= 0.7 THEN 1 ELSE 0 END AS predicted_failure, CASE WHEN prob >= 0.7 THEN 'HIGH' WHEN prob < 0.35 THEN 'LOW' ELSE 'MEDIUM' END AS risk_level FROM scored",
     ("scored",),
 )
 def risk_levels(spark, sf_dir):
-    scored = inputs.scored(spark, sf_dir).filter(F.col("model") == "ratio")
-    return score.risk(scored, 0.7).select("id", "predicted_failure", "risk_level")
+    scored = inputs.scored(spark, sf_dir)
+    return score.risk(scored, 0.7).select("model", "id", "predicted_failure", "risk_level")
 
 
 @query(
     "class_confidence",
-    "SELECT id, CASE WHEN prob >= 0.5 THEN 'defect' ELSE 'normal' END AS prediction, round(CASE WHEN prob >= 0.5 THEN prob ELSE 1 - prob END, 6) AS confidence FROM scored WHERE model = 'counter'",
+    "SELECT model, id, CASE WHEN prob >= 0.5 THEN 'defect' ELSE 'normal' END AS prediction, round(CASE WHEN prob >= 0.5 THEN prob ELSE 1 - prob END, 6) AS confidence FROM scored",
     ("scored",),
 )
 def class_confidence(spark, sf_dir):
-    scored = inputs.scored(spark, sf_dir).filter(F.col("model") == "counter")
-    return rounded(score.binary_decision(scored).select("id", "prediction", "confidence"))
+    scored = inputs.scored(spark, sf_dir)
+    return rounded(score.binary_decision(scored).select("model", "id", "prediction", "confidence"))

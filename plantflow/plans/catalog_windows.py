@@ -130,7 +130,7 @@ common(
 )
 common(
     "signal_z",
-    "SELECT l.machine_id, l.position, st.i, st.name, st.w, (coalesce(l.v, st.med) - st.m) / st.s AS z FROM ("
+    "SELECT l.machine_id, l.position, st.i, st.name, st.w, coalesce(l.v, st.med) AS actual, (coalesce(l.v, st.med) - st.m) / st.s AS z FROM ("
     + " UNION ALL ".join(f"SELECT machine_id, position, {i} AS i, {c} AS v FROM latest_window" for i, c in enumerate(SIGNALS))
     + ") l JOIN signal_stats st USING (i)",
     ("latest_window", "signal_stats"),
@@ -140,7 +140,7 @@ common(
     f"""
 SELECT machine_id, name AS feature, i, value, base_prob, base_prob - 1 / (1 + exp(-(total - part))) AS contribution FROM (
   SELECT *, sum(part) OVER (PARTITION BY machine_id) + ({INTERCEPT}) AS total, 1 / (1 + exp(-(sum(part) OVER (PARTITION BY machine_id) + ({INTERCEPT})))) AS base_prob FROM (
-    SELECT machine_id, name, i, w * avg(z) AS part, max(z) FILTER (position = 5) AS value FROM signal_z GROUP BY machine_id, name, i, w))""",
+    SELECT machine_id, name, i, w * avg(z) AS part, max(actual) FILTER (position = 5) AS value FROM signal_z GROUP BY machine_id, name, i, w))""",
     ("signal_z",),
 )
 
@@ -152,8 +152,10 @@ def _contract(features):
 def _latest_standardised(spark, sf_dir):
     features = durable(tables.feature_table(spark, sf_dir).select("machine_id", "split", "sim_day", "shift", *SIGNALS))
     contract = _contract(features)
-    recent = score.latest_window(features)
-    return encode.apply_contract(recent, contract, keep=["machine_id", "position"]), contract
+    recent = durable(score.latest_window(features))
+    filled = encode.flag_and_impute(recent.filter(F.col("position") == SEQUENCE_SHIFTS), contract.medians, [])
+    actual = filled.select("machine_id", F.array(*[F.col(c).cast("double") for c in SIGNALS]).alias("actual"))
+    return encode.apply_contract(recent, contract, keep=["machine_id", "position"]), actual
 
 
 @query(
@@ -163,15 +165,15 @@ def _latest_standardised(spark, sf_dir):
 )
 def important_signals(spark, sf_dir):
     """The three channels of each machine's last shift that deviate most from training."""
-    rows, contract = _latest_standardised(spark, sf_dir)
+    rows, _ = _latest_standardised(spark, sf_dir)
     last = rows.filter(F.col("position") == SEQUENCE_SHIFTS)
     unit = {c: 0.0 for c in SIGNALS}, {c: 1.0 for c in SIGNALS}
     return score.important_signals(last, SIGNALS, *unit).select("machine_id", F.array_join("important_signals", ",").alias("signals"))
 
 
 def _attributions(spark, sf_dir):
-    rows, _ = _latest_standardised(spark, sf_dir)
-    windows = score.window_arrays(rows, SIGNALS)
+    rows, actual = _latest_standardised(spark, sf_dir)
+    windows = score.window_arrays(rows, SIGNALS).join(actual, "machine_id")
     return explain.neutralisation_importance(windows, SIGNALS, score.linear_scorer(COEFFICIENTS, INTERCEPT))
 
 
@@ -222,17 +224,16 @@ def explanation_summary(spark, sf_dir):
     "linear_contributions",
     "SELECT l_orderkey, l_linenumber, l_partkey, feature, value, round(contribution, 4) AS contribution FROM ("
     + " UNION ALL ".join(
-        f"SELECT l_orderkey, l_linenumber, l_partkey, '{c}' AS feature, {c} AS value, {w}::DOUBLE * ({c} - (SELECT avg({c}) FROM lineitem)) AS contribution FROM lineitem WHERE l_returnflag = 'R'"
+        f"SELECT l_orderkey, l_linenumber, l_partkey, '{c}' AS feature, {c} AS value, {w}::DOUBLE * ({c} - (SELECT avg({c}) FROM lineitem)) AS contribution FROM lineitem"
         for c, w in (("l_quantity", 0.02), ("l_discount", -3.0), ("l_tax", 1.5))
     )
     + ")",
 )
 def linear_contributions(spark, sf_dir):
-    """Contributions of a linear model against the mean of all rows, for every returned line."""
+    """Contributions of a linear model against the mean of all rows, for every line."""
     lines = inputs.table(spark, sf_dir, "lineitem")
-    returned = lines.filter(F.col("l_returnflag") == "R")
     weights = {"l_quantity": 0.02, "l_discount": -3.0, "l_tax": 1.5}
-    parts = explain.linear_contributions(returned, lines, weights, ["l_orderkey", "l_linenumber", "l_partkey"])
+    parts = explain.linear_contributions(lines, lines, weights, ["l_orderkey", "l_linenumber", "l_partkey"])
     return rounded(parts.drop("feature_order"), 4, "value")
 
 

@@ -109,8 +109,10 @@ def decide_all(
     recent = encode.flag_and_impute(score.latest_window(table, window), contract.medians, [])
     raw = encode.one_hot(recent.withColumn("_status", F.col("operating_status")), contract.categories)
     state = raw.filter(F.col("position") == window)
-    windows = durable(score.window_arrays(encode.apply_contract(recent, contract, keep=["machine_id", "position"]), names))
     state = durable(state)
+    actual = state.select("machine_id", F.array(*[F.col(c).cast("double") for c in names]).alias("actual"))
+    standardised = score.window_arrays(encode.apply_contract(recent, contract, keep=["machine_id", "position"]), names)
+    windows = durable(standardised.join(actual, "machine_id"))
 
     contributions = durable(explain.neutralisation_importance(windows, names, scorer))
     chances = contributions.groupBy("machine_id").agg(F.max("base_prob").alias("prob"))

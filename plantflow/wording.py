@@ -21,6 +21,7 @@ QUESTION_ROUTINE = "What is the standard preventive maintenance procedure for th
 
 SUMMARY_RISK = "Predicted risk: %s (failure probability %s)."
 SUMMARY_NO_RISK = "No predictive-maintenance explanation is available for this machine."
+SUMMARY_NONE = "No explanation could be generated - see the individual component statuses for reasons."
 SUMMARY_UP = "The prediction is pushed toward failure mainly by: %s."
 SUMMARY_DOWN = "Pushing toward normal operation: %s."
 SUMMARY_DEFECT = (
@@ -73,7 +74,7 @@ UNAVAILABLE_VISION = "No vision result found for machine %s"
 UNAVAILABLE_NOTE = "No maintenance-note result found for machine %s"
 
 DECISIONS = ["APPROVE", "REJECT", "MODIFY"]
-ERROR_DECISION = "human_decision must be one of ['APPROVE', 'MODIFY', 'REJECT'], got '%s'"
+ERROR_DECISION = "human_decision must be one of ['APPROVE', 'MODIFY', 'REJECT'], got %s"
 ERROR_REJECT = "REJECT requires a reason/comment"
 ERROR_ACTION = "MODIFY requires a modified_action"
 ERROR_MODIFY = "MODIFY requires a reason/comment"

@@ -70,9 +70,28 @@ def test_reasoning_lines(spark):
 
 def test_trace_has_every_step(spark):
     trace = decide.with_trace(decide.decide(findings(spark, **risk("LOW")))).first().trace
-    assert [t.agent for t in trace] == ["vision_agent", "predictive_maintenance_agent", "nlp_info", "digital_twin", "knowledge_rag_agent", "planning_decision_agent"]
-    assert [t.status for t in trace] == ["unavailable", "ok", "unavailable", "unavailable", "unavailable", "ok"]
+    assert [t.agent for t in trace] == [
+        "vision_agent", "predictive_maintenance_agent", "nlp_info", "xai_layer", "digital_twin", "knowledge_rag_agent", "planning_decision_agent",
+    ]
+    assert [t.status for t in trace] == ["unavailable", "ok", "unavailable", "unavailable", "unavailable", "unavailable", "ok"]
     assert trace[1].output_summary == "machine_id=M-1, failure_probability=0.5, predicted_failure=None, risk_level=LOW"
+    assert trace[0].output_summary == "status=unavailable"
+    assert trace[3].output_summary == "top_features=[], vision_available=False"
+    assert trace[4].output_summary == "recommended_scenario=None"
+    assert trace[5].input_summary == f"question='{wording.QUESTION_ROUTINE}'"
+
+
+def test_trace_names_features_and_vision(spark):
+    given = findings(spark, **risk("LOW")).withColumns(
+        {
+            "top_features": F.array(F.lit("a"), F.lit("b")),
+            "vision_status": F.lit("ok"),
+            "defect_detected": F.lit(True),
+        }
+    )
+    trace = decide.with_trace(decide.decide(given)).first().trace
+    assert trace[0].output_summary == "machine_id=M-1, defect_detected=True, defect_type=None, severity=None"
+    assert (trace[3].status, trace[3].output_summary) == ("ok", "top_features=['a', 'b'], vision_available=True")
 
 
 def test_latest_findings_keep_one_sided_machines(spark):
@@ -213,7 +232,7 @@ def checked(spark, *rows):
         (("M-1", "REJECT", "", None, "s"), wording.ERROR_REJECT),
         (("M-1", "MODIFY", "c", None, "s"), wording.ERROR_ACTION),
         (("M-1", "MODIFY", None, "a", "s"), wording.ERROR_MODIFY),
-        (("M-1", "MAYBE", "c", "a", "s"), wording.ERROR_DECISION % "MAYBE"),
+        (("M-1", "MAYBE", "c", "a", "s"), wording.ERROR_DECISION % "'MAYBE'"),
         (("M-1", None, "c", "a", "s"), wording.ERROR_DECISION % "None"),
         (("M-2", "APPROVE", None, None, "s"), wording.ERROR_EMPTY),
     ],
