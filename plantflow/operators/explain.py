@@ -66,7 +66,8 @@ def linear_contributions(rows: DataFrame, background: DataFrame, coefficients: d
 
 def background_sample(df: DataFrame, id_column: str, n: int = 50, seed: int = 42) -> DataFrame:
     """A seeded sample of exactly `n` rows (all rows if fewer): the smallest hashes, found without a full sort."""
-    return df.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), F.col(id_column)).limit(n)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string")).cast("binary"))
+    return df.orderBy(digest, F.col(id_column)).limit(n)
 
 
 def top_contributions(contributions: DataFrame, key: Sequence[str] = ("machine_id",), k: int = TOP_FEATURES) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -105,12 +106,20 @@ def retrieve(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: fl
 def dense_search(queries: DataFrame, vectors: DataFrame, top_k: int = TOP_K, limit: int = 1000) -> DataFrame:
     """Cosine top-k of dense vectors: `queries(query_id, vector)`, `vectors(item_id, vector)`.
 
-    The query batch is checked to be small and handed to every task as one
-    array; each vector is scored where it lies and only ranks up to `top_k` move.
+    Queries are taken in blocks of about `limit`, spread by a hash of their id. A
+    block is handed to every task as one array; each vector is scored where it
+    lies and only ranks up to `top_k` move.
     """
-    batch = queries.limit(limit + 1).count()
-    if batch > limit:
-        raise ValueError(f"more than {limit} queries in one batch; split it")
+    queries = durable(queries.select("query_id", "vector"))
+    blocks = max(1, -(-queries.count() // limit))
+    if blocks == 1:
+        return _dense_block(queries, vectors, top_k)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    found = [_dense_block(queries.filter(block == i), vectors, top_k) for i in range(blocks)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _dense_block(queries: DataFrame, vectors: DataFrame, top_k: int) -> DataFrame:
     asked = queries.agg(
         F.collect_list(F.struct("query_id", "vector", fn.l2_norm(F.col("vector")).alias("norm"))).alias("q")
     )

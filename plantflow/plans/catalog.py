@@ -3,6 +3,7 @@
 from plantflow.plans import (  # noqa: F401
     catalog_cleaning,
     catalog_decisions,
+    catalog_edges,
     catalog_evaluation,
     catalog_jobs,
     catalog_profile,

@@ -160,8 +160,8 @@ def random_forest(spark, sf_dir):
 
 @query("gradient_boosting")
 def gradient_boosting(spark, sf_dir):
-    """Boosted trees; the round count is a parameter, and 20 rounds keep this demonstration short."""
-    return _trained(spark, sf_dir, "gradient_boosting", rounds=20)
+    """Boosted trees with the full number of rounds."""
+    return _trained(spark, sf_dir, "gradient_boosting")
 
 
 @query("text_classifier")

@@ -85,16 +85,19 @@ common("chunk_weights", _weights("chunk_terms", "chunk_vocabulary", "chunk_id"),
 common("asked", "SELECT item_id AS query_id, text AS question FROM benchmark")
 common("asked_terms", _terms("asked", "query_id", "question", True), ("asked",))
 common("asked_weights", _weights("asked_terms", "chunk_vocabulary", "query_id"), ("asked_terms", "chunk_vocabulary"))
-common(
-    "evidence",
-    """
+CUT = 0.4
+
+
+def _evidence(cut: float) -> str:
+    return f"""
 SELECT query_id, rank, c.document, c.page, c.section, c.text AS evidence, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, chunk_id) AS rank FROM (
     SELECT a.query_id, w.chunk_id, sum(a.weight * w.weight) AS score FROM asked_weights a JOIN chunk_weights w ON a.term = w.term GROUP BY a.query_id, w.chunk_id)) s
-JOIN chunks c USING (chunk_id) WHERE rank <= 4 AND score >= {cut}""".replace("{cut}", "0.4"),
-    ("asked_weights", "chunk_weights", "chunks"),
-)
-CUT = 0.4
+JOIN chunks c USING (chunk_id) WHERE rank <= 4 AND score >= {cut}"""
+
+
+for _name, _cut in (("evidence", CUT), ("evidence_by_default", retrieve.MIN_SCORE)):
+    common(_name, _evidence(_cut), ("asked_weights", "chunk_weights", "chunks"))
 
 
 def _notes(spark, sf_dir):

@@ -237,11 +237,16 @@ def linear_contributions(spark, sf_dir):
     return rounded(parts.drop("feature_order"), 4, "value")
 
 
-@query("background_sample")
+@query(
+    "background_sample",
+    "SELECT model, id, label FROM scored WHERE split = 'train' ORDER BY md5('42|' || model || '-' || id), model || '-' || id LIMIT 50",
+    ("scored",),
+)
 def background_sample(spark, sf_dir):
     """A seeded sample of 50 training rows."""
-    scored = inputs.scored(spark, sf_dir).filter((F.col("split") == "train") & (F.col("model") == "ratio"))
-    return explain.background_sample(scored, "id")
+    scored = inputs.scored(spark, sf_dir).filter(F.col("split") == "train")
+    named = scored.withColumn("row", F.concat_ws("-", "model", F.col("id").cast("string")))
+    return explain.background_sample(named, "row").select("model", "id", "label")
 
 
 def fixed_weights(inputs_: int, hidden: int = 16) -> score.RecurrentWeights:

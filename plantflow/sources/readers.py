@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plantflow.functions import columns as fn
 from plantflow.sources import schema as sc
+from plantflow.session import durable
 from plantflow.sources.sinks import path_exists
 
 # File names of the raw tables in a raw folder.
@@ -17,22 +18,38 @@ RAW_FILES = {
     "raw_maintenance_data": sc.MAINTENANCE_SCHEMA,
 }
 LABELS = {"normal": 0, "defect": 1}
+# Words that stand for a missing value, as pandas reads them.
+MISSING_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV table with a header. Columns are taken by name; without a schema all are text."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """A CSV table with a header, written as spreadsheets and pandas do: quotes inside quotes are doubled.
+
+    Columns are taken by name; without a schema all are text. Words for a missing
+    value become NULL. With `multi_line` quoted text may hold line breaks; such a
+    file is read by one task, so tables without free text are read without it.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Expected data file not found: {path}")
-    found = spark.read.option("header", True).csv(path)
+    text = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    found = text.csv(path)
+    found = found.select(*[F.when(~F.trim(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in found.columns])
     if schema is None:
         return found
     return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema if f.name in found.columns])
 
 
+FREE_TEXT = {"raw_maintenance_data"}  # tables whose text may hold line breaks
+
+
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One raw table: every column as text, then typed leniently, then the quality gate."""
     kinds: Mapping[str, str] = RAW_FILES[name]
-    text = read_csv(spark, f"{folder}/{name}.csv")
+    text = read_csv(spark, f"{folder}/{name}.csv", multi_line=name in FREE_TEXT)
     sc.validate_schema(text, kinds, name)
     return sc.typed(text, kinds)
 
@@ -50,10 +67,30 @@ def read_raw_maintenance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records from JSON array files; a missing or unreadable file gives no rows."""
+    """Records from JSON array files; a missing or unreadable file gives no rows.
+
+    A record with a field of another type keeps its other fields. `unreadable_records`
+    counts what could not be read in full.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    rows = _with_corrupt(spark, path, schema)
+    names = [c for c in rows.columns if c != CORRUPT]
+    nothing = F.col(CORRUPT).isNotNull() & (F.size(F.array_compact(F.array(*[F.col(f"`{c}`").cast("string") for c in names]))) == 0)
+    return rows.filter(~nothing).drop(CORRUPT)
+
+
+def unreadable_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """How many records (or whole files) of `read_records` were broken, as `(path, n)`."""
+    rows = _with_corrupt(spark, path, schema)
+    return rows.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("n")).select(F.lit(path).alias("path"), "n")
+
+
+def _with_corrupt(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    asked = T.StructType([*kinds.fields, T.StructField(CORRUPT, T.StringType())])
+    read = spark.read.schema(asked).option("multiLine", True).option("mode", "PERMISSIVE")
+    return durable(read.option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:

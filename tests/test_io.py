@@ -99,3 +99,23 @@ def test_feature_table_has_no_leakage(spark, sf_dir):
     features = tables.feature_table(spark, sf_dir)
     assert features.groupBy("machine_id", "date", "shift").count().filter("count > 1").isEmpty()
     assert {r.split for r in features.select("split").distinct().collect()} == {"train", "validation", "test"}
+
+
+def test_csv_as_spreadsheets_write_it(spark, tmp_path):
+    path = tmp_path / "raw_maintenance_data.csv"
+    path.write_text(
+        'machine_id,timestamp,maintenance_type,incident_type,maintenance_note,urgency\n'
+        'M-1,2024-01-01 00:00:00,Corrective,Quality,"he said ""stop, now"" twice\nand left",NA\n'
+        'M-2,2024-01-02 00:00:00,Corrective,Quality,plain,nan\n'
+    )
+    rows = readers.read_raw_maintenance(spark, str(tmp_path)).orderBy("machine_id").collect()
+    assert [r.maintenance_note for r in rows] == ['he said "stop, now" twice\nand left', "plain"]
+    assert [r.urgency for r in rows] == [None, None]
+
+
+def test_broken_json_records_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1, "b": "x"}, {"a": "odd", "b": "y"}]')
+    (tmp_path / "b.json").write_text("oops")
+    rows = readers.read_records(spark, str(tmp_path), "a long, b string").collect()
+    assert sorted((r.b, r.a) for r in rows) == [("x", 1), ("y", None)]
+    assert readers.unreadable_records(spark, str(tmp_path), "a long, b string").first().n == 2

@@ -119,8 +119,9 @@ def test_dense_search(spark):
     asked = spark.createDataFrame([(7, [3.0, 0.0])], "query_id int, vector array<double>")
     rows = retrieve.dense_search(asked, items, 2).orderBy("rank").collect()
     assert [r.item_id for r in rows] == [1, 3] and rows[0].score == pytest.approx(1.0)
-    with pytest.raises(ValueError):
-        retrieve.dense_search(items.select(F.col("item_id").alias("query_id"), "vector"), items, limit=2)
+    every = items.filter("item_id < 4").select(F.col("item_id").alias("query_id"), "vector")
+    blocks, whole = (sorted(map(tuple, retrieve.dense_search(every, items.filter("item_id < 4"), 2, limit=n).collect())) for n in (1, 1000))
+    assert blocks == whole and len(whole) == 6
 
 
 def test_machine_context(spark):
