@@ -20,12 +20,13 @@ each; columns named in `carried` come along, others are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from plantflow.llm import blocks as b
 from plantflow.llm import learn
@@ -33,6 +34,7 @@ from plantflow.llm import learn
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_COST = 10.0
+PIECE_BYTES = 1 << 18  # text encoded at once
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 _MARK = np.frombuffer(MARKER.encode(), np.uint8)
 _STOP = 0xFF  # never in UTF-8
@@ -320,22 +322,34 @@ def load(spark: SparkSession, path: str = MODEL) -> Model:
     return Model(bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]))
 
 
-def encode(docs: DataFrame, model: Model, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text and ids, and in a struct `row` the columns named in `carried`."""
+def _id_column(ids: np.ndarray, counts: np.ndarray, null: pa.Array) -> pa.Array:
+    bounds = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+    return pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()), mask=null)
+
+
+def encode(docs: DataFrame, model: Model, carried: tuple[str, ...] = (), check: bool = False) -> DataFrame:
+    """doc_id, text and ids, and in a struct `row` the columns named in `carried`.
+
+    With `check` the ids are decoded at once, and a column `round_trip` says whether that gave the text; the
+    text itself is then left out.
+    """
     rows = b.text_rows(docs, *carried)
-    names = rows.columns
+    names = [c for c in rows.columns if not (check and c == "text")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            for piece in learn.pieces(batch):
-                ids, counts = shared.value.encode(piece["text"].to_pylist())
-                bounds = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-                null = piece["text"].is_null()
-                column = pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()), mask=null)
-                yield pa.RecordBatch.from_arrays([*piece.columns, column], [*names, "ids"])
+            for piece in learn.pieces(batch, most=PIECE_BYTES):
+                texts = piece["text"].to_pylist()
+                ids, counts = shared.value.encode(texts)
+                columns = [*(piece[n] for n in names), _id_column(ids, counts, piece["text"].is_null())]
+                if check:
+                    again = shared.value.decode(ids, counts)
+                    columns.append(pa.array([t is None or t == a for t, a in zip(texts, again)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, [*names, "ids", *(["round_trip"] if check else [])])
 
-    return rows.mapInArrow(run, b.schema(rows, "ids array<int>"))
+    more = "ids array<int>" + (", round_trip boolean" if check else "")
+    return rows.mapInArrow(run, b.schema(rows.select(*names), more))
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
@@ -355,16 +369,36 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.mapInArrow(run, b.schema(encoded, "decoded string"))
 
 
-def digests(encoded: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_byte_tokens, ids_sha256, decoded_sha256, round_trip of an encoded frame."""
-    decoded = decode(encoded, model)
-    low, high = int(model.byte_ids.min()), int(model.byte_ids.max())
-    is_byte = F.filter("ids", lambda i: i.between(low, high)) if model.fallback else F.array()
-    return decoded.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
-        F.coalesce(F.size(is_byte), F.lit(0)).cast("long").alias("n_byte_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
-    )
+def digests(docs: DataFrame, model: Model) -> DataFrame:
+    """Each document encoded and decoded again: doc_id, n_tokens, n_byte_tokens, round_trip, and SHA-256 digests of
+    its ids (as little-endian 32-bit numbers) and of the decoded text; a null text has null digests."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = "doc_id long, n_tokens long, n_byte_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+
+    def run(batches):
+        for batch in batches:
+            for piece in learn.pieces(batch, most=PIECE_BYTES):
+                texts = piece["text"].to_pylist()
+                ids, counts = shared.value.encode(texts)
+                again = shared.value.decode(ids, counts)
+                ends = np.cumsum(counts)
+                spelt = np.r_[0, np.cumsum(shared.value.kinds[ids] == BYTE)]
+                sums = [
+                    (_sha(ids[e - n : e].astype("<i4").tobytes()), _sha(a.encode())) if t is not None else (None, None)
+                    for t, a, e, n in zip(texts, again, ends.tolist(), counts.tolist())
+                ]
+                columns = [
+                    piece["doc_id"],
+                    pa.array(counts),
+                    pa.array(spelt[ends] - spelt[ends - counts]),
+                    pa.array([x for x, _ in sums], pa.string()),
+                    pa.array([x for _, x in sums], pa.string()),
+                    pa.array([t is None or t == a for t, a in zip(texts, again)], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in schema.split(", ")])
+
+    return b.text_rows(docs).mapInArrow(run, schema)
+
+
+def _sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()

@@ -106,5 +106,10 @@ def test_operators(docs, texts, real, nothing):
     for row in found:
         assert row.decoded == row.text and row.row.ids == 7
         assert (row.ids is None) == (row.text is None)
-    assert all(r.round_trip for r in pieces.digests(encoded, real).collect())
-    assert pieces.digests(pieces.encode(nothing, real), real).collect() == []
+    checked = pieces.encode(docs, real, carried=("bucket",), check=True).collect()
+    assert all(r.round_trip and r.row.bucket == 7 for r in checked)
+    assert sorted(((r.doc_id, r.ids) for r in checked), key=repr) == sorted(((r.doc_id, r.ids) for r in found), key=repr)
+    digests = pieces.digests(docs, real).collect()
+    assert all(r.round_trip for r in digests)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in digests) == sorted((str(r.doc_id), len(r.ids or [])) for r in checked)
+    assert pieces.digests(nothing, real).collect() == []
