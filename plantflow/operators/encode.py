@@ -22,6 +22,7 @@ class Contract:
     means: dict[str, float] = field(default_factory=dict)
     stds: dict[str, float] = field(default_factory=dict)
     window: int = 1
+    threshold: float = 0.5
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame([(json.dumps(asdict(self)),)], "contract string").coalesce(1).write.mode("overwrite").text(path)

@@ -59,16 +59,17 @@ def train_and_score(
     keep: Sequence[str] = ("machine_id", "split"),
     names: Sequence[str] = tuple(MODELS),
     **settings,
-) -> tuple[dict, DataFrame]:
+) -> tuple[dict, DataFrame, encode.Contract]:
     """Fit the chosen classifiers on the training split and score every split.
 
     The features and the encoded rows are materialised once each, since learning
-    the encoding and every fit read them many times.
+    the encoding and every fit read them many times. Returns the models, the scored
+    rows and the encoding contract that the models were trained with.
     """
     wanted = dict.fromkeys([*keep, "split", *numeric, *categorical, TARGET])
     features = durable(features.select(*wanted))
     contract = encode.fit_contract(features, numeric, categorical)
-    vectors = durable(assemble(features, contract, keep)).persist()
+    vectors = durable(assemble(features, contract, keep))
     fitted, tables = {}, []
     for name in names:
         fitted[name] = fit(vectors, name, **settings)
@@ -76,7 +77,7 @@ def train_and_score(
     scored = tables[0]
     for other in tables[1:]:
         scored = scored.unionByName(other)
-    return fitted, scored
+    return fitted, scored, contract
 
 
 def classify_text(
@@ -107,7 +108,7 @@ def classify_text(
         labelled.select(
             id_column, "split", "truth", code.cast("double").alias("label"), array_to_vector(F.coalesce("_values", zeros)).alias("features")
         )
-    ).persist()
+    )
     training = vectors.filter(F.col("split") == "train")
     classifier = LogisticRegression(
         family="multinomial", maxIter=2000, regParam=1.0 / max(training.count(), 1), standardization=False, weightCol="weight"

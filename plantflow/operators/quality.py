@@ -51,7 +51,8 @@ def fill_short_gaps(
     """
 
     def fill(frame: DataFrame, group: list[str]) -> DataFrame:
-        rows = W.partitionBy(*group).orderBy(ts)
+        # readings at one instant come in an order of their own, whatever the partitioning
+        rows = W.partitionBy(*group).orderBy(ts, F.xxhash64(*[c for c in df.columns if c != ts]))
         back, ahead = rows.rowsBetween(-limit, 0), rows.rowsBetween(0, limit)
         filled = {}
         for c in columns:

@@ -80,9 +80,34 @@ def sequences(
     return stacked.filter(F.size("window") == n).select(*wanted, *([label] if label else []), "window")
 
 
-def window_as_of(windows: DataFrame, day: int, shift: str) -> DataFrame:
-    """The windows that end at one (day, shift)."""
-    return windows.filter((F.col("sim_day") == day) & (F.col("shift") == shift))
+def window_as_of(
+    df: DataFrame,
+    columns: Sequence[str],
+    day: int,
+    shift: str,
+    n: int = SEQUENCE_SHIFTS,
+    keep: Sequence[str] = ("machine_id", "split", "sim_day", "date", "shift"),
+    label: str | None = None,
+) -> DataFrame:
+    """The windows of `n` shifts that end at one (day, shift), across all splits; one per machine that has it.
+
+    Only rows up to the anchor are read, and of each machine only its last `n` are
+    ranked and stacked.
+    """
+    place = fn.shift_order("shift", SHIFTS)
+    anchor = fn.shift_order(F.lit(shift), SHIFTS)
+    until = df.filter((F.col("sim_day") < day) | ((F.col("sim_day") == day) & (place <= anchor)))
+    latest = W.partitionBy("machine_id").orderBy(F.col("sim_day").desc(), place.desc())
+    last = until.withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") <= n)
+    wanted = [c for c in keep if c in df.columns] + ([label] if label else [])
+    stacked = last.groupBy("machine_id").agg(
+        F.min_by(F.struct(*wanted), "_back").alias("_last"),
+        F.transform(
+            F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("o"), _vector(columns).alias("v")))), lambda r: r["v"]
+        ).alias("window"),
+    )
+    ends = (F.col("_last.sim_day") == day) & (F.col("_last.shift") == shift)
+    return stacked.filter((F.size("window") == n) & ends).select("_last.*", "window")
 
 
 def window_arrays(rows: DataFrame, columns: Sequence[str], key: str = "machine_id") -> DataFrame:

@@ -156,6 +156,7 @@ def _with_bins(df: DataFrame, groups: list[str], order: str) -> DataFrame | None
     bins = 16
     while bins * limit < 2 * largest:
         bins *= 2
+    df = durable(df)  # read four times from here on
     shares = [i / bins for i in range(1, bins)]
     sketch = (
         df.groupBy(*groups)

@@ -9,6 +9,7 @@ from plantflow.functions import columns as fn
 from plantflow.operators import quality
 from plantflow.plans import sql_tables
 from plantflow.plans.registry import query, round_sql, rounded
+from plantflow.session import durable
 from plantflow.sources import schema, star_inputs as inputs
 
 _NUMERIC = [c for c, kind in schema.SENSOR_SCHEMA.items() if kind != "text"]
@@ -179,7 +180,7 @@ FROM sensor_clean, (SELECT q[1] - 1.5 * (q[2] - q[1]) AS lo, q[2] + 1.5 * (q[2]
     ("sensor_clean",),
 )
 def iqr_outliers(spark, sf_dir):
-    return rounded(quality.iqr_outliers(quality.clean_sensor(inputs.sensor_raw(spark, sf_dir))))
+    return rounded(quality.iqr_outliers(durable(quality.clean_sensor(inputs.sensor_raw(spark, sf_dir)))))
 
 
 _LEDGER_SQL = (
@@ -209,7 +210,7 @@ FROM sensor_clean, (SELECT q[1] - 1.5 * (q[2] - q[1]) AS lo, q[2] + 1.5 * (q[2]
 @query("sensor_ledger", _LEDGER_SQL, ("sensor_clean",))
 def sensor_ledger(spark, sf_dir):
     raw = inputs.sensor_raw(spark, sf_dir)
-    return quality.sensor_ledger(raw, quality.flag_sensor(raw))
+    return quality.sensor_ledger(raw, durable(quality.flag_sensor(raw)))
 
 
 @query(

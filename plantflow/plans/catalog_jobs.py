@@ -143,7 +143,7 @@ CATEGORICAL = ["machine_type", "operating_status"]
 
 
 def _trained(spark, sf_dir, *names, **settings):
-    _, scored = models.train_and_score(tables.feature_table(spark, sf_dir), NUMERIC, CATEGORICAL, names=names, **settings)
+    _, scored, _ = models.train_and_score(tables.feature_table(spark, sf_dir), NUMERIC, CATEGORICAL, names=names, **settings)
     return rounded(evaluate.tuned_evaluation(scored))
 
 

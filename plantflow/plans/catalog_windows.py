@@ -81,8 +81,7 @@ def sequences(spark, sf_dir):
 def sequence_as_of(spark, sf_dir):
     """The windows that end at day 20, Afternoon, whatever split their rows are in."""
     features = tables.feature_table(spark, sf_dir).withColumn("label", F.col("failure_next_shift"))
-    windows = score.sequences(features, SEQUENCE_COLUMNS, within=(), label="label")
-    return _checksum(score.window_as_of(windows, 20, "Afternoon"))
+    return _checksum(score.window_as_of(features, SEQUENCE_COLUMNS, 20, "Afternoon", label="label"))
 
 
 @query(

@@ -70,15 +70,18 @@ def train(spark: SparkSession, out_dir: str, names: Sequence[str] = tuple(models
     """
     table = readers.read_splits(spark, f"{out_dir}/splits")
     numeric = [c for c in profile.numeric_columns(table) if c not in ID_COLUMNS]
-    fitted, scored = models.train_and_score(table, numeric, CATEGORICAL_COLUMNS, names=names, **settings)
+    fitted, scored, contract = models.train_and_score(table, numeric, CATEGORICAL_COLUMNS, names=names, **settings)
     metrics = durable(evaluate.tuned_evaluation(scored))
     for name, model in fitted.items():
         model.write().overwrite().save(f"{out_dir}/models/{name}")
-    encode.fit_contract(table, numeric, CATEGORICAL_COLUMNS).save(spark, f"{out_dir}/models/contract")
     sinks.write_report(metrics, f"{out_dir}/reports/metrics")
     sinks.write_report(evaluate.long_metrics(metrics), f"{out_dir}/reports/metrics_long")
     sinks.write_report(evaluate.compare_models(metrics), f"{out_dir}/reports/comparison")
-    best = evaluate.best_model(metrics, names)
+    best = durable(evaluate.best_model(metrics, names))
+    chosen = best.join(metrics.filter(F.col("split") == "validation").select("model", "threshold"), "model").first()
+    if chosen is not None and chosen["threshold"] is not None:
+        contract.threshold = float(chosen["threshold"])
+    contract.save(spark, f"{out_dir}/models/contract")
     sinks.register_model(best, f"{out_dir}/registry", "failure_predictor", "train", "highest validation F1")
     return metrics
 

@@ -81,7 +81,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def unreadable_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """How many records (or whole files) of `read_records` were broken, as `(path, n)`."""
+    """How many records stand in files of which not all could be read, as `(path, n)`; such a file's records all count."""
     rows = _with_corrupt(spark, path, schema)
     return rows.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("n")).select(F.lit(path).alias("path"), "n")
 

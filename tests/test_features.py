@@ -86,7 +86,7 @@ def test_sequences_stay_in_their_split(spark, table):
     for r in windows.collect():
         steps = [x[0] for x in r.window]
         assert steps == sorted(steps) and steps[-1] == r.label
-    across = score.window_as_of(score.sequences(table, ["v"], 5, within=()), 4, "Morning")
+    across = score.window_as_of(table, ["v"], 4, "Morning")
     assert [[x[0] for x in r.window] for r in across.orderBy("machine_id").collect()] == [[22.0, 30.0, 31.0, 32.0, 40.0]] * 2
 
 

@@ -12,7 +12,7 @@ def test_classifiers_find_a_clear_signal(spark):
         F.when(F.col("id") % 5 == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("y"),
         F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("kind"),
     )
-    fitted, scored = models.train_and_score(base, ["x", "y"], ["kind"], trees=10, rounds=5)
+    fitted, scored, contract = models.train_and_score(base, ["x", "y"], ["kind"], trees=10, rounds=5)
     assert list(fitted) == models.MODELS
     metrics = evaluate.tuned_evaluation(scored)
     rows = {(r.model, r.split): r for r in metrics.collect()}
