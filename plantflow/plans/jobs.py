@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -80,7 +81,7 @@ def train(spark: SparkSession, out_dir: str, names: Sequence[str] = tuple(models
     best = durable(evaluate.best_model(metrics, names))
     chosen = best.join(metrics.filter(F.col("split") == "validation").select("model", "threshold"), "model").first()
     if chosen is not None and chosen["threshold"] is not None:
-        contract.threshold = float(chosen["threshold"])
+        contract = replace(contract, threshold=float(chosen["threshold"]))
     contract.save(spark, f"{out_dir}/models/contract")
     sinks.register_model(best, f"{out_dir}/registry", "failure_predictor", "train", "highest validation F1")
     return metrics

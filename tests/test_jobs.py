@@ -45,7 +45,7 @@ def test_decide_for_all_and_review(spark, prepared, tmp_path):
     rows = decided.collect()
     assert len(rows) == table.select("machine_id").distinct().count()
     one = next(r for r in rows if r.pm_status == "ok")
-    assert one.priority in ("URGENT", "ELEVATED", "ROUTINE") and len(one.trace) == 6
+    assert one.priority in ("URGENT", "ELEVATED", "ROUTINE") and len(one.trace) == 7
     assert len(one.xai.feature_explanations) == 5 and len(one.scenarios) == 3
     assert one.vision_status == "unavailable" and one.rag_status is None
     assert "Vision result unavailable: No vision result found" in " ".join(one.reasoning)
