@@ -11,7 +11,7 @@ Queries are taken in blocks of `BLOCK_BYTES`, each block in one scan over all ve
 Edge cases: a vector that is null, empty of an id, or holds a null or a non-finite component takes no part.
 Vectors are compared with vectors of their own length only. Rows are told apart from the query's own row by
 id and vector, and of several equal ones exactly one is left out, so a repeated row finds its twin. Scores
-are computed in whole numbers of any size and cut to the range of a long. Other columns are ignored.
+are computed in whole numbers of any size, cut to the range of a long, and then ranked. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -157,9 +157,11 @@ def _search_block(best: _Best, ids: np.ndarray, exact: np.ndarray, cells: np.nda
     keep = min(best.keep, len(ids))
     # the k-th best lower bound of this piece, or the k-th best score so far
     lower = np.partition(about, len(ids) - keep, axis=1)[:, len(ids) - keep] - slack if keep == best.keep else np.full(len(queries), -np.inf)
-    floor = np.maximum(best.least, lower)
-    query, row = np.nonzero(about + slack[:, None] >= floor[:, None])
-    upper = about[query, row] + slack[query]
+    # scores beyond a long are cut, so bounds are as well
+    floor = np.minimum(np.maximum(best.least, lower), float(LONG.max))
+    above = np.maximum(about + slack[:, None], float(LONG.min))
+    query, row = np.nonzero(above >= floor[:, None])
+    upper = above[query, row]
     order = np.lexsort((-upper, query))
     query, row, upper = query[order], row[order], upper[order]
     first = np.searchsorted(query, query)

@@ -72,11 +72,11 @@ def brute(vectors, every, k):
         if q % every:
             continue
         scores = [
-            (-sum(x * y for x, y in zip(left, right)), i)
+            (-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(left, right)))), i)
             for b, (i, right) in enumerate(usable)
             if a != b and len(left) == len(right)
         ]
-        out += [(q, r + 1, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(sorted(scores)[:k])]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
     return sorted(out, key=repr)
 
 
@@ -86,7 +86,7 @@ def test_topk(spark, rows):
     vectors += [(i, [0.25, 0.5, 0.5, 0.0, 0.0, 0.0]) for i in range(400, 420)]  # ties
     vectors += [(10, vectors[10][1]), (10, vectors[10][1]), (20, vectors[3][1])]  # repeated rows and ids
     vectors += [(None, vectors[0][1]), (500, None), (510, [None] * 6), (520, [float("nan")] * 6), (530, [math.inf] * 6)]
-    vectors += [(540, [1e17] * 6), (541, [1e17] * 6), (550, [0.5, 0.5]), (560, [0.25, 0.5]), (570, []), (580, [])]
+    vectors += [(540, [1e17] * 6), (541, [1e17] * 6), (542, [-1e17] * 6), (550, [0.5, 0.5]), (560, [0.25, 0.5]), (570, []), (580, [])]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
     frame = frame.select("*", F.lit(1).alias("rank"), F.lit(1).alias("cells"))
     assert rows(topk.search(frame, F.col("vec_id") % 10 == 0, 5)) == brute(vectors, 10, 5)
