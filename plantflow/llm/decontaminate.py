@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are runs of letters and digits (any non-ASCII byte counts as a letter), A-Z in lower case. Seeds, all
+Tokens are runs of letters and digits of any script, with the marks on them, after NFKC and case folding of
+documents and items alike. Seeds, all
 strings of `SEED` tokens of the benchmark, are joined with the seeds of every document: a sorted array of
 digests, shared with all tasks for one bounded block of benchmark items at a time. Only where an item's seeds
 found in a document could cover enough of the item is it tiled: repeatedly the longest matches of unmarked
@@ -18,11 +19,13 @@ are kept beside the judgement.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter, defaultdict
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plantflow.llm import blocks as b
@@ -41,8 +44,25 @@ _VALUES[0x41:0x5B] = _VALUES[0x61:0x7B]
 FOUND = "item_id long, coverage double, n_items int"
 
 
-def tokens(texts: pa.Array | pa.ChunkedArray) -> b.Words:
-    buffer, offsets = b.text_buffer(texts)
+def fold(text: str) -> str:
+    """A text in NFKC and folded case, with blanks for what is neither ASCII nor a letter, a digit or a mark."""
+    text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())
+    for c in set(text):
+        if not (c.isascii() or c.isalnum() or unicodedata.category(c)[0] == "M"):
+            text = text.replace(c, " ")
+    return text
+
+
+def folded(texts: pa.Array) -> pa.Array:
+    """The texts as `tokens` reads them; those in ASCII are left as they are."""
+    plain = pc.fill_null(pc.string_is_ascii(texts), True).to_pylist()
+    if all(plain):
+        return texts
+    return pa.array([t.as_py() if p else fold(t.as_py()) for t, p in zip(texts, plain)], pa.large_string())
+
+
+def tokens(texts: pa.Array) -> b.Words:
+    buffer, offsets = b.text_buffer(folded(texts))
     return b.Words(buffer, offsets, _BETWEEN, _VALUES)
 
 

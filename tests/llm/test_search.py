@@ -2,6 +2,7 @@
 
 import math
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -172,6 +173,23 @@ def test_decontamination(spark, rows, sf_dir):
     assert not decontaminate.judge(frame, bench.limit(0)).where("contaminated").count()
 
 
+def test_leaks_in_other_letter_case_and_punctuation(spark):
+    item = "l'été où Élodie a mangé des pâtes près de Straße façade élève señor niño mañana cañón übermäßig größer"
+    apart = "Où?«Élodie»…\u2014l’été\u00a0où Élodie\u2014a mangé\u00a0des “pâtes” près\u2003de Straße; façade élève señor niño mañana cañón «übermäßig» größer"
+    docs = [
+        (1, f"noise before {item.upper()} and after"),
+        (2, apart),
+        (3, unicodedata.normalize("NFD", item)),
+        (4, "été élève mañana größer où près niño cañón pâtes façade Élodie señor"),
+        (5, None),
+        (6, "plain words in ASCII only and nothing else at all"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(9, item), (10, item.upper())], "item_id long, text string")
+    found = {r.doc_id: (r.item_id, round(r.coverage, 2), r.n_items) for r in decontaminate.judge(frame, bench).collect()}
+    assert found == {1: (9, 1.0, 2), 2: (9, 1.0, 2), 3: (9, 1.0, 2), **dict.fromkeys((4, 5, 6), (None, 0.0, 0))}
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     items = [(i, " ".join(f"a{i}b{j}" for j in range(12))) for i in range(9)]
     bench = spark.createDataFrame(items, "item_id long, text string")
