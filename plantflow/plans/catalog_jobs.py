@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import functions as F
 
 from plantflow.config import CHANNELS, Economics, SEQUENCE_SHIFTS, TARGET
@@ -125,7 +127,9 @@ def stream_shift_aggregate(spark, sf_dir):
     folder = new_folder(spark, "stream")
     readings = inputs.sensor_from_events(inputs.event_stream(spark, sf_dir))
     aggregated = streaming.stream_shift_aggregate(readings)
-    streaming.write_stream(aggregated, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    run = streaming.write_stream(aggregated, f"{folder}/table", f"{folder}/checkpoint")
+    run.awaitTermination()
+    logging.getLogger(__name__).info("late readings left out: %d", streaming.late_rows(run))
     closed = spark.read.schema(aggregated.schema).parquet(f"{folder}/table")
     return rounded(
         closed.drop("date").withColumn("shift_start", F.date_format("shift_start", "yyyy-MM-dd HH:mm:ss"))

@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from plantflow.config import CHANNELS
 from plantflow.operators import evaluate, integrate, quality
 from plantflow.plans import inputs as tables
 from plantflow.sources import readers, schema, sinks, star_inputs as inputs
@@ -87,6 +90,37 @@ def test_stream_equals_batch_on_closed_shifts(spark, sf_dir, tmp_path):
     assert sums(closed) == pytest.approx(sums(batch.filter(F.col("shift_start") <= last)))
 
 
+def test_stream_keeps_different_readings_of_one_instant(spark, tmp_path):
+    """Two readings at one instant both count, copies count once, and a late reading is reported."""
+    def reading(time, value, flag=0, status="RUNNING"):
+        return ("M-1", "PRESS", time, *[value] * len(CHANNELS), status, flag)
+
+    columns = ["machine_id string", "machine_type string", "timestamp string", *[f"{c} double" for c in CHANNELS], "operating_status string", "failure_flag int"]
+    first = [
+        reading("2024-01-01 07:00:00", 300.0), reading("2024-01-01 07:00:00", 301.0, 1), reading("2024-01-01 07:00:00", 300.0, status=" running\t"),
+        reading("2024-01-01 08:00:00", 302.0), reading("2024-01-01 08:00:00", -9e9), reading("2024-01-01 08:00:00", -8e9),
+        reading("2024-01-02 12:00:00", 300.0),
+    ]
+    # a batch judges lateness by the watermark that the batch before it began with
+    next_, late = [reading("2024-01-02 12:10:00", 300.0)], [reading("2024-01-01 09:00:00", 310.0), reading("2024-01-02 12:30:00", 300.0)]
+    for k, rows in enumerate((first, next_, late)):
+        spark.createDataFrame(rows, ", ".join(columns)).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+        time.sleep(1.1)  # files are read in the order of their times
+    source = spark.readStream.schema(", ".join(columns)).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    stream = shifts.stream_shift_aggregate(source)
+    run = shifts.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    run.awaitTermination()
+    assert shifts.late_rows(run) == 1
+
+    raw = spark.createDataFrame(first[:-1], ", ".join(columns))
+    typed = raw.withColumns({"operating_status": F.upper(F.trim(F.regexp_replace("operating_status", "\t", ""))), "timestamp": F.col("timestamp").cast("timestamp")})
+    want = integrate.aggregate_to_shift(quality.cleaned(quality.null_outside_bounds(typed.distinct())))
+    closed = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).select(want.columns)
+    batch = shifts.stream_shift_aggregate(raw).select(want.columns)
+    assert closed.collect() == want.collect() == batch.collect()
+    assert closed.first().failure_occurred_this_shift == 1
+
+
 def test_window_and_hour_rules_agree(spark, sf_dir):
     readings = quality.cleaned(quality.null_outside_bounds(inputs.sensor_raw(spark, sf_dir).withColumn("timestamp", F.col("timestamp").try_cast("timestamp")).filter("timestamp is not null").dropDuplicates(["machine_id", "timestamp"])))
     by_rule = integrate.aggregate_to_shift(readings).select("machine_id", "date", "shift", "failure_occurred_this_shift")
