@@ -7,7 +7,7 @@ inside as well. By the triangle bound, two fingerprints at most LINK bits apart
 inside and the other outside, the outer one is at most LINK beyond the radius. So leaves can be searched on
 their own, in as many tasks as there are leaves, and no link is lost.
 
-The upper tree is grown on a sample of about `SAMPLE` distinct fingerprints, drawn by hash,, which only decides where the
+The upper tree is grown on a sample of about `SAMPLE` distinct fingerprints, drawn by hash, which only decides where the
 borders run; all fingerprints are then routed and linked. A leaf is searched by the same bounds: a tree of
 its own, down to `BLOCK` fingerprints, which are compared exactly. What a leaf sends out is not its pairs but
 the smallest linked fingerprint of each fingerprint, at most one row per row it got. Components over leaves
@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plantflow.llm import blocks as b
 from plantflow.session import durable
@@ -63,14 +63,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit number."""
+    """doc_id, its fingerprint as a signed 64-bit number, and the MD5 of its text (of an empty one for a null)."""
 
     def run(batches):
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["text"]), b.U64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(b.signed(found))], ["doc_id", "fingerprint"])
+            columns = [batch["doc_id"], pa.array(b.signed(found)), batch["digest"]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "digest"])
 
-    return b.text_rows(docs).mapInArrow(run, "doc_id long, fingerprint long")
+    rows = b.text_rows(docs).withColumn("digest", text_digest(F.col("text")))
+    return rows.mapInArrow(run, "doc_id long, fingerprint long, digest binary")
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 # ---- the tree -------------------------------------------------------------------------------------
@@ -240,16 +246,20 @@ def link_classes(spark: SparkSession, distinct: DataFrame, link: int = LINK, lea
     return join_components(found)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, link: int = LINK) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable over links."""
-    spark = docs.sparkSession
+def _grouped(docs: DataFrame, shingle: int, link: int) -> tuple[DataFrame, DataFrame]:
+    """The marked documents, and each fingerprint with the root of its component."""
     marked = durable(fingerprints(docs, shingle))
     distinct = durable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")))
-    classes = link_classes(spark, distinct.select("fingerprint"), link)
+    classes = link_classes(docs.sparkSession, distinct.select("fingerprint"), link)
     member = distinct.join(classes, "fingerprint", "left").select(
         "fingerprint", "smallest", F.coalesce("root", "fingerprint").alias("root")
     )
-    named = durable(member)
+    return marked, durable(member)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, link: int = LINK) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable over links."""
+    marked, named = _grouped(docs, shingle, link)
     first = durable(named.groupBy("root").agg(F.min("smallest").alias("component_id")))
     by_print = durable(named.join(first, "root").select("fingerprint", "component_id"))
     return marked.join(by_print, "fingerprint").select(
@@ -257,3 +267,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, link: int = LINK) -
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, link: int = LINK) -> DataFrame:
+    """The rows of `docs`, one of each component: that with the smallest doc_id, a row without id last.
+
+    A row is known by its doc_id and its text, so rows of one doc_id with unlike texts are judged apart, and a
+    row without an id stays only if nothing with an id is linked to it. Of rows alike in both, the smallest stays.
+    """
+    marked, named = _grouped(docs, shingle, link)
+    own = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "digest")
+    rows = marked.groupBy("fingerprint", "doc_id", "digest").count()
+    chosen = rows.join(named, "fingerprint").groupBy("root").agg(F.min_by(F.struct(own.alias("own"), "count"), own).alias("c"))
+    keep = durable(chosen.select(F.col("c.own.doc_id").alias("kept_id"), F.col("c.own.digest").alias("kept_text"), F.col("c.count").alias("times")))
+
+    names = [f"`{c}`" for c in docs.columns]
+    held = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_digest(F.col("text").cast("string")).alias("own_text"))
+    met = (F.col("own_text") == F.col("kept_text")) & F.col("own_id").eqNullSafe(F.col("kept_id"))
+    single = held.join(keep.where("times = 1"), met, "left_semi").select("row.*")
+    several = held.join(keep.where("times > 1"), met, "left_semi").groupBy("own_id", "own_text").agg(F.min("row").alias("row"))
+    return single.union(several.select("row.*"))
