@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import decontaminate, pieces, quality, similar, suffix_dedup
+from plantflow.llm import decontaminate, pieces, quality, simhash, suffix_dedup
 from plantflow.session import stored
 
 ORACLE_SQL = None  # a learned filter, XXH64 fingerprints and token ids are not SQL
@@ -24,15 +24,12 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (shingles of five words, similarity 0.8 or more) the document with the smallest doc_id.
+    """Of each group of linked fingerprints (three-word shingles, at most 3 differing bits) one document.
 
-    Rows without a doc_id stay as they are; of rows with one doc_id one stays.
+    The smallest doc_id stays; a row without one stays only if no row with one is linked to it; rows that share a
+    doc_id but not their text are judged apart.
     """
-    groups = similar.near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select("doc_id", F.struct("*").alias("row"))
-    first = rows.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
-    return first.select("row.*").union(docs.where(F.col("doc_id").isNull()))
+    return simhash.one_of_each(docs, shingle=3, link=3)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
