@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantflow.llm import decontaminate, language, pieces, quality, simhash, substring_dedup, suffix_dedup, topk, toxicity, url_filter
+from plantflow.llm import (
+    bpe,
+    decontaminate,
+    language,
+    lexical,
+    pieces,
+    quality,
+    simhash,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -164,3 +178,91 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), pieces.load(spark))
+
+
+@query("op11_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.load(spark))
+
+
+@query(
+    "op12_lexical_search",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+      FROM documents),
+    q AS (
+      SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts
+      FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    w AS (
+      SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+    m AS (SELECT r, doc_id, 100 - 90 + ((90 * len(ts) * n_docs) // n_terms) AS m FROM d, total WHERE len(ts) > 0),
+    scored AS (
+      SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM (SELECT q, item_id, unnest(ts) AS term FROM q) JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r)
+      GROUP BY q, item_id, r, doc_id),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+      FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+@query(
+    "op13_spelling_variants",
+    r"""
+    WITH RECURSIVE crc AS (
+      SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+      FROM (SELECT unnest(range(256)) AS n)),
+    runs AS (
+      SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+    counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+    bytes AS (
+      SELECT run, n, list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT) AS bs
+      FROM (SELECT run, n, hex(encode(concat(doc_id, ':', run))) AS x FROM counted)),
+    hashed AS (
+      SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, bs), lambda c, x:
+        xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+      FROM bytes, crc),
+    changed AS (
+      SELECT n, CASE WHEN h % 97 <> 0 THEN run
+        ELSE substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) END AS word
+      FROM hashed),
+    words AS (
+      SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cut AS (
+      SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+      SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+      UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+    best AS (
+      SELECT near.word, count(*)::BIGINT AS n_near, arg_max(other, (o.n, -o.place)) AS other, max(o.n) AS other_n
+      FROM near JOIN (SELECT *, row_number() OVER (ORDER BY word) AS place FROM words) o ON o.word = near.other
+      GROUP BY near.word),
+    named AS (
+      SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+        CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+      FROM words LEFT JOIN best USING (word)),
+    chain AS (
+      SELECT word, word AS at FROM named
+      UNION ALL SELECT chain.word, named.form FROM chain JOIN named ON named.word = chain.at WHERE named.form IS NOT NULL)
+    SELECT named.word, named.form, chain.at AS root, named.n, named.n_near, named.form_n
+    FROM named JOIN chain ON chain.word = named.word JOIN named l ON l.word = chain.at WHERE l.form IS NULL
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
