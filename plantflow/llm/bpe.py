@@ -206,10 +206,10 @@ class Vocabulary:
 
     def _long(self, word: bytes) -> np.ndarray:
         """The same merges in the same order, from a heap of (rank, place)."""
-        parts = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
-        count = len(parts)
+        line = self.byte_ids[np.frombuffer(word, np.uint8)]
+        parts, count = line.tolist(), len(line)
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
-        first = self._rank(np.array(parts[:-1]), np.array(parts[1:]))
+        first = self._rank(line[:-1], line[1:])
         heap = [(r, i) for i, r in enumerate(first.tolist()) if r != NONE]
         ranks = first.tolist() + [int(NONE)]
         heapq.heapify(heap)
