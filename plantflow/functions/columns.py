@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -10,12 +10,18 @@ from plantflow.config import SHIFT_HOURS, SHIFTS, Shift
 
 # Everything that counts as white space between words, ASCII or not.
 BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+NOT_BLANK = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value worked out once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- repair ---------------------------------------------------------------
 
 
@@ -187,7 +193,7 @@ def clean_text(c: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """Words between white space, empty array for blank text."""
-    return F.filter(F.split(as_column(c), rf"{BLANK}+"), lambda w: w != "")
+    return F.array_remove(F.split(as_column(c), rf"{BLANK}+"), "")
 
 
 def tokens(c: Column | str, stop_words: Sequence[str] = (), pattern: str = r"(?U)\b\w\w+\b") -> Column:
@@ -200,10 +206,13 @@ def tokens(c: Column | str, stop_words: Sequence[str] = (), pattern: str = r"(?U
 
 def unigrams_and_bigrams(token_array: Column) -> Column:
     """The tokens followed by every pair of neighbours joined with a blank."""
-    size = F.size(token_array)
-    heads = F.slice(token_array, F.lit(1), F.greatest(size - 1, F.lit(0)))
-    tails = F.slice(token_array, F.lit(2), F.greatest(size - 1, F.lit(0)))
-    return F.concat(token_array, F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b)))
+
+    def both(tokens: Column) -> Column:
+        fewer = F.greatest(F.size(tokens) - 1, F.lit(0))
+        heads, tails = F.slice(tokens, F.lit(1), fewer), F.slice(tokens, F.lit(2), fewer)
+        return F.concat(tokens, F.zip_with(heads, tails, lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return bound(token_array, both)
 
 
 def l2_norm(vector: Column) -> Column:

@@ -95,9 +95,7 @@ def classify_text(
     """
     cleaned = docs.withColumn("_text", clean_text(text))
     train = cleaned.filter(F.col("split") == "train")
-    train_counts = tx.term_counts(train, id_column, "_text", stop_words, pattern)
-    vocab = tx.vocabulary(train_counts, train, max_features)
-    vocab = durable(vocab)
+    vocab = durable(tx.fit_vocabulary(train, "_text", max_features, stop_words, pattern))
     terms = [r["term"] for r in vocab.select("term").orderBy("term").collect()]  # at most max_features
     rows = tx.dense_rows(tx.tfidf_of(cleaned, vocab, id_column, "_text", stop_words, pattern), terms, id_column, "_values")
     zeros = F.array_repeat(F.lit(0.0), len(terms))

@@ -3,66 +3,167 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from plantflow import wording
 from plantflow.config import MIN_SCORE, TOP_K
 from plantflow.functions import columns as fn
 from plantflow.operators import skew, text as tx
-from plantflow.session import durable, stored
+from plantflow.operators.postings import DIGITS, Postings
+from plantflow.session import broadcast_rows, durable, new_folder
+from plantflow.sources.buckets import MAX_BUCKETS, bucket_keys, open_bucketed, write_bucketed
 from plantflow.sources.sinks import path_exists
 
-TIE_DIGITS = 9
+
+
+SHARD_ROWS = 4_096  # chunks of a shard, about
+QUERY_BLOCK = 1_000  # questions handed to a task at once
+EVEN_SHARDS = 256
+FEW_TERMS = 256  # so many terms are pushed into the scan of the lists
+FEW_SHARDS = 1_000  # so many shards into the scan of the chunks
+NAMES = -1  # the row of a shard that holds the ids of its chunks
+_LISTS = "shard int, number int, places array<int>, weights array<double>, most double, names array<string>"
 
 
 @dataclass(frozen=True)
 class Index:
-    """A text index: chunks, normalised term weights and the fitted vocabulary."""
+    """A text index of two bucketed tables: chunks by shard, and posting lists by shard and term.
+
+    A shard is a hash of the chunk id. Its lists are built, kept and searched in one place: both tables are bucketed
+    by shard, so neither building nor searching moves chunks or lists. Rows of `lists` are one term of one shard:
+    places (the chunk's rank by id in its shard), weights, and the largest weight. They lie in the order of terms, in
+    small pages, so that a question reads only the pages of its own terms.
+    """
 
     chunks: DataFrame
-    postings: DataFrame
+    lists: DataFrame
     vocabulary: DataFrame
     stop_words: tuple[str, ...] = ()
     pattern: str | None = None
+    buckets: int = 1
 
     def save(self, path: str) -> None:
         spark = self.chunks.sparkSession
-        self.chunks.write.mode("overwrite").parquet(f"{path}/chunks")
-        self.postings.write.mode("overwrite").parquet(f"{path}/postings")
+        _write_chunks(self.chunks, f"{path}/chunks", self.buckets, True)
+        _write_lists(self.lists, f"{path}/lists", self.buckets)
         self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        settings = spark.createDataFrame([(list(self.stop_words), self.pattern)], "stop_words array<string>, pattern string")
+        row = [(list(self.stop_words), self.pattern, self.buckets)]
+        settings = spark.createDataFrame(row, "stop_words array<string>, pattern string, buckets int")
         settings.write.mode("overwrite").parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Index:
-        if not path_exists(spark, f"{path}/chunks"):
+        if not path_exists(spark, f"{path}/settings"):
             raise FileNotFoundError(f"no index at {path}: build it first")
         settings = spark.read.parquet(f"{path}/settings").first()
+        buckets = settings["buckets"]
         return Index(
-            spark.read.parquet(f"{path}/chunks"),
-            spark.read.parquet(f"{path}/postings"),
+            open_bucketed(spark, f"{path}/chunks", "shard", buckets, ["chunk_id"]),
+            open_bucketed(spark, f"{path}/lists", "shard", buckets, ["number"]),
             spark.read.parquet(f"{path}/vocabulary"),
             tuple(settings["stop_words"]),
             settings["pattern"],
+            buckets,
+        )
+
+    @property
+    def postings(self) -> DataFrame:
+        """`(chunk_id, term, weight)`, one row a posting."""
+        names = self.lists.filter(F.col("number") == NAMES).select("shard", F.col("names").alias("_names"))
+        pairs = self.lists.filter(F.col("number") != NAMES).select(
+            "shard", "number", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("weights").alias("weight")))
         )
+        named = pairs.join(names, "shard").select(F.get("_names", "place").alias("chunk_id"), "number", "weight")
+        return named.join(self.vocabulary.select("number", "term"), "number").select("chunk_id", "term", "weight")
+
+
+def _write_chunks(chunks: DataFrame, path: str, buckets: int, placed: bool) -> DataFrame:
+    return write_bucketed(chunks, path, "shard", buckets, ["chunk_id"], placed)
+
+
+def _write_lists(lists: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Lists are always made, or read, where their shard lies; small pages let a scan skip other terms."""
+    return write_bucketed(lists, path, "shard", buckets, ["number"], True, {"parquet.page.row.count.limit": "128"})
 
 
 def build_index(
-    pages: DataFrame, stop_words: Sequence[str] = (), max_features: int = tx.MAX_FEATURES, pattern: str | None = None
+    pages: DataFrame,
+    stop_words: Sequence[str] = (),
+    max_features: int = tx.MAX_FEATURES,
+    pattern: str | None = None,
+    shard_rows: int = SHARD_ROWS,
 ) -> Index:
     """Chunk the pages and weigh their terms.
 
-    The chunks and the (limited) vocabulary are materialised, since the
-    vocabulary, the weights and every later lookup read them.
+    The chunks are dealt to their shards once, when they are written. The vocabulary and the lists are made from that
+    table where it lies.
     """
-    chunks = stored(tx.chunk_pages(pages), "chunks")
-    counts = tx.term_counts(chunks, "chunk_id", "text", stop_words, pattern)
-    vocab = durable(tx.vocabulary(counts, chunks, max_features))
-    postings = tx.tfidf_of(chunks, vocab, "chunk_id", "text", stop_words, pattern)
-    return Index(chunks, postings, vocab, tuple(stop_words), pattern)
+    spark = pages.sparkSession
+    size = pages.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    words = tx.CHUNK_WORDS - tx.CHUNK_OVERLAP
+    shards = max(1, -(-size // (6 * words * shard_rows)))  # a word and its blank take about 6 bytes
+    shard = F.pmod(F.xxhash64("chunk_id"), F.lit(shards)).cast("int")
+    buckets = min(shards, MAX_BUCKETS)
+    if shards <= EVEN_SHARDS:  # few shards would fill the buckets unevenly
+        keys = bucket_keys(spark, buckets)
+        shard = F.get(F.lit(keys), F.pmod(shard, F.lit(len(keys))))
+    chunks = _write_chunks(tx.chunk_pages(pages).withColumn("shard", shard), new_folder(spark, "chunks"), buckets, False)
+
+    fitted = tx.fit_vocabulary(chunks, "text", max_features, stop_words, pattern)
+    vocab = durable(fitted.withColumn("number", F.row_number().over(W.orderBy("term")) - 1))  # at most `max_features` rows
+    known = tx.Vocabulary.of(vocab)
+    if known is None:
+        raise ValueError(f"an index takes a vocabulary of at most {broadcast_rows(spark)} terms")
+    stop = pa.array(list(stop_words), pa.string())
+    tokens = fn.tokens("text", pattern=pattern) if pattern else fn.tokens("text")
+    made = chunks.select("shard", "chunk_id", tokens.alias("tokens")).groupBy("shard").applyInArrow(_lists(known, stop), _LISTS)
+    return Index(chunks, _write_lists(made, new_folder(spark, "lists"), buckets), vocab, tuple(stop_words), pattern, buckets)
+
+
+def _lists(known: tx.Vocabulary, stop: pa.Array):
+    """The posting lists of a shard, and its row of names."""
+    schema = pa.schema(
+        [("shard", pa.int32()), ("number", pa.int32()), ("places", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64())),
+         ("most", pa.float64()), ("names", pa.list_(pa.string()))]
+    )
+
+    def lists(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk_id").combine_chunks()
+        shard = table["shard"][0].as_py()
+        names = table["chunk_id"].to_pylist()
+        parts = [known.weights(piece["tokens"], stop) for batch in table.to_batches() for piece in tx.pieces(batch)]
+        sizes = [piece.num_rows for batch in table.to_batches() for piece in tx.pieces(batch)]
+        begin = np.cumsum([0, *sizes])[:-1]
+        place = np.concatenate([row + low for (row, _, _), low in zip(parts, begin)])
+        number = np.concatenate([n for _, n, _ in parts])
+        weight = np.concatenate([w for _, _, w in parts])
+        order = np.lexsort((place, number))
+        place, number, weight = place[order], number[order], weight[order]
+        first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]][: len(number)])
+        bounds = pa.array(np.r_[first, len(number)].astype(np.int32))
+        count = len(first)
+        most = np.maximum.reduceat(weight, first) if count else np.zeros(0)
+        own = pa.table(
+            [
+                pa.array(np.full(count, shard, np.int32)),
+                pa.array(number[first].astype(np.int32)),
+                pa.ListArray.from_arrays(bounds, pa.array(place.astype(np.int32))),
+                pa.ListArray.from_arrays(bounds, pa.array(weight)),
+                pa.array(most),
+                pa.nulls(count, pa.list_(pa.string())),
+            ],
+            schema=schema,
+        )
+        head = {"shard": shard, "number": NAMES, "places": None, "weights": None, "most": None, "names": names}
+        return pa.concat_tables([pa.Table.from_pylist([head], schema=schema), own])
+
+    return lists
 
 
 def blank_queries(queries: DataFrame) -> DataFrame:
@@ -73,34 +174,86 @@ def blank_queries(queries: DataFrame) -> DataFrame:
 
 def _top(scores: DataFrame, item: str, k: int) -> DataFrame:
     """Best `k` items per query; equal scores (to 9 digits) go by item. Ranks are cut before the shuffle."""
-    best = W.partitionBy("query_id").orderBy(F.round("score", TIE_DIGITS).desc(), F.col(item))
+    best = W.partitionBy("query_id").orderBy(F.round("score", DIGITS).desc(), F.col(item))
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
-    """`(query_id, chunk_id, score, rank)`: cosine over shared terms, best `top_k`, then the score cut.
+    """`(query_id, shard, chunk_id, score, rank)`: cosine over shared terms, best `top_k`, then the score cut.
 
-    Only chunks that share a term with a query are scored. A query without any
-    known term has no rows. The query weights are measured and broadcast while
-    they are few, so that the index is read where it lies; a larger batch is an
-    ordinary join on the term.
+    A query without any known term has no rows. Every shard is searched where it lies and gives at most `top_k`
+    chunks a question; blocks of chunks that cannot be among them, or reach the score cut, are not scored (see
+    `postings`). Questions are taken in blocks; the rows of each of several blocks are written before the next is
+    taken.
     """
-    asked = queries.filter(F.size(fn.words("question")) > 0)
-    weights = tx.tfidf_of(asked, index.vocabulary, "query_id", "question", index.stop_words, index.pattern)
-    weights = skew.checked_broadcast(weights.withColumnRenamed("weight", "_query_weight"))
-    scores = (
-        index.postings.join(weights, "term")
-        .groupBy("chunk_id", "query_id")
-        .agg(F.sum(F.col("weight") * F.col("_query_weight")).alias("score"))
-    )
-    return _top(scores, "chunk_id", top_k).filter(F.col("score") >= min_score)
+    spark = queries.sparkSession
+    known = tx.Vocabulary.of(index.vocabulary)
+    asked = queries.filter(F.col("question").rlike(fn.NOT_BLANK)).select("query_id", "question")
+    weights = tx.weigh(asked, known, "query_id", "question", index.stop_words, index.pattern)
+    weights = durable(weights.filter(F.size("numbers") > 0).select("query_id", "numbers", "weights"))
+    blocks = max(1, -(-weights.count() // QUERY_BLOCK))
+    path = new_folder(spark, "similar") if blocks > 1 else None
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    for i in range(blocks):
+        own = weights.filter(block == i).toArrow().to_pydict()
+        found = _search_block(spark, own, weights.schema, index, top_k, min_score)
+        if path is None:
+            return found
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _search_block(spark: SparkSession, own: dict, schema: T.StructType, index: Index, top_k: int, min_score: float) -> DataFrame:
+    asked = [(np.array(n), np.array(w)) for n, w in zip(own["numbers"], own["weights"])]
+    sent = spark.sparkContext.broadcast(asked)  # at most QUERY_BLOCK questions, or a few more
+
+    def search(table: pa.Table) -> pa.Table:
+        found = {"query": [], "chunk_id": [], "score": []}
+        names, lists = shard_postings(table)
+        for q, (numbers, weights) in enumerate(sent.value):
+            places, scores, _ = lists.best(numbers, weights, top_k, min_score)
+            found["query"] += [q] * len(places)
+            found["chunk_id"] += [names[p] for p in places.tolist()]
+            found["score"] += scores.tolist()
+        shard = [table["shard"][0].as_py()] * len(found["query"])
+        kinds = {"query": pa.int32(), "shard": pa.int32(), "chunk_id": pa.string(), "score": pa.float64()}
+        return pa.table({n: pa.array(v, kinds[n]) for n, v in (found | {"shard": shard}).items()}).select(list(kinds))
+
+    terms = sorted({int(n) for numbers, _ in asked for n in numbers})
+    lists = index.lists
+    if len(terms) <= FEW_TERMS:  # one comparison a term, so that the scan skips the pages of all others
+        lists = lists.filter(reduce(Column.__or__, [F.col("number") == n for n in [NAMES, *terms]]))
+    found = lists.groupBy("shard").applyInArrow(search, "query int, shard int, chunk_id string, score double")
+    names = T.StructType([T.StructField("query", T.IntegerType()), schema["query_id"]])
+    ids = spark.createDataFrame(list(enumerate(own["query_id"])), names)
+    named = found.join(F.broadcast(ids), "query").drop("query")
+    return _top(named, "chunk_id", top_k).filter(F.col("score") >= min_score)
+
+
+def shard_postings(table: pa.Table) -> tuple[list[str], Postings]:
+    """The chunk ids of a shard by place, and its posting lists; rows in any order."""
+    table = table.sort_by("number").combine_chunks()
+    names = table["names"][0].as_py()
+    own = table.slice(1)
+    places, weights = own["places"].combine_chunks(), own["weights"].combine_chunks()
+    sizes = np.asarray(pc.list_value_length(places)).astype(np.int64)
+    flat = [np.asarray(pc.list_flatten(x)) for x in (places, weights)]
+    return names, Postings(np.asarray(own["number"]).astype(np.int64), np.r_[0, np.cumsum(sizes)], flat[0].astype(np.int64), flat[1], len(names))
 
 
 def retrieve(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
-    """Ranked evidence with its source: `(query_id, rank, document, page, section, evidence, score)`."""
+    """Ranked evidence with its source: `(query_id, rank, document, page, section, evidence, score)`.
+
+    Texts come from the shards of the chunks found; if these are few, only their buckets are read.
+    """
     found = skew.checked_broadcast(similar_chunks(queries, index, top_k, min_score))
-    sources = index.chunks.select("chunk_id", "document", "page", "section", F.col("text").alias("evidence"))
-    return found.join(sources, "chunk_id").select("query_id", "rank", "document", "page", "section", "evidence", "score")
+    shards = [r["shard"] for r in found.select("shard").distinct().limit(FEW_SHARDS + 1).collect()]
+    chunks = index.chunks
+    if len(shards) <= FEW_SHARDS:
+        chunks = chunks.filter(F.col("shard").isin(shards))
+    sources = chunks.select("shard", "chunk_id", "document", "page", "section", F.col("text").alias("evidence"))
+    met = sources.join(found, ["shard", "chunk_id"])
+    return met.select("query_id", "rank", "document", "page", "section", "evidence", "score")
 
 
 def dense_search(queries: DataFrame, vectors: DataFrame, top_k: int = TOP_K, limit: int = 1000) -> DataFrame:

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from plantflow.config import CHUNK_OVERLAP, CHUNK_WORDS
 from plantflow.functions import columns as fn
+from plantflow.operators import skew
+from plantflow.session import broadcast_rows, durable, spread
 
 MAX_FEATURES = 4096
-SECTION_HEADING = r"(?s)^Section\s+\d+[:\-]?\s*.*$"
+CELLS = 1 << 17  # hash cells of the first counting pass
+PIECE_TOKENS = 1 << 20
 
 
 def english_stop_words(spark: SparkSession) -> list[str]:
@@ -20,60 +28,253 @@ def english_stop_words(spark: SparkSession) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+# --- terms of a document ----------------------------------------------------
+#
+# A document is one row, and its terms are found, counted and weighed inside that row: Spark cuts the text into
+# tokens, and Arrow batches of token lists are worked through by vector functions. No text is moved.
+
+
+def _token_rows(docs: DataFrame, id_column: str, text: str, pattern: str | None) -> DataFrame:
+    tokens = fn.tokens(text, pattern=pattern) if pattern else fn.tokens(text)
+    return spread(docs.select(id_column, text)).select(F.col(id_column).alias("id"), tokens.alias("tokens"))
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about PIECE_TOKENS tokens, at least one row each."""
+    ends = np.cumsum(np.asarray(pc.fill_null(batch["tokens"].value_lengths(), 0)).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        begin = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, begin + PIECE_TOKENS, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _unigrams(tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Tokens of all lists, stop words left out, and the row of each."""
+    sizes = np.asarray(pc.fill_null(tokens.value_lengths(), 0)).astype(np.int64)
+    row, flat = np.repeat(np.arange(len(sizes)), sizes), tokens.flatten()
+    if len(stop):
+        kept = pc.invert(pc.is_in(flat, value_set=stop))
+        row, flat = row[np.asarray(kept)], flat.filter(kept)
+    return row, flat
+
+
+class _Counted:
+    """Distinct uni- and bigrams of token lists, as numbers: terms are spelt out only where they are asked for."""
+
+    def __init__(self, tokens: pa.ListArray, stop: pa.Array):
+        row, flat = _unigrams(tokens, stop)
+        coded = flat.dictionary_encode()
+        self.words, code = coded.dictionary, np.asarray(coded.indices).astype(np.int64)
+        same = row[:-1] == row[1:]
+        width = max(1, len(self.words))
+        self.pairs, place = np.unique((code[:-1] * width + code[1:])[same], return_inverse=True)
+        self.size = len(self.words) + len(self.pairs)
+        term = np.r_[code, place + len(self.words)]
+        # row and number of every term of every document, and how often it stands there
+        key, self.tf = np.unique(np.r_[row, row[:-1][same]] * max(1, self.size) + term, return_counts=True)
+        self.row, self.term = key // max(1, self.size), key % max(1, self.size)
+
+    def halves(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.divmod(self.pairs, max(1, len(self.words)))
+
+    def spelt(self, numbers: np.ndarray) -> pa.Array:
+        """The terms of some numbers."""
+        single = numbers < len(self.words)
+        first, second = self.halves()
+        at = np.where(single, 0, numbers - len(self.words))
+        left = np.where(single, numbers, first[at] if len(first) else 0)
+        names = self.words.take(pa.array(left))
+        if single.all():
+            return names
+        behind = self.words.take(pa.array(second[at]))
+        return pc.if_else(pa.array(single), names, pc.binary_join_element_wise(names, behind, " "))
+
+    def cells(self, cells: int) -> np.ndarray:
+        """Hash cell of every term."""
+        word = np.fromiter((zlib.crc32(w.as_buffer()) for w in self.words), np.uint64, len(self.words))
+        first, second = self.halves()
+        pair = word[first] * np.uint64(0x9E3779B97F4A7C15) + word[second] + np.uint64(1)
+        mixed = np.r_[word, pair] * np.uint64(0xBF58476D1CE4E5B9)
+        return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) >> np.uint64(40)).astype(np.int64) % cells
+
+
 def term_counts(docs: DataFrame, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None) -> DataFrame:
-    """Uni- and bigram counts `(id, term, tf)`.
+    """Uni- and bigram counts `(id, term, tf)` of every document."""
+    rows = _token_rows(docs, id_column, text, pattern)
+    stop = pa.array(list(stop_words), pa.string())
+    schema = T.StructType([T.StructField(id_column, rows.schema["id"].dataType), *T.StructType.fromDDL("term string, tf long")])
 
-    Texts are placed by id before they are taken apart, so counting, weighting
-    and normalising per id need no further exchange of the many terms.
-    """
-    terms = _terms(docs, id_column, text, stop_words, pattern)
-    return terms.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                held = _Counted(piece["tokens"], stop)
+                yield pa.RecordBatch.from_arrays(
+                    [piece["id"].take(pa.array(held.row)), held.spelt(held.term), pa.array(held.tf)], schema.names
+                )
+
+    return rows.mapInArrow(run, schema)
 
 
-def _terms(docs: DataFrame, id_column: str, text: str, stop_words: Sequence[str], pattern: str | None) -> DataFrame:
-    found = fn.tokens(text, stop_words, pattern) if pattern else fn.tokens(text, stop_words)
-    placed = docs.select(id_column, F.col(text)).repartition(id_column)
-    return placed.select(id_column, F.explode(fn.unigrams_and_bigrams(found)).alias("term"))
+# --- vocabulary -----------------------------------------------------------
+#
+# The most frequent terms are found in two passes, so that the long tail of terms is never moved. The first adds up
+# occurrences by hash cell, of which there is a fixed number; a cell's mass is at least the count of every term in it.
+# The second counts exactly the terms of the heaviest cells. The k-th count found there is a floor of the true one;
+# only if cells that were left out reach that floor are their terms counted as well. Exact at every size.
 
 
-def vocabulary(counts: DataFrame, documents: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The most frequent terms with their smooth inverse document frequency: `(term, total, df, idf)`.
+def _most_frequent(sketch: DataFrame, totals: Callable[[np.ndarray], DataFrame], k: int, cells: int) -> DataFrame:
+    """`(term, total, df)` of the k terms of largest total; ties go to the alphabetically first.
 
-    Ties in the corpus count go to the alphabetically first term. `documents`
-    has one row per fitted document.
+    `sketch` has `(cell, mass)`; `totals(heavy)` counts all terms of the cells that are marked.
     """
+    found = sketch.groupBy("cell").agg(F.sum("mass").alias("mass")).toArrow()  # at most `cells` rows
+    mass = np.zeros(cells, np.int64)
+    mass[np.asarray(found["cell"])] = np.asarray(found["mass"])
+
+    def first(heavy: np.ndarray) -> DataFrame:
+        return durable(totals(heavy).orderBy(F.col("total").desc(), "term").limit(k))
+
+    heavy = mass >= max(1, np.partition(mass, -4 * k)[-4 * k] if 4 * k < cells else 1)
+    best = first(heavy)
+    reached, floor = best.agg(F.count(F.lit(1)), F.min("total")).first()
+    needed = mass >= (floor if reached == k else 1)
+    return first(needed) if (needed & ~heavy).any() else best
+
+
+def _with_idf(best: DataFrame, documents: DataFrame) -> DataFrame:
     n = documents.agg(F.count(F.lit(1)).alias("n"))
-    kept = (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.col("total").desc(), F.col("term"))
-        .limit(max_features)
-    )
-    return kept.withColumn("idf", F.log((1.0 + n.scalar()) / (1.0 + F.col("df"))) + 1.0)
+    return best.withColumn("idf", F.log((1.0 + n.scalar()) / (1.0 + F.col("df"))) + 1.0)
 
 
-def tfidf(counts: DataFrame, vocab: DataFrame, id_column: str) -> DataFrame:
-    """L2-normalised TF-IDF weights `(id, term, weight)` for fitted or new documents.
+def vocabulary(counts: DataFrame, documents: DataFrame, max_features: int = MAX_FEATURES, cells: int = CELLS) -> DataFrame:
+    """The most frequent terms of `term_counts` with their smooth inverse document frequency: `(term, total, df, idf)`.
 
-    The vocabulary is limited by `max_features`, so it is broadcast.
+    Ties in the corpus count go to the alphabetically first term. `documents` has one row per fitted document.
     """
-    return _normalised(counts.join(F.broadcast(vocab.select("term", "idf")), "term"), id_column)
+    placed = counts.select("term", "tf", F.pmod(F.xxhash64("term"), F.lit(cells)).cast("int").alias("cell"))
 
+    def totals(heavy: np.ndarray) -> DataFrame:
+        chosen = counts.sparkSession.createDataFrame(pa.table({"cell": np.flatnonzero(heavy).astype(np.int32)}))
+        found = placed.join(F.broadcast(chosen), "cell", "left_semi").groupBy("term")  # at most `cells` numbers
+        return found.agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
 
-def tfidf_of(
-    docs: DataFrame, vocab: DataFrame, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None
+    return _with_idf(_most_frequent(placed.withColumnRenamed("tf", "mass"), totals, max_features, cells), documents)
+
+
+def fit_vocabulary(
+    docs: DataFrame, text: str = "text", max_features: int = MAX_FEATURES, stop_words: Sequence[str] = (), pattern: str | None = None, cells: int = CELLS
 ) -> DataFrame:
-    """The same weights straight from texts: terms outside the vocabulary go before anything is counted."""
-    known = _terms(docs, id_column, text, stop_words, pattern).join(F.broadcast(vocab.select("term", "idf")), "term")
-    return _normalised(known.groupBy(id_column, "term", "idf").agg(F.count(F.lit(1)).alias("tf")), id_column)
+    """The same vocabulary straight from texts, one row a document: terms outside heavy cells are never spelt out."""
+    rows = _token_rows(docs, text, text, pattern).select("tokens")
+    stop = pa.array(list(stop_words), pa.string())
+
+    def add_up(batches):
+        mass = np.zeros(cells, np.int64)
+        for batch in batches:
+            for piece in pieces(batch):
+                held = _Counted(piece["tokens"], stop)
+                mass += np.bincount(held.cells(cells)[held.term], held.tf, cells).astype(np.int64)
+        some = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(mass[some])], ["cell", "mass"])
+
+    def totals(heavy: np.ndarray) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(np.packbits(heavy))  # `cells` bits
 
+        def count(batches):
+            wanted = np.unpackbits(shared.value, count=cells).astype(bool)
+            for batch in batches:
+                for piece in pieces(batch):
+                    held = _Counted(piece["tokens"], stop)
+                    tf = np.bincount(held.term, held.tf, held.size).astype(np.int64)
+                    df = np.bincount(held.term, minlength=held.size)
+                    some = np.flatnonzero(wanted[held.cells(cells)])
+                    yield pa.RecordBatch.from_arrays([held.spelt(some), pa.array(tf[some]), pa.array(df[some])], ["term", "tf", "df"])
 
-def _normalised(counts: DataFrame, id_column: str) -> DataFrame:
-    raw = counts.withColumn("_w", F.col("tf") * F.col("idf"))
+        found = rows.mapInArrow(count, "term string, tf long, df long").groupBy("term")
+        return found.agg(F.sum("tf").alias("total"), F.sum("df").alias("df"))
+
+    return _with_idf(_most_frequent(rows.mapInArrow(add_up, "cell int, mass long"), totals, max_features, cells), docs)
+
+
+# --- weights --------------------------------------------------------------
+
+
+def tfidf(counts: DataFrame, vocab: DataFrame, id_column: str) -> DataFrame:
+    """L2-normalised TF-IDF weights `(id, term, weight)` from counts, whatever the size of the vocabulary."""
+    raw = counts.join(skew.checked_broadcast(vocab.select("term", "idf")), "term").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(id_column)))
     return raw.select(id_column, "term", (F.col("_w") / norm).alias("weight"))
 
 
+def tfidf_of(
+    docs: DataFrame, vocab: DataFrame, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None
+) -> DataFrame:
+    """The same weights straight from texts, worked out inside each document's row."""
+    known = Vocabulary.of(vocab)
+    if known is None:
+        return tfidf(term_counts(docs, id_column, text, stop_words, pattern), vocab, id_column)
+    rows = weigh(docs, known, id_column, text, stop_words, pattern)
+    pairs = F.arrays_zip(F.col("terms").alias("term"), F.col("weights").alias("weight"))
+    return rows.select(id_column, F.inline(pairs))
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """A fitted vocabulary small enough to be handed to every task, its terms in order."""
+
+    terms: pa.Array
+    idf: np.ndarray
+
+    @staticmethod
+    def of(vocab: DataFrame) -> Vocabulary | None:
+        """The vocabulary, or None if it has more terms than a task should hold."""
+        limit = broadcast_rows(vocab.sparkSession)
+        rows = vocab.select("term", "idf").limit(limit + 1).collect()
+        if len(rows) > limit:
+            return None
+        rows = sorted((r["term"], r["idf"]) for r in rows)
+        return Vocabulary(pa.array([t for t, _ in rows], pa.string()), np.array([x for _, x in rows], np.float64))
+
+    def weights(self, tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term number and normalised weight of every known term of token lists, in order of row and number."""
+        row, flat = _unigrams(tokens, stop)
+        same = row[:-1] == row[1:]
+        chosen = pa.array(same)
+        pairs = pc.binary_join_element_wise(flat[:-1].filter(chosen), flat[1:].filter(chosen), " ") if len(flat) > 1 else flat[:0]
+        row, terms = np.r_[row, row[:-1][same]], pa.concat_arrays([flat, pairs])
+        number = np.asarray(pc.fill_null(pc.index_in(terms, value_set=self.terms), -1)).astype(np.int64)
+        width = max(1, len(self.terms))
+        key, tf = np.unique((row * width + number)[number >= 0], return_counts=True)
+        row, number = key // width, key % width
+        weight = tf * self.idf[number]
+        norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(tokens)))
+        return row, number, weight / norm[row]
+
+
+def weigh(
+    docs: DataFrame, known: Vocabulary, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None
+) -> DataFrame:
+    """`(id, numbers, terms, weights)`: the known terms of each document as arrays, in the order of the terms."""
+    rows = _token_rows(docs, id_column, text, pattern)
+    stop = pa.array(list(stop_words), pa.string())
+    lists = T.StructType.fromDDL("numbers array<int>, terms array<string>, weights array<double>")
+    schema = T.StructType([T.StructField(id_column, rows.schema["id"].dataType), *lists])
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                row, number, weight = known.weights(piece["tokens"], stop)
+                bounds = pa.array(np.searchsorted(row, np.arange(piece.num_rows + 1)).astype(np.int32))
+                held = [pa.array(number.astype(np.int32)), known.terms.take(pa.array(number)), pa.array(weight)]
+                columns = [piece["id"], *(pa.ListArray.from_arrays(bounds, x) for x in held)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def dense_rows(weights: DataFrame, terms: Sequence[str], id_column: str, name: str = "features") -> DataFrame:
     """One dense array per document over a short fixed term list (a classifier's input)."""
     weight_of = F.map_from_entries(F.collect_list(F.struct("term", "weight")))
@@ -84,45 +285,63 @@ def dense_rows(weights: DataFrame, terms: Sequence[str], id_column: str, name: s
 # --- chunks ---------------------------------------------------------------
 
 
-def _lines(text: Column) -> Column:
-    stripped = F.transform(F.split(text, "\n"), lambda s: F.regexp_replace(s, rf"^{fn.BLANK}+|{fn.BLANK}+$", ""))
-    return F.filter(stripped, lambda s: s != "")
+# A heading stands at the start of a line, blanks in front of it aside.
+_BLANK_IN_LINE = rf"[{fn.BLANK}&&[^\n]]*"
+_HEADING = r"Section[ \t\x0b\f\r]+\d+"
 
 
 def chunk_pages(pages: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Overlapping word windows per page, each with its nearest preceding section heading.
 
-    `(document, page, chunk_no, chunk_id, section, text, word_count)`. A page is
-    one row, and all its chunks come from array functions on that row: no
-    exchange, whatever the number of pages.
+    `(document, page, chunk_no, chunk_id, section, text, word_count)`. A page is one row, and its chunks are made
+    inside that row: the text is cut before every heading line, the words of the parts are strung together, and only
+    the finished chunks leave the row. Work is proportional to the text, and nothing moves.
     """
     step = size - overlap
-    last_chunk = F.ceil((F.col("_n") - size) / step).cast("int")
-    prepared = (
-        pages.withColumn("_lines", _lines(F.col("text")))
-        .withColumn("_split", F.transform("_lines", fn.words))
-        .withColumn("_words", F.flatten("_split"))
-        .withColumn("_line_of", F.flatten(F.transform("_split", lambda ws, i: F.array_repeat(i, F.size(ws)))))
-        .withColumn("_n", F.size("_words"))
-        .withColumn(
-            "_heads",
-            F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get(F.col("_lines"), i).rlike(SECTION_HEADING)),
-        )
-        .withColumn("_at", F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), last_chunk)))))
-    )
-    start = F.col("_at") * step
-    count = F.least(F.lit(size), F.col("_n") - start)
-    last_line = F.get(F.col("_line_of"), start + count - 1)
-    heading = F.array_max(F.filter("_heads", lambda i: i <= last_line))
-    return prepared.select(
-        "document",
-        "page",
-        (F.col("_at") + 1).alias("chunk_no"),
-        F.concat_ws(":", "document", "page", F.col("_at") + 1).alias("chunk_id"),
-        F.get(F.col("_lines"), heading).alias("section"),
-        F.array_join(F.slice("_words", start + 1, count), " ").alias("text"),
-        count.alias("word_count"),
-    )
+    parts = F.split(F.col("text"), rf"\n(?={_BLANK_IN_LINE}{_HEADING})")
+
+    def heading(part: Column) -> Column:
+        line = F.regexp_extract(part, rf"^{_BLANK_IN_LINE}({_HEADING}[^\n]*)", 1)
+        return F.when(line != "", F.regexp_replace(line, rf"{fn.BLANK}+$", ""))
+
+    read = F.transform(parts, lambda part: F.struct(fn.words(part).alias("words"), heading(part).alias("line")))
+    nothing = F.array().cast("array<struct<at:int,line:string>>")
+
+    def headings(read: Column) -> Column:
+        """Word number at which each heading stands, and the heading."""
+        begin = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
+
+        def after(s: Column, part: Column) -> Column:
+            here = F.array(F.struct(s["at"].alias("at"), part["line"].alias("line")))
+            found = F.when(part["line"].isNotNull(), F.concat(s["found"], here)).otherwise(s["found"])
+            return F.struct((s["at"] + F.size(part["words"])).alias("at"), found.alias("found"))
+
+        return F.aggregate(read, begin, after, lambda s: s["found"])
+
+    def page_of(read: Column) -> Column:
+        words = F.flatten(F.transform(read, lambda part: part["words"]))
+        return F.struct(words.alias("words"), headings(read).alias("headings"))
+
+    def chunks(page: Column) -> Column:
+        n = F.size(page["words"])
+
+        def chunk(at: Column) -> Column:
+            start = at * step
+            count = F.least(F.lit(size), n - start)
+            above = F.filter(page["headings"], lambda h: h["at"] < start + count)
+            return F.struct(
+                (at + 1).alias("chunk_no"),
+                F.try_element_at(above, F.lit(-1))["line"].alias("section"),
+                F.array_join(F.slice(page["words"], start + 1, count), " ").alias("text"),
+                count.alias("word_count"),
+            )
+
+        last = F.greatest(F.lit(0), F.ceil((n - size) / step).cast("int"))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), last), chunk))
+
+    made = spread(pages.select("document", "page", "text")).select("document", "page", F.inline(fn.bound(fn.bound(read, page_of), chunks)))
+    number = F.concat_ws(":", "document", "page", "chunk_no")
+    return made.select("document", "page", "chunk_no", number.alias("chunk_id"), "section", "text", "word_count")
 
 
 def ingestion_summary(pages: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from plantflow.operators import decide, encode, evaluate, models, profile, retri
 from plantflow.plans import catalog_decisions, catalog_text, catalog_windows as windows, jobs
 from plantflow.plans import inputs as tables
 from plantflow.plans.registry import query, rounded
-from plantflow.session import durable, new_folder
+from plantflow.session import durable, new_folder, spread
 from plantflow.sources import readers, sinks, star_inputs as inputs
 from plantflow.streaming import shifts as streaming
 
@@ -171,7 +171,7 @@ def gradient_boosting(spark, sf_dir):
 @query("text_classifier")
 def text_classifier(spark, sf_dir):
     """Multinomial classifier of document language on TF-IDF, with macro metrics per split."""
-    documents = inputs.table(spark, sf_dir, "documents")
+    documents = spread(inputs.table(spark, sf_dir, "documents"))
     part = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("int") % 10
     split = F.when(part < 6, "train").when(part < 8, "validation").otherwise("test")
     said = models.classify_text(documents.withColumn("split", split), "doc_id", "text", "lang", pattern=catalog_text.TOKEN)

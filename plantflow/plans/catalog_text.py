@@ -9,6 +9,7 @@ from plantflow.functions import columns as fn
 from plantflow.operators import retrieve, text as tx
 from plantflow.plans import sql_tables  # noqa: F401  (defines the common tables)
 from plantflow.plans.registry import common, query, rounded
+from plantflow.session import spread
 from plantflow.sources import readers, star_inputs as inputs
 
 # A short stop list and an ASCII token pattern that both engines read alike.
@@ -101,7 +102,7 @@ for _name, _cut in (("evidence", CUT), ("evidence_by_default", retrieve.MIN_SCOR
 
 
 def _notes(spark, sf_dir):
-    return inputs.table(spark, sf_dir, "documents").select("doc_id", fn.clean_text("text").alias("note"))
+    return spread(inputs.table(spark, sf_dir, "documents")).select("doc_id", fn.clean_text("text").alias("note"))
 
 
 def _index(spark, sf_dir) -> retrieve.Index:
@@ -127,14 +128,14 @@ def term_counts(spark, sf_dir):
 @query("vocabulary", "SELECT term, total, df, round(idf, 6) AS idf FROM note_vocabulary", ("note_vocabulary",))
 def vocabulary(spark, sf_dir):
     notes = _notes(spark, sf_dir)
-    return rounded(tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200))
+    return rounded(tx.fit_vocabulary(notes, "note", 200, STOP, TOKEN))
 
 
 @query("tfidf", "SELECT doc_id, term, round(weight, 6) AS weight FROM note_weights", ("note_weights",))
 def tfidf(spark, sf_dir):
     """Normalised TF-IDF weights over the 200 most frequent terms."""
     notes = _notes(spark, sf_dir)
-    vocab = tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200)
+    vocab = tx.fit_vocabulary(notes, "note", 200, STOP, TOKEN)
     return rounded(tx.tfidf_of(notes, vocab, "doc_id", "note", STOP, TOKEN))
 
 
@@ -148,7 +149,7 @@ def tfidf(spark, sf_dir):
 def tfidf_transform(spark, sf_dir):
     """Weights of new texts under a vocabulary fitted on others."""
     notes = _notes(spark, sf_dir)
-    vocab = tx.vocabulary(tx.term_counts(notes, "doc_id", "note", STOP, TOKEN), notes, 200)  # fitted on notes only
+    vocab = tx.fit_vocabulary(notes, "note", 200, STOP, TOKEN)  # fitted on notes only
     items = inputs.table(spark, sf_dir, "benchmark").select("item_id", fn.clean_text("text").alias("note"))
     return rounded(tx.tfidf(tx.term_counts(items, "item_id", "note", STOP, TOKEN), vocab, "item_id"))
 

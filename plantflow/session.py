@@ -88,3 +88,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to all cores, if they come from a scan of too few files to keep these busy; else as they are.
+
+    For work that stays in its row: a small table of one file would be one task, a large one is never moved.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan or df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted)

@@ -108,7 +108,7 @@ def union_splits(*splits: DataFrame) -> DataFrame:
 
 def usable_pages(pages: DataFrame) -> DataFrame:
     """Pages that hold any text."""
-    return pages.filter(F.size(fn.words("text")) > 0)
+    return pages.filter(F.col("text").rlike(fn.NOT_BLANK))
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:

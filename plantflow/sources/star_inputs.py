@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plantflow.config import SplitDays
 from plantflow.functions import columns as fn
+from plantflow.session import spread
 
 # The given events cover January 2024.
 EVENT_DAYS = SplitDays(start="2024-01-01", train=(1, 17), validation=(18, 22), test=(23, 30))
@@ -173,7 +174,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page text `(document, page, text)`; some lines become section headings, some pages are blank."""
     headed = F.replace(F.col("text"), F.lit("\nE"), F.lit("\nSection 5: E"))
     opened = F.concat(F.lit("Section "), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(": "), F.col("source"), F.lit("\n"), headed)
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("source").alias("document"),
         F.col("doc_id").alias("page"),
         F.when(F.col("doc_id") % 71 == 0, F.lit(" \n "))

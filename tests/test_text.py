@@ -1,11 +1,12 @@
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plantflow import wording
-from plantflow.operators import retrieve, text as tx
+from plantflow.operators import postings, retrieve, text as tx
 from plantflow.sources import readers
 
 
@@ -134,3 +135,167 @@ def test_machine_context(spark):
         "Machine M-1: vision inspection = defect (confidence 0.50), latest maintenance-note classification = Quality (confidence 0.12)",
         "Machine M-2: no Stage III findings available.",
     ]
+
+
+# --- vocabulary in two passes, weights inside the row ----------------------
+
+
+def plain_vocabulary(texts, k, stop=()):
+    """(term, total, df) of the k most frequent terms, counted one by one."""
+    total, df = {}, {}
+    for text in texts:
+        tokens = [t for t in re.findall(r"[a-z0-9]{2,}", (text or "").lower()) if t not in stop]
+        terms = tokens + [f"{a} {b}" for a, b in zip(tokens, tokens[1:])]
+        for t in terms:
+            total[t] = total.get(t, 0) + 1
+        for t in set(terms):
+            df[t] = df.get(t, 0) + 1
+    best = sorted(total, key=lambda t: (-total[t], t))[:k]
+    return sorted((t, total[t], df[t]) for t in best)
+
+
+@pytest.mark.parametrize("cells", [1, 7, 64, tx.CELLS])
+@pytest.mark.parametrize("k", [1, 3, 10, 40, 10_000])
+def test_vocabulary_is_exact_for_any_number_of_cells(spark, cells, k):
+    """Ties at the cut, cells that hold many rare terms, fewer terms than asked for."""
+    texts = ["aa bb aa cc", "bb cc dd", None, "", "zz yy xx ww vv uu tt ss " * 3, "the of aa the bb", "dd", "ee ff gg hh"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    stop, pattern = ["the", "of"], "[a-z0-9]{2,}"
+    want = plain_vocabulary(texts, k, stop)
+    fitted = tx.fit_vocabulary(docs, "text", k, stop, pattern, cells)
+    counted = tx.vocabulary(tx.term_counts(docs, "id", "text", stop, pattern), docs, k, cells)
+    for found in (fitted, counted):
+        rows = found.collect()
+        assert sorted((r.term, r.total, r.df) for r in rows) == want
+        assert all(r.idf == pytest.approx(math.log(9 / (1 + r.df)) + 1) for r in rows)
+    assert tx.fit_vocabulary(docs.limit(0), "text", 5).collect() == []
+
+
+def test_weights_in_the_row_equal_the_join(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(9001, None), (9002, ""), (9003, "x")], docs.schema))
+    vocab = tx.fit_vocabulary(docs, "text", 300)
+    joined = {(r.doc_id, r.term): r.weight for r in tx.tfidf(tx.term_counts(docs, "doc_id"), vocab, "doc_id").collect()}
+    for tokens in (1 << 20, 50):
+        monkeypatch.setattr(tx, "PIECE_TOKENS", tokens)
+        inside = tx.tfidf_of(docs, vocab, "doc_id")
+        assert {(r.doc_id, r.term): pytest.approx(r.weight) for r in inside.collect()} == joined
+        assert "Exchange hashpartitioning" not in inside._jdf.queryExecution().toString()
+    spark.conf.set("spark.plantflow.maxBroadcastRows", "10")
+    try:
+        assert {(r.doc_id, r.term): pytest.approx(r.weight) for r in tx.tfidf_of(docs, vocab, "doc_id").collect()} == joined
+    finally:
+        spark.conf.unset("spark.plantflow.maxBroadcastRows")
+
+
+def test_chunks_of_a_long_page(spark):
+    """Headings at line starts only, blank lines, blanks of other kinds, a heading as the last line."""
+    lines = ["   Section 1: One ", "a " * 100, "see Section 2: no", "", "\tSection\t3", "b " * 50, "section 4: no", "Section 5x", "Section: no"]
+    page = spark.createDataFrame([("d", 1, "\n".join(lines)), ("d", 2, "\n \n"), ("d", 3, None)], "document string, page int, text string")
+    words, head, at = [], [], 0
+    for line in lines:
+        line = line.strip()
+        if re.match(r"Section\s+\d+", line):
+            head.append((at, line))
+        words += line.split()
+        at = len(words)
+    want = [
+        (" ".join(words[a:b]), next((h for p, h in reversed(head) if p < b), None)) for a, b in chunk_spans(len(words))
+    ]
+    got = tx.chunk_pages(page).orderBy("page", "chunk_no").collect()
+    assert [(r.text, r.section) for r in got] == want and {r.page for r in got} == {1}
+
+
+# --- index ----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def big_index(spark):
+    from plantflow.plans import catalog_text
+
+    return retrieve.build_index(readers.usable_pages(catalog_text.inputs.pages(spark, "/root/testdata/sf0.01")), shard_rows=1_000)
+
+
+def test_most_pairs_are_not_scored(spark, big_index):
+    """The k best of every question, against all pairs; blocks whose bound is too low are left alone."""
+    known = tx.Vocabulary.of(big_index.vocabulary)
+    asked = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").selectExpr("item_id as query_id", "text as question")
+    weights = [(np.array(r.numbers), np.array(r.weights)) for r in tx.weigh(asked, known, "query_id", "question").collect()]
+    scored = pairs = 0
+    for shard in [r.shard for r in big_index.lists.select("shard").distinct().collect()]:
+        names, lists = retrieve.shard_postings(big_index.lists.filter(F.col("shard") == shard).toArrow())
+        every = np.ones(lists.blocks, bool)
+        for numbers, weight in weights:
+            place, score, n = lists.best(numbers, weight, 4, 0.4)
+            whole = lists.score(lists.lists(numbers, weight), every)
+            order = np.lexsort((np.arange(len(whole)), -np.round(whole, 9)))[:4]
+            assert place.tolist() == [i for i in order.tolist() if whole[i] >= 0.4 - 2e-9]
+            assert score == pytest.approx(whole[place])
+            scored += n
+            pairs += len(names)
+    assert pairs > 200_000 and scored < pairs / 10
+
+
+def test_blocks_hold_ties_and_gaps(monkeypatch):
+    rng = np.random.default_rng(3)
+    for trial in range(60):
+        size = int(rng.integers(1, 40))
+        dense = np.round(rng.random((6, size)) * (rng.random((6, size)) < 0.4), 1)
+        number, place = np.nonzero(dense)
+        first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]][: len(number)])
+        lists = postings.Postings(number[first] * 10, np.r_[first, len(number)], place, dense[number, place], size)
+        monkeypatch.setattr(postings, "FIRST_BLOCKS", int(rng.integers(1, 5)))
+        asked, weight = np.array([0, 10, 20, 25, 50]), np.array([0.5, 0.2, 0.9, 1.0, 0.1])
+        whole = np.array([0.5, 0.2, 0.9, 0, 0, 0.1]) @ dense
+        k, floor = int(rng.integers(1, 6)), float(rng.choice([0.0, 0.3, 5.0]))
+        best = [i for i in np.lexsort((np.arange(size), -np.round(whole, 9))) if whole[i] > 0 and whole[i] >= floor][:k]
+        assert lists.best(asked, weight, k, floor)[0].tolist() == best
+
+
+def leaves(frame):
+    """The scans of a plan that has run."""
+    found, todo = [], [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan", "ResultQueryStageExec": "plan"}.get(name)
+        below = [getattr(node, inner)()] if inner else [node.children().apply(i) for i in range(node.children().size())]
+        todo += below
+        found += [] if below else [node]
+    return found
+
+
+def test_search_moves_no_lists(spark, big_index, tmp_path):
+    """The stored index is searched without an exchange above its scans; a single question reads few pages and buckets."""
+    big_index.save(str(tmp_path / "index"))
+    loaded = retrieve.Index.load(spark, str(tmp_path / "index"))
+    text = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").first().text
+    one = questions(spark, " ".join(text.split()[:4]))
+    found = retrieve.similar_chunks(one, loaded)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("FlatMapGroupsInArrow") :]
+    assert "Exchange hashpartitioning" not in below and "Bucketed: true" in below
+    rows = loaded.lists.filter((F.col("number") == 5) | (F.col("number") == -1))
+    rows.collect()
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() < loaded.lists.count() / 5
+    evidence = retrieve.retrieve(one, loaded, top_k=1)
+    evidence.collect()
+    scans = [x for x in leaves(evidence) if x.nodeName().startswith("Scan parquet") and "section" in x.toString()]
+    assert len(scans) == 1 and 0 < scans[0].metrics().apply("numOutputRows").value() < loaded.chunks.count() / 3
+    made = loaded.chunks.groupBy("shard").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in made
+    assert sorted(map(tuple, retrieve.retrieve(one, loaded).collect())) == sorted(map(tuple, retrieve.retrieve(one, big_index).collect()))
+
+
+def test_many_questions_are_taken_in_blocks(spark, index, monkeypatch):
+    asked = questions(spark, *["vibration spindle", "grease bearing", "gloves press", "stop machine", "nothing known", " ", None] * 3)
+    whole = sorted(map(tuple, retrieve.retrieve(asked, index).collect()), key=repr)
+    monkeypatch.setattr(retrieve, "QUERY_BLOCK", 2)
+    assert sorted(map(tuple, retrieve.retrieve(asked, index).collect()), key=repr) == whole and len(whole) > 9
+
+
+def test_index_of_nothing(spark):
+    pages = spark.createDataFrame([("a", 1, " \n ")], "document string, page int, text string")
+    empty = retrieve.build_index(readers.usable_pages(pages))
+    assert retrieve.retrieve(questions(spark, "vibration"), empty).collect() == [] == empty.postings.collect()
