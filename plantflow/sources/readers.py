@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plantflow.functions import columns as fn
-from plantflow.sources import schema as sc
 from plantflow.session import durable
+from plantflow.sources import ranges, schema as sc
 from plantflow.sources.sinks import path_exists
 
 # File names of the raw tables in a raw folder.
@@ -30,13 +30,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """A CSV table with a header, written as spreadsheets and pandas do: quotes inside quotes are doubled.
 
     Columns are taken by name; without a schema all are text. Words for a missing
-    value become NULL. With `multi_line` quoted text may hold line breaks; such a
-    file is read by one task, so tables without free text are read without it.
+    value become NULL. With `multi_line` quoted text may hold line breaks; such files
+    are read by ranges as well (`ranges`), unless a quote stands in the middle of a
+    field without being doubled: then the file is read by one task.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Expected data file not found: {path}")
-    text = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-    found = text.csv(path)
+    if multi_line and not ranges.stray_quotes(spark, path):
+        found = ranges.read_quoted_csv(spark, path)
+    else:
+        text = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+        found = text.csv(path)
     found = found.select(*[F.when(~F.trim(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in found.columns])
     if schema is None:
         return found
@@ -69,12 +73,14 @@ def read_raw_maintenance(spark: SparkSession, folder: str) -> DataFrame:
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Records from JSON array files; a missing or unreadable file gives no rows.
 
-    A record with a field of another type keeps its other fields. `unreadable_records`
-    counts what could not be read in full.
+    Files are read by ranges, so one large array is many tasks. A record with a field
+    of another type keeps its other fields. `unreadable_records` counts what could not
+    be read in full.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = _with_corrupt(spark, path, schema)
+    kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    rows = ranges.read_json_objects(spark, path, kinds, CORRUPT)
     names = [c for c in rows.columns if c != CORRUPT]
     nothing = F.col(CORRUPT).isNotNull() & (F.size(F.array_compact(F.array(*[F.col(f"`{c}`").cast("string") for c in names]))) == 0)
     return rows.filter(~nothing).drop(CORRUPT)
