@@ -175,8 +175,8 @@ def positive_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Weight of each class, `n / (classes * n_class)`, one row per class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Weight of each class, `n / (classes * n_class)`, one row per class; a row without a label belongs to none."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.agg(F.struct(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).alias("t"))
     return counts.withColumn("_t", totals.scalar()).select(
         label, "n", (F.col("_t.n") / (F.col("_t.k") * F.col("n"))).alias("weight")
@@ -184,7 +184,7 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_balanced_weight(df: DataFrame, label: str = "label") -> DataFrame:
-    """Add the balanced class weight to every row; the class table is read as one map."""
+    """Add the balanced class weight to every row; the class table is read as one map. Rows without a label weigh nothing."""
     table = balanced_weights(df, label).agg(F.map_from_entries(F.collect_list(F.struct(label, "weight"))).alias("m"))
     return df.withColumn("weight", F.try_element_at(table.scalar(), F.col(label)))
 

@@ -1,8 +1,12 @@
 """Cleaning of the three raw tables, with a ledger of every repair.
 
 Each `flag_*` function returns the cleaned rows plus underscore columns that say
-what was repaired; `cleaned` drops those columns and `*_ledger` sums them, so
-the table and its ledger come from the same pass.
+what was repaired; `cleaned` drops those columns and `*_ledger` sums them.
+
+Rows are placed by machine once, before anything else. Repeats are found there,
+and the windows of gaps and medians run on the same placing and one sort. A
+machine with more rows than one task should hold goes another way: repeats by
+whole rows, gaps in time segments, medians over value bins.
 """
 
 from __future__ import annotations
@@ -28,6 +32,28 @@ def drop_exact_duplicates(df: DataFrame, copies: str = "_copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
+def placed_by(df: DataFrame, key: str, hot: bool) -> DataFrame:
+    """The rows in one task a key, unless a key is too large for one: all groups that hold the key then move nothing."""
+    return df if hot else df.repartition(F.col(key))
+
+
+def with_digest(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Add a digest of the row (of some columns) in two numbers of 64 bits; which fields are missing counts as well."""
+    fields = [F.col(c) for c in columns or df.columns]
+    missing = F.concat(*[c.isNull().cast("int").cast("string") for c in fields])
+    return df.withColumns({"_digest": F.xxhash64(missing, *fields), "_digest2": F.xxhash64(*fields, missing, F.lit(1))})
+
+
+def drop_repeats(df: DataFrame, key: str, ts: str, copies: str = "_copies") -> DataFrame:
+    """`drop_exact_duplicates` for rows placed by `key`: repeats lie side by side in the order that later windows need."""
+    marked = with_digest(df)
+    alike = W.partitionBy(key, ts, "_digest", "_digest2")
+    instant = W.partitionBy(key, ts).orderBy("_digest", "_digest2")
+    repeated = (F.lag("_digest").over(instant) == F.col("_digest")) & (F.lag("_digest2").over(instant) == F.col("_digest2"))
+    counted = marked.withColumn(copies, F.count(F.lit(1)).over(alike))
+    return counted.withColumn("_again", F.coalesce(repeated, F.lit(False))).filter(~F.col("_again")).drop("_again", "_digest2")
+
+
 def null_outside_bounds(df: DataFrame, bounds: Bounds = PHYSICAL_BOUNDS) -> DataFrame:
     """Null impossible readings and flag them in `_glitch_<channel>`."""
     flags = {f"_glitch_{c}": fn.outside(c, *b) for c, b in bounds.items() if c in df.columns}
@@ -43,16 +69,17 @@ def fill_short_gaps(
     limit: int = GAP_READINGS,
     only: Column | None = None,
     hot: bool | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Carry the last reading forward, then the next one backward, over at most `limit` rows.
 
     The windows look `limit` rows either way, so a machine with very many
-    readings is cut into time segments.
+    readings is cut into time segments. Readings at one instant come in the order
+    of the column `tie`, or of a hash of the row, whatever the partitioning.
     """
 
     def fill(frame: DataFrame, group: list[str]) -> DataFrame:
-        # readings at one instant come in an order of their own, whatever the partitioning
-        rows = W.partitionBy(*group).orderBy(ts, F.xxhash64(*[c for c in df.columns if c != ts]))
+        rows = W.partitionBy(*group).orderBy(ts, F.col(tie) if tie else F.xxhash64(*[c for c in df.columns if c != ts]))
         back, ahead = rows.rowsBetween(-limit, 0), rows.rowsBetween(0, limit)
         filled = {}
         for c in columns:
@@ -108,9 +135,13 @@ def flag_sensor(
     ).filter(F.col("timestamp").isNotNull())
 
     running = F.col("operating_status") == "RUNNING"
-    bounded = null_outside_bounds(drop_exact_duplicates(typed), {c: bounds[c] for c in channels})
+    if hot:
+        distinct = with_digest(drop_exact_duplicates(typed), typed.columns).drop("_digest2")
+    else:
+        distinct = drop_repeats(placed_by(typed, "machine_id", hot), "machine_id", "timestamp")
+    bounded = null_outside_bounds(distinct, {c: bounds[c] for c in channels})
     gaps = bounded.withColumns({f"_gap_{c}": running & F.col(c).isNull() for c in channels})
-    filled = fill_short_gaps(gaps, channels, limit=gap, only=running if running_only else None, hot=hot)
+    filled = fill_short_gaps(gaps, channels, limit=gap, only=running if running_only else None, hot=hot, tie="_digest")
     medians = with_group_median(filled, ["machine_id"], channels, hot=hot)
     return medians.withColumns(
         {c: F.when(running & F.col(c).isNull(), F.col(f"_median_{c}")).otherwise(F.col(c)) for c in channels}
@@ -138,7 +169,7 @@ def flag_production(raw: DataFrame, hot: bool | None = None) -> DataFrame:
             "quality_score": fn.lenient_double("quality_score"),
         }
     )
-    distinct = drop_exact_duplicates(typed)
+    distinct = drop_exact_duplicates(placed_by(typed, "machine_id", hot))
     counts = with_group_median(distinct, ["machine_id", "shift"], ["production_count"], hot=hot)
     both = with_group_median(counts, ["machine_id"], ["quality_score"], hot=hot)
     negative = F.coalesce(F.col("production_count") < 0, F.lit(False))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from plantflow.config import SEQUENCE_SHIFTS, SHIFTS
 from plantflow.functions import columns as fn
+from plantflow.operators import skew
 from plantflow.operators.features import shift_sequence
 
 SPLITS_NEWEST_FIRST = ("test", "validation", "train")
@@ -110,6 +111,29 @@ def window_as_of(
     return stacked.filter((F.size("window") == n) & ends).select("_last.*", "window")
 
 
+ANCHOR = "anchor"
+
+
+def anchored_rows(
+    df: DataFrame, anchors: DataFrame, n: int = SEQUENCE_SHIFTS, key: str = "machine_id", order: Sequence[str] = ("sim_day", "shift")
+) -> DataFrame:
+    """The `n` rows up to each anchor `(machine, day, shift)`, across all splits, for any number of anchors at once.
+
+    Adds `anchor` (`machine|day|shift`) and `position` (1 is the oldest). An anchor that the table does not hold, or
+    with fewer rows up to it, has none. One sorted pass over the machines: every row looks `n` rows ahead for anchors,
+    and only rows that stand before one go on; a row that several anchors share is copied for each.
+    """
+    day, shift = order
+    wanted = anchors.select(key, day, shift).filter(F.col(key).isNotNull()).distinct().withColumn("_anchored", F.lit(True))
+    marked = df.join(skew.checked_broadcast(wanted), [key, day, shift], "left")
+    by_time = W.partitionBy(key).orderBy(F.col(day), fn.shift_order(shift, SHIFTS))
+    here = F.when(F.col("_anchored"), F.struct(F.col("_place").alias("at"), F.concat_ws("|", key, day, shift).alias("anchor")))
+    placed = marked.withColumn("_place", F.row_number().over(by_time))
+    ahead = placed.withColumn("_ahead", F.collect_list(here).over(by_time.rowsBetween(0, n - 1)))
+    near = ahead.withColumn("_a", F.explode(F.filter("_ahead", lambda a: a["at"] >= n)))
+    return near.select(*df.columns, F.col("_a.anchor").alias(ANCHOR), (n + F.col("_place") - F.col("_a.at")).cast("int").alias("position"))
+
+
 def window_arrays(rows: DataFrame, columns: Sequence[str], key: str = "machine_id") -> DataFrame:
     """Latest rows as one array per machine, oldest first."""
     ordered = F.sort_array(F.collect_list(F.struct("position", _vector(columns).alias("v"))))

@@ -26,6 +26,28 @@ AFTER_MAINTENANCE = {
 }
 
 
+# What each scenario says of itself and of where its risk comes from.
+DESCRIPTIONS = {
+    "continue_operating": "Continue normal operation at the current production rate for the full horizon.",
+    "stop_for_maintenance": (
+        "Stop now for preventive maintenance (%sh, the fleet's empirical average planned-maintenance duration), "
+        "then resume normal operation."
+    ),
+    "reduce_load": "Reduce production rate/load by %s for the full horizon.",
+}
+PROBABILITY_SOURCES = {
+    "continue_operating": "GRU model, current real input window (unmodified)",
+    "stop_for_maintenance": (
+        "GRU model, counterfactual post-maintenance input "
+        "(fleet-wide healthy-state training averages + reset maintenance fields)"
+    ),
+    "reduce_load": (
+        "GRU model, counterfactual input with load/torque/rpm/production_rate "
+        "scaled down %s from the machine's real current readings"
+    ),
+}
+
+
 def after_maintenance(state: DataFrame, baseline: DataFrame, features: Sequence[str]) -> DataFrame:
     """The state a machine would have after maintenance: fleet means of healthy shifts plus reset fields."""
     means = state.withColumn("_healthy", baseline.select(F.struct(*baseline.columns)).scalar())
@@ -123,6 +145,55 @@ def scenario_table(states: DataFrame, economics: Economics = Economics(), horizo
     return states.withColumn("horizon_shifts", horizon).select(*states.columns, "horizon_shifts", F.inline(F.array(*cases)))
 
 
+def with_descriptions(scenarios: DataFrame, economics: Economics = Economics()) -> DataFrame:
+    """Add `description`, `failure_probability_source` and `horizon_hours` to every scenario row."""
+    hours = F.col("horizon_shifts") * F.lit(float(economics.shift_hours))
+    stopped = F.format_string("%.1f", F.least(F.lit(float(economics.maintenance_downtime_hours)), hours))
+    share = f"{economics.load_reduction:.0%}"
+
+    def text(of: dict[str, str]) -> Column:
+        chosen = F.lit(None).cast("string")
+        for name, said in of.items():
+            value = F.format_string(said, stopped) if name == "stop_for_maintenance" and "%s" in said else F.lit(said.replace("%s", share))
+            chosen = F.when(F.col("scenario") == name, value).otherwise(chosen)
+        return chosen
+
+    return scenarios.withColumns(
+        {"description": text(DESCRIPTIONS), "failure_probability_source": text(PROBABILITY_SOURCES), "horizon_hours": hours}
+    )
+
+
+SCENARIO_FIELDS = [
+    "scenario", "description", "failure_probability_source", "per_shift_failure_probability", "cumulative_failure_risk",
+    "expected_downtime_hours", "expected_production_units", "production_loss_units", "expected_revenue_usd",
+    "downtime_cost_usd", "expected_failure_repair_cost_usd", "estimated_net_value_usd",
+]
+
+
+def scenario_records(
+    states: DataFrame, economics: Economics = Economics(), horizon_shifts: int | Column | None = None, key: Sequence[str] = ("machine_id",)
+) -> DataFrame:
+    """The whole record of each machine, one row: horizon, current state, all scenarios in order, and the best of them.
+
+    `states` is what `scenario_table` reads, with `machine_type`. Each machine's three scenarios are made and
+    compared in its row.
+    """
+    key = list(key)
+    table = with_descriptions(scenario_table(states, economics, horizon_shifts), economics)
+    fields = F.struct("scenario_order", *SCENARIO_FIELDS)
+    best = F.struct(F.coalesce("estimated_net_value_usd", F.lit(float("-inf"))), -F.col("scenario_order"))
+    rows = table.groupBy(*key).agg(
+        F.first("machine_type").alias("machine_type"),
+        F.first("horizon_shifts").alias("horizon_shifts"),
+        F.first("horizon_hours").alias("horizon_hours"),
+        F.round(F.first("production_rate"), 2).alias("current_production_rate"),
+        F.round(F.first("p_continue"), 4).alias("current_failure_probability"),
+        F.sort_array(F.collect_list(fields)).alias("scenarios"),
+        F.max_by("scenario", best).alias("recommended_scenario"),
+    )
+    return rows.withColumns({"recommendation_basis": F.lit(wording.SCENARIO_BASIS), "status": F.lit("ok")})
+
+
 def recommend(scenarios: DataFrame, key: Sequence[str] = ("machine_id",)) -> DataFrame:
     """The scenario with the highest net value per machine; the first one wins ties."""
     best = W.partitionBy(*key).orderBy(F.col("estimated_net_value_usd").desc_nulls_last(), "scenario_order")

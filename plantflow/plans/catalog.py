@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from plantflow.plans import (  # noqa: F401
+    catalog_anchors,
     catalog_cleaning,
     catalog_decisions,
     catalog_edges,

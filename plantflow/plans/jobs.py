@@ -87,6 +87,53 @@ def train(spark: SparkSession, out_dir: str, names: Sequence[str] = tuple(models
     return metrics
 
 
+def _anchored(table: DataFrame, anchors: DataFrame, columns: Sequence[str], window: int):
+    """Contract, anchored rows (gaps filled), standardised windows by anchor, and the last row of each with its raw values."""
+    wanted = dict.fromkeys(["machine_id", "machine_type", "operating_status", "split", "sim_day", "shift", *columns])
+    table = durable(table.select(*wanted))
+    contract = encode.fit_contract(table, list(columns), flags=False, standardise=True, window=window)
+    rows = durable(score.anchored_rows(table, anchors, window))
+    raw = encode.flag_and_impute(rows, contract.medians, [])
+    standard = encode.apply_contract(rows, contract, keep=[score.ANCHOR, "position"])
+    windows = score.window_arrays(standard, contract.features, score.ANCHOR)
+    return table, contract, windows, raw.filter(F.col("position") == window)
+
+
+def explain_at(
+    table: DataFrame, anchors: DataFrame, scorer: score.Scorer, columns: Sequence[str], threshold: float = 0.5, window: int = config.SEQUENCE_SHIFTS
+) -> DataFrame:
+    """Score and attribution of the windows that end at each anchor `(machine_id, sim_day, shift)`: one row an anchor.
+
+    `(anchor, machine_id, sim_day, shift, prob, predicted_failure, risk_level, feature_explanations)`; any number of
+    anchors, a machine may have many. An anchor without a full window has no row.
+    """
+    _, contract, windows, state = _anchored(table, anchors, columns, window)
+    names = contract.features
+    actual = state.select(score.ANCHOR, "machine_id", "sim_day", "shift", F.array(*[F.col(c).cast("double") for c in names]).alias("actual"))
+    found = durable(explain.neutralisation_importance(windows.join(actual, score.ANCHOR), names, scorer, [score.ANCHOR]))
+    chances = score.risk(found.groupBy(score.ANCHOR).agg(F.max("base_prob").alias("prob")), threshold)
+    lists = explain.explanation_lists(explain.top_contributions(found, [score.ANCHOR]), [score.ANCHOR])
+    return actual.drop("actual").join(chances, score.ANCHOR).join(lists, score.ANCHOR)
+
+
+def simulate_at(
+    table: DataFrame,
+    anchors: DataFrame,
+    scorer: score.Scorer,
+    columns: Sequence[str],
+    economics: Economics = Economics(),
+    horizon_shifts: int | None = None,
+    window: int = config.SEQUENCE_SHIFTS,
+) -> DataFrame:
+    """What-if records (see `whatif.scenario_records`) of the states at each anchor, one row an anchor."""
+    table, contract, windows, state = _anchored(table, anchors, columns, window)
+    baseline = profile.healthy_baseline(table, columns)
+    cases = whatif.scenario_probabilities(
+        state, windows, baseline, contract.features, contract.means, contract.stds, scorer, economics, window, score.ANCHOR
+    )
+    return whatif.scenario_records(cases, economics, horizon_shifts, [score.ANCHOR])
+
+
 def decide_all(
     table: DataFrame,
     scorer: score.Scorer,
@@ -97,9 +144,12 @@ def decide_all(
     columns: Sequence[str] = tuple(SEQUENCE_COLUMNS),
     economics: Economics = Economics(),
     window: int = config.SEQUENCE_SHIFTS,
+    at: tuple[int, str] | None = None,
 ) -> DataFrame:
     """Findings, decision, explanation and trace of every machine in a split feature table, one row each.
 
+    With `at`, a (day, shift), machines are judged by their window that ends there instead of by their last one.
+
     `images` and `notes` are latest-result inputs of `decide.latest_findings` with an `at` column for
     their order. A part that is not given counts as unavailable.
     """
@@ -110,7 +160,13 @@ def decide_all(
     names = contract.features
 
     # Each machine's last full window, raw (with one-hot status) and standardised.
-    recent = encode.flag_and_impute(score.latest_window(table, window), contract.medians, [])
+    if at is None:
+        latest = score.latest_window(table, window)
+    else:
+        day, shift = at
+        anchors = table.filter((F.col("sim_day") == day) & (F.col("shift") == shift)).select("machine_id", "sim_day", "shift")
+        latest = score.anchored_rows(table, anchors, window).drop(score.ANCHOR)
+    recent = encode.flag_and_impute(latest, contract.medians, [])
     raw = encode.one_hot(recent.withColumn("_status", F.col("operating_status")), contract.categories)
     state = raw.filter(F.col("position") == window)
     state = durable(state)

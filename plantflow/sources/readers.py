@@ -117,15 +117,19 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("text").rlike(fn.NOT_BLANK))
 
 
+def _page_file_bytes(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
+    return files.select("path", F.col("content").cast("string").alias("content"))
+
+
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """Page text from text files, one file per document, pages separated by form feeds.
 
-    Files that cannot be read are skipped; it is an error if nothing usable is left.
+    Files that are not text (see `unreadable_page_files`) are skipped; it is an error if nothing usable is left.
     """
-    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
-    content = F.col("content").cast("string")
+    files = _page_file_bytes(spark, path).filter(F.is_valid_utf8("content"))
     numbered = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("document"), F.posexplode(F.split(content, "\f")).alias("page", "text")
+        F.element_at(F.split("path", "/"), -1).alias("document"), F.posexplode(F.split("content", "\f")).alias("page", "text")
     )
     pages = usable_pages(numbered.withColumn("page", F.col("page") + 1))
     if pages.isEmpty():
@@ -133,6 +137,13 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     return pages
 
 
+def unreadable_page_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every file that `read_page_files` leaves out, with the reason: not text in UTF-8, or without any text."""
+    files = _page_file_bytes(spark, path)
+    reason = F.when(~F.is_valid_utf8("content"), "not text in UTF-8").when(~F.col("content").rlike(fn.NOT_BLANK), "no text")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("document"), reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def labelled_assets(metadata: DataFrame, split: str | None = None) -> DataFrame:
     """Asset metadata `(image_path, label, machine_id, split)` with the numeric class."""
     codes = F.create_map(*[F.lit(v) for pair in LABELS.items() for v in pair])

@@ -69,13 +69,15 @@ REASON_FEATURES = "Explainability analysis (%s) attributes this prediction most
 REASON_SCENARIO = "Digital twin what-if simulation over the next %d shifts favors '%s' (%s)."
 SCENARIO_BASIS = "highest estimated_net_value_usd across the 3 simulated scenarios"
 
-UNAVAILABLE_WINDOW = "Fewer than %d recorded shifts available for machine %s"
-UNAVAILABLE_VISION = "No vision result found for machine %s"
-UNAVAILABLE_NOTE = "No maintenance-note result found for machine %s"
-
 DECISIONS = ["APPROVE", "REJECT", "MODIFY"]
 ERROR_DECISION = "human_decision must be one of ['APPROVE', 'MODIFY', 'REJECT'], got %s"
 ERROR_REJECT = "REJECT requires a reason/comment"
 ERROR_ACTION = "MODIFY requires a modified_action"
 ERROR_MODIFY = "MODIFY requires a reason/comment"
 ERROR_EMPTY = "ai_output has no decision.recommendation - is this a real orchestrator result?"
+
+# --- own wording, free to change ---
+
+UNAVAILABLE_WINDOW = "Fewer than %d recorded shifts available for machine %s"
+UNAVAILABLE_VISION = "No vision result found for machine %s"
+UNAVAILABLE_NOTE = "No maintenance-note result found for machine %s"

@@ -119,3 +119,25 @@ def test_schema_gate(spark):
         schema.validate_schema(good.withColumn("machine_id", F.lit(None).cast("string")), schema.SENSOR_SCHEMA, "sensor")
     with pytest.raises(schema.SchemaValidationError, match="mostly_unparseable \\(load_pct\\)"):
         schema.validate_schema(good.withColumn("load_pct", F.lit("high")), schema.SENSOR_SCHEMA, "sensor")
+
+
+def test_rows_move_once(spark, sf_dir):
+    """Repeats, gaps and medians of the sensor table share one exchange and one sort; production shares one exchange."""
+    from plantflow.sources import star_inputs
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    sensor = plan(quality.clean_sensor(star_inputs.sensor_raw(spark, sf_dir), hot=False))
+    assert sensor.count("Exchange hashpartitioning") == 1 and sensor.count("- Sort [") == 1
+
+
+def test_repeats_by_digest(spark):
+    """Rows that differ only in where a field is missing, or in a field's type of nothing, are no repeats."""
+    rows = [
+        ("m", 1, None, 5.0, "a"), ("m", 1, 5.0, None, "a"), ("m", 1, 5.0, None, "a"), ("m", 1, 0.0, 5.0, "a"), ("m", 1, -0.0, 5.0, "a"),
+        (None, 1, 1.0, 2.0, None), (None, 1, 1.0, 2.0, None), (None, 1, 1.0, 2.0, ""), ("m", 2, 5.0, None, "a"), ("m", None, 1.0, 1.0, "x"),
+        ("m", None, 1.0, 1.0, "x"),
+    ]
+    df = spark.createDataFrame(rows, "k string, t int, x double, y double, s string")
+    plain = quality.drop_exact_duplicates(df).collect()
+    placed = quality.drop_repeats(df.repartition("k"), "k", "t").drop("_digest").collect()
+    assert sorted(map(str, placed)) == sorted(map(str, plain)) and len(plain) == 7

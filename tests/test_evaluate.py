@@ -101,3 +101,11 @@ def test_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "label int")
     assert {r.label: r.weight for r in evaluate.balanced_weights(df).collect()} == {1: 2.0, 0: pytest.approx(4 / 6)}
     assert sorted(r.weight for r in evaluate.positive_weight(df).collect()) == [1.0, 1.0, 1.0, 3.0]
+
+
+def test_rows_without_a_label_weigh_nothing(spark):
+    df = spark.createDataFrame([(1,), (0,), (0,), (None,), (0,)], "label int")
+    assert {r.label: r.weight for r in evaluate.balanced_weights(df).collect()} == {1: 2.0, 0: pytest.approx(4 / 6)}
+    weighted = evaluate.with_balanced_weight(df).collect()
+    assert sorted((r.label, r.weight) for r in weighted if r.label is not None)[-1] == (1, 2.0)
+    assert [r.weight for r in weighted if r.label is None] == [None]

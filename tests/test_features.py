@@ -131,3 +131,25 @@ def test_correlation_is_pairwise_complete(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, None), (None, 1.0)], "a double, b double")
     got = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, ["a", "b"]).collect()}
     assert got["a", "b"] == got["b", "a"] == got["a", "a"] == 1.0
+
+
+def test_many_anchors_at_once(spark, sf_dir):
+    """Anchored rows equal the windows of one anchor after the other; odd anchors have none."""
+    from plantflow.operators import score
+    from plantflow.plans import inputs as tables
+
+    names = ["production_rate", "downtime_minutes"]
+    table = tables.feature_table(spark, sf_dir).select("machine_id", "split", "sim_day", "date", "shift", *names).cache()
+    wanted = [(2, "Night"), (15, "Morning"), (18, "Afternoon"), (18, "Night"), (40, "Morning"), (3, "none")]
+    days = spark.createDataFrame([(day, shift) for day, shift in wanted], "sim_day int, shift string")
+    anchors = table.select("machine_id").distinct().crossJoin(days)
+    anchors = anchors.union(anchors).union(spark.createDataFrame([("M-none", 15, "Morning"), (None, 15, "Morning")], anchors.schema))
+    rows = score.anchored_rows(table, anchors)
+    assert rows.columns == [*table.columns, "anchor", "position"]
+    got = {r.anchor: r.window for r in score.window_arrays(rows, names, "anchor").collect()}
+    want = {}
+    for day, shift in wanted:
+        for r in score.window_as_of(table, names, day, shift).collect():
+            want[f"{r.machine_id}|{day}|{shift}"] = r.window
+    assert got == want and len(want) > 20
+    assert {r.n for r in rows.groupBy("anchor").count().select(F.col("count").alias("n")).collect()} == {5}

@@ -153,3 +153,52 @@ def test_broken_json_records_are_counted(spark, tmp_path):
     rows = readers.read_records(spark, str(tmp_path), "a long, b string").collect()
     assert sorted((r.b, r.a) for r in rows) == [("x", 1), ("y", None)]
     assert readers.unreadable_records(spark, str(tmp_path), "a long, b string").first().n == 3
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    """Both read the registry while it is empty; each still gets a version of its own."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    best = spark.createDataFrame([("a", 0.5)], "model string, f1 double")
+    with ThreadPoolExecutor(4) as pool:
+        rows = list(pool.map(lambda i: sinks.register_model(best, str(tmp_path / "reg"), "p", f"run-{i}", "F1").first(), range(4)))
+    assert sorted(r.version for r in rows) == [1, 2, 3, 4]
+    stored = spark.read.parquet(str(tmp_path / "reg")).collect()
+    assert sorted((r.version, r.source_run_id) for r in stored) == sorted((r.version, r.source_run_id) for r in rows)
+    assert sinks.register_model(best, str(tmp_path / "reg"), "other", "run", "F1").first().version == 1
+    with ThreadPoolExecutor(8) as pool:
+        for i in range(20):
+            assert sum(pool.map(lambda _: sinks.claim(spark, str(tmp_path / f"x/{i}")), range(8))) == 1
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    path, schema = str(tmp_path / "audit"), "decision_id string, n long"
+    one, two = (spark.createDataFrame(rows, schema) for rows in ([("a", 1), ("b", None)], [("c", 3)]))
+    assert sinks.append_audit(one, path, "s-0") and not sinks.append_audit(one, path, "s-0")
+    sinks.append_audit(two, path)
+    read = lambda: sorted(r.decision_id for r in sinks.read_audit(spark, path, one.schema).collect())
+    assert read() == ["a", "b", "c"]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:  # four writers of one batch
+        assert sum(pool.map(lambda _: sinks.append_audit(two, path, "s-1"), range(4))) == 1
+    assert read() == ["a", "b", "c", "c"]
+
+
+def test_audit_of_a_stream(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1), ("b", 2)], "decision_id string, n long")
+    one.write.parquet(str(tmp_path / "in"))
+    for checkpoint in ("one", "two"):  # a lost checkpoint runs the same batch again
+        source = spark.readStream.schema(one.schema).parquet(str(tmp_path / "in"))
+        sinks.audit_stream(source, str(tmp_path / "audit"), str(tmp_path / checkpoint)).awaitTermination()
+    assert sinks.read_audit(spark, str(tmp_path / "audit"), one.schema).count() == 2
+
+
+def test_page_files_that_cannot_be_read_are_named(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("page")
+    (tmp_path / "b.txt").write_bytes(b"\xff\xfe\x00bad")
+    (tmp_path / "c.txt").write_text(" \f ")
+    assert [r.document for r in readers.read_page_files(spark, str(tmp_path)).collect()] == ["a.txt"]
+    assert {(r.document, r.reason) for r in readers.unreadable_page_files(spark, str(tmp_path)).collect()} == {
+        ("b.txt", "not text in UTF-8"), ("c.txt", "no text")
+    }

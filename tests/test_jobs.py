@@ -57,3 +57,24 @@ def test_decide_for_all_and_review(spark, prepared, tmp_path):
     assert refused.count() == 2
     logged = spark.read.json(str(tmp_path / "log")).select("final_action", F.col("original_ai_recommendation.recommendation")).first()
     assert logged.final_action == logged.recommendation == one.recommendation
+
+
+def test_decisions_at_a_past_shift(spark, prepared):
+    """With a day and shift, explanation and what-if start from the window that ends there, and from nothing later."""
+    table = readers.read_splits(spark, f"{prepared}/splits")
+    statuses = table.filter("split = 'train'").select("operating_status").distinct().count()
+    scorer = score.recurrent_scorer(fixed_weights(len(SEQUENCE_COLUMNS) + statuses))
+    at = (12, "Afternoon")
+    then = {r.machine_id: r for r in jobs.decide_all(table, scorer, at=at).collect() if r.pm_status == "ok"}
+    place = F.col("sim_day") * 10 + F.when(F.col("shift") == "Morning", 0).when(F.col("shift") == "Afternoon", 1).otherwise(2)
+    known = table.filter((F.col("split") == "train") | (place <= 121))
+    earlier = {r.machine_id: r for r in jobs.decide_all(known, scorer, at=at).collect() if r.pm_status == "ok"}
+    assert then and {k: (r.failure_probability, r.xai.top_features) for k, r in then.items()} == {k: (r.failure_probability, r.xai.top_features) for k, r in earlier.items()}
+    now = {r.machine_id: r for r in jobs.decide_all(table, scorer).collect() if r.pm_status == "ok"}
+    assert any(then[k].failure_probability != now[k].failure_probability for k in then)
+    records = jobs.simulate_at(table, table.select("machine_id").distinct().selectExpr("machine_id", "12 as sim_day", "'Afternoon' as shift"), score.linear_scorer([0.1] * 5, -1.0), SEQUENCE_COLUMNS[:5])
+    one = records.first()
+    assert [s.scenario for s in one.scenarios] == ["continue_operating", "stop_for_maintenance", "reduce_load"]
+    assert one.horizon_hours == one.horizon_shifts * 8 and one.recommended_scenario == max(one.scenarios, key=lambda s: (s.estimated_net_value_usd, -s.scenario_order)).scenario
+    assert one.scenarios[1].description.startswith("Stop now for preventive maintenance (4.5h, ")
+    assert one.scenarios[2].description == "Reduce production rate/load by 20% for the full horizon."
