@@ -215,18 +215,15 @@ def running_totals(
     return joined.drop("_bin", *[f"_{a}_in" for a in amounts], *[f"_{a}_before" for a in amounts])
 
 
+SKETCH = 1_000  # a quantile sketch is off by at most one in so many ranks
+
+
 def exact_quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    columns: Sequence[str],
-    shares: Sequence[float],
-    hot: bool | None = None,
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], shares: Sequence[float], hot: bool | None = None
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per group, one `array<double>` per column.
 
-    Ordinary groups use `percentile`. For a large group the values are counted
-    by distinct value across the cluster and the wanted ranks are read off
-    two-level running totals.
+    Groups that fit a task use `percentile`, which holds their distinct values; a larger one is selected by bracket.
     """
     groups, columns = list(groups), list(columns)
     if hot is None:
@@ -234,36 +231,78 @@ def exact_quantiles(
     if not hot:
         wanted = F.array(*[F.lit(float(s)) for s in shares])
         return df.groupBy(*groups).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
+    return bracket_quantiles(df, groups, columns, shares)
 
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])
-    keys = [f"_k{i}" for i in range(len(groups))]
-    counted = (
-        df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.explode(pairs).alias("_p"))
-        .select(*keys, F.col("_p.c").alias("_c"), F.col("_p.v").alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*keys, "_c", "_v")
-        .agg(F.count(F.lit(1)).alias("_m"))
+
+def bracket_quantiles(df: DataFrame, groups: Sequence[str], columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """The same by selection, whatever the size of a group.
+
+    A sketch of fixed size, merged over tasks, gives two values between which each wanted rank must lie. Then only
+    values inside the bracket are kept, with their counts; all below it are one count. No task holds more of a group
+    than a few thousandths of its distinct values.
+    """
+    groups, columns = list(groups), list(columns)
+    keys = [f"_k{i}" for i in range(max(1, len(groups)))]  # without groups, all rows are one
+    named = [F.col(f"`{g}`").alias(k) for g, k in zip(groups, keys)] or [F.lit(0).alias("_k0")]
+    base = df.select(*named, *[F.col(f"`{c}`").cast("double").alias(f"_c{j}") for j, c in enumerate(columns)])
+
+    reach = 4.0 / SKETCH
+    around = [share for s in shares for share in (max(0.0, s - reach), min(1.0, s + reach))]
+
+    def sketch(j: int) -> Column:
+        value = f"_c{j}"
+        cuts = F.percentile_approx(value, [float(x) for x in around], SKETCH)
+        return F.struct(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), cuts.alias("cuts")).alias(f"_s{j}")
+
+    def brackets(j: int) -> Column:
+        of = F.col(f"_s{j}")
+        sides = []
+        for i, s in enumerate(shares):
+            whole = of["n"] <= SKETCH  # few values: all of them
+            low = F.when(whole | F.lit(s <= reach), of["low"]).otherwise(F.get(of["cuts"], 2 * i))
+            high = F.when(whole | F.lit(s >= 1.0 - reach), of["high"]).otherwise(F.get(of["cuts"], 2 * i + 1))
+            sides.append(F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high"), of["n"].alias("n")))
+        return F.array(*sides)
+
+    sketches = durable(base.groupBy(*keys).agg(*[sketch(j) for j in range(len(columns))]))
+    limits = sketches.select(*keys, *[brackets(j).alias(f"_b{j}") for j in range(len(columns))])
+    met = join_groups(base, checked_broadcast(limits), keys)
+    tall = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"_c{j}").alias("v"), F.col(f"_b{j}").alias("b")) for j in range(len(columns))])
+    values = met.select(*keys, F.explode(tall).alias("_t")).filter(F.col("_t.v").isNotNull())
+    value = F.col("_t.v")
+    # for each bracket: the value inside it, NULL for one below it
+    sides = [F.col("_t.b")[i] for i in range(len(shares))]
+    seen = [F.when(value <= b["high"], F.struct(b["i"].alias("i"), b["n"].alias("n"), F.when(value >= b["low"], value).alias("v"))) for b in sides]
+    counted = durable(
+        values.select(*keys, F.col("_t.j").alias("_j"), F.explode(F.array(*seen)).alias("_e"))
+        .filter(F.col("_e").isNotNull())
+        .groupBy(*keys, "_j", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_m"), F.max("_e.n").alias("_n"))
     )
-    ranked = running_totals(counted, [*keys, "_c"], "_v", ["_m"])
+    ranked = running_totals(counted, [*keys, "_j", "_i"], "_v", ["_m"])
+    place = F.get(F.lit([float(s) for s in shares]), F.col("_i")) * (F.col("_n") - 1)
     first, last = F.col("_m_upto") - F.col("_m"), F.col("_m_upto")
-    picks = []
-    for s in shares:
-        place = F.lit(float(s)) * (F.col("_m_all") - 1)
-        low, high = F.floor(place), F.ceil(place)
-        at_low = F.max(F.when((first <= low) & (low < last), F.col("_v")))
-        at_high = F.max(F.when((first <= high) & (high < last), F.col("_v")))
-        # the formula of `percentile`
-        above, below = F.max(high - place), F.max(place - low)
-        picks.append(F.when(F.max(low) == F.max(high), at_low).otherwise(above * at_low + below * at_high))
-    per_column = ranked.groupBy(*keys, "_c").agg(F.array(*picks).alias("_q"))
-    wide = per_column.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_c") == c, F.col("_q"))).alias(c) for c in columns]
+    at = lambda rank: F.max(F.when((first <= rank) & (rank < last), F.col("_v")))
+    low, high = F.floor(place), F.ceil(place)
+    found = ranked.groupBy(*keys, "_j", "_i").agg(
+        at(low).alias("_low"), at(high).alias("_high"), F.max(high - place).alias("_above"), F.max(place - low).alias("_below")
     )
-    if not keys:
-        return wide.select(*columns)
-    # a group without any value is a row of NULLs, as it is in the plain form
-    every = df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)]).distinct()
-    return join_groups(every, wide, keys, "left").select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], *columns)
+    # the formula of `percentile`
+    between = F.col("_above") * F.col("_low") + F.col("_below") * F.col("_high")
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    pick = F.when(F.col("_low").isNull() | F.col("_high").isNull(), lost).when((F.col("_above") == 0) & (F.col("_below") == 0), F.col("_low"))
+    picked = found.withColumn("_q", pick.otherwise(between))
+
+    def of_column(j: int) -> Column:
+        each = [F.max(F.when((F.col("_j") == j) & (F.col("_i") == i), F.col("_q"))) for i in range(len(shares))]
+        return F.when(F.max(F.when(F.col("_j") == j, True)), F.array(*each)).alias(columns[j])
+
+    wide = picked.groupBy(*keys).agg(*[of_column(j) for j in range(len(columns))])
+    # a group without any value is a row of NULLs, and so is a table without rows
+    if not groups:
+        return wide.agg(*[F.first(f"`{c}`").alias(c) for c in columns])
+    every = join_groups(sketches.select(*keys), wide, keys, "left")
+    return every.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], *[f"`{c}`" for c in columns])
 
 
 def numbered(df: DataFrame, groups: Sequence[str], bucket: Column, order: Sequence[Column], name: str = "number") -> DataFrame:

@@ -214,3 +214,27 @@ def test_only_local_sessions_get_a_folder_of_their_own():
 
     assert session.is_local("local") and session.is_local("local[8]")
     assert not session.is_local("local-cluster[2,1,1024]") and not session.is_local("spark://host:7077")
+
+
+@pytest.mark.parametrize("sketch", [4, 20, 1_000])
+def test_quantiles_by_bracket(spark, monkeypatch, sketch):
+    """Heavy ties, groups far above and below the size of the sketch, empty and NULL groups, ends of the range."""
+    monkeypatch.setattr(skew, "SKETCH", sketch)
+    rng = np.random.default_rng(sketch)
+    frames = {
+        "ties": rng.choice([1.0, 1.0, 1.0, 2.0, 7.0], 3_000), "all one": np.full(700, 5.0), "spread": rng.normal(size=2_500),
+        "steep": np.round(rng.exponential(3, 1_500) ** 4, 1), "few": np.array([3.0, 1.0, 2.0]), "single": np.array([9.0]), "none": np.array([np.nan]),
+    }
+    rows = [(g if g != "steep" else None, None if x != x else float(x), float(i % 7)) for g, xs in frames.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    got = {r.g: r for r in skew.bracket_quantiles(df, ["g"], ["x", "y"], shares).collect()}
+    assert len(got) == len(frames)
+    for g, xs in frames.items():
+        found = got[g if g != "steep" else None]
+        assert found.x == (None if g == "none" else pytest.approx(list(np.quantile(xs, shares))))
+        assert found.y == pytest.approx(list(np.quantile(np.arange(len(xs)) % 7, shares)))
+    whole = skew.bracket_quantiles(df, [], ["x", "y"], shares).first()
+    assert whole.x == pytest.approx(list(np.quantile([r[1] for r in rows if r[1] is not None], shares)))
+    assert [r.x for r in skew.bracket_quantiles(df.limit(0), [], ["x"], [0.5]).collect()] == [None]
+    assert skew.bracket_quantiles(df.limit(0), ["g"], ["x"], [0.5]).collect() == []
