@@ -14,19 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from plantflow import wording
 from plantflow.config import MIN_SCORE, TOP_K
 from plantflow.functions import columns as fn
-from plantflow.operators import skew, text as tx
+from plantflow.operators import pivots as pv, skew, text as tx
 from plantflow.operators.postings import DIGITS, Postings
 from plantflow.session import broadcast_rows, durable, new_folder
 from plantflow.sources.buckets import MAX_BUCKETS, bucket_keys, open_bucketed, write_bucketed
 from plantflow.sources.sinks import path_exists
 
-
-
 SHARD_ROWS = 4_096  # chunks of a shard, about
 QUERY_BLOCK = 1_000  # questions handed to a task at once
 EVEN_SHARDS = 256
 FEW_TERMS = 256  # so many terms are pushed into the scan of the lists
 FEW_SHARDS = 1_000  # so many shards into the scan of the chunks
+PIVOTS = 64  # groups a block of vectors is parted into
+PIVOT_SAMPLE = 2_048  # vectors they are chosen from
+VECTOR_ROWS = 8_192  # vectors grouped and scored at once
 NAMES = -1  # the row of a shard that holds the ids of its chunks
 _LISTS = "shard int, number int, places array<int>, weights array<double>, most double, names array<string>"
 
@@ -256,35 +257,77 @@ def retrieve(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: fl
     return met.select("query_id", "rank", "document", "page", "section", "evidence", "score")
 
 
-def dense_search(queries: DataFrame, vectors: DataFrame, top_k: int = TOP_K, limit: int = 1000) -> DataFrame:
-    """Cosine top-k of dense vectors: `queries(query_id, vector)`, `vectors(item_id, vector)`.
+def dense_search(
+    queries: DataFrame, vectors: DataFrame, top_k: int = TOP_K, limit: int = QUERY_BLOCK, pivots: int = PIVOTS
+) -> DataFrame:
+    """Exact cosine top-k of dense vectors: `queries(query_id, vector)`, `vectors(item_id, vector)`.
 
-    Queries are taken in blocks of about `limit`, spread by a hash of their id. A
-    block is handed to every task as one array; each vector is scored where it
-    lies and only ranks up to `top_k` move.
+    Returns `(query_id, item_id, score, rank)`, scores to 9 digits; equal ones go by item. Vectors are searched where they
+    lie: each block of rows is grouped around pivots, groups that cannot hold one of a query's best are left out (see
+    `pivots`), and only ranks up to `top_k` move. Pivots come from a bounded sample and change no result. Queries are
+    taken in blocks of about `limit`; the rows of each of several blocks are written before the next is taken. A
+    vector of zeros scores 0. Vectors that are NULL, hold NULL or non-finite components, or are of another length than
+    the query take no part.
     """
-    queries = durable(queries.select("query_id", "vector"))
-    blocks = max(1, -(-queries.count() // limit))
-    if blocks == 1:
-        return _dense_block(queries, vectors, top_k)
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    found = [_dense_block(queries.filter(block == i), vectors, top_k) for i in range(blocks)]
-    return reduce(DataFrame.unionByName, found)
+    spark = queries.sparkSession
+    queries = durable(_numbers(queries, "query_id"))
+    items = _numbers(vectors, "item_id")
+    lengths = [r["n"] for r in queries.select(F.size("vector").alias("n")).distinct().orderBy("n").collect()]
+    total = items.count()
+    share = min(1.0, PIVOT_SAMPLE / max(total, 1))
+    drawn = items.sample(share, seed=11).limit(2 * PIVOT_SAMPLE).select("vector").toArrow()["vector"].to_pylist()
+    parts = []
+    for n in lengths:  # one, unless models are mixed
+        centres = pv.spread_out(pv.unit_rows(np.array([v for v in drawn if len(v) == n]).reshape(-1, n)), pivots)
+        asked = queries.filter(F.size("vector") == n)
+        blocks = max(1, -(-asked.count() // limit))
+        block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+        parts += [(asked.filter(block == i), n, centres) for i in range(blocks)]
+    kinds = T.StructType([queries.schema["query_id"], items.schema["item_id"], T.StructField("score", T.DoubleType())])
+    if not parts:
+        return spark.createDataFrame([], kinds).withColumn("rank", F.lit(1))
+    path = new_folder(spark, "dense") if len(parts) > 1 else None
+    for asked, n, centres in parts:
+        found = _dense_block(asked, items.filter(F.size("vector") == n), centres, top_k, n)
+        if path is None:
+            return found
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
-def _dense_block(queries: DataFrame, vectors: DataFrame, top_k: int) -> DataFrame:
-    asked = queries.agg(
-        F.collect_list(F.struct("query_id", "vector", fn.l2_norm(F.col("vector")).alias("norm"))).alias("q")
-    )
-    scored = vectors.withColumn("_q", asked.scalar()).select(
-        "item_id", "vector", fn.l2_norm(F.col("vector")).alias("norm"), F.explode("_q").alias("_q")
-    )
-    scores = scored.select(
-        F.col("_q.query_id").alias("query_id"),
-        "item_id",
-        (fn.dot(F.col("vector"), F.col("_q.vector")) / (F.col("norm") * F.col("_q.norm"))).alias("score"),
-    )
-    return _top(scores, "item_id", top_k)
+def _numbers(vectors: DataFrame, key: str) -> DataFrame:
+    """The vectors that have a direction or are all zeros, as doubles."""
+    numbers = F.col("vector").cast("array<double>")
+    sound = F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.select(key, numbers.alias("vector")).filter(F.coalesce(sound, F.lit(False)) & (F.size("vector") > 0))
+
+
+def _dense_block(queries: DataFrame, items: DataFrame, centres: np.ndarray, top_k: int, n: int) -> DataFrame:
+    spark = queries.sparkSession
+    own = queries.toArrow()  # a block, about `limit` queries
+    vectors = pv.unit_rows(np.array(own["vector"].to_pylist(), np.float64).reshape(-1, n))
+    sent = spark.sparkContext.broadcast((vectors, centres))
+
+    def search(batches):
+        nearest = pv.Nearest(*sent.value, top_k)
+        for batch in batches:
+            for low in range(0, batch.num_rows, VECTOR_ROWS):
+                part = batch.slice(low, VECTOR_ROWS)
+                rows = np.asarray(part["vector"].flatten()).reshape(-1, n)
+                rank = np.empty(len(rows), np.int64)
+                rank[np.asarray(pc.array_sort_indices(part["item_id"], null_placement="at_start"))] = np.arange(len(rows))
+                query, row, score = nearest.best(pv.unit_rows(rows), rank)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(query.astype(np.int32)), part["item_id"].take(pa.array(row)), pa.array(score)], ["query", "item_id", "score"]
+                )
+
+    schema = T.StructType([T.StructField("query", T.IntegerType()), items.schema["item_id"], T.StructField("score", T.DoubleType())])
+    found = items.mapInArrow(search, schema)
+    names = T.StructType([T.StructField("query", T.IntegerType()), queries.schema["query_id"]])
+    ids = spark.createDataFrame(list(enumerate(own["query_id"].to_pylist())), names)
+    every = W.partitionBy("query").orderBy(F.col("score").desc(), "item_id")  # by place, since ids may repeat
+    best = found.withColumn("rank", F.row_number().over(every)).filter(F.col("rank") <= top_k)
+    return best.join(F.broadcast(ids), "query").select("query_id", "item_id", "score", "rank")
 
 
 # --- answers --------------------------------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantflow import wording
-from plantflow.operators import postings, retrieve, text as tx
+from plantflow.operators import pivots, postings, retrieve, text as tx
 from plantflow.sources import readers
 
 
@@ -125,6 +125,52 @@ def test_dense_search(spark):
     assert blocks == whole and len(whole) == 6
 
 
+def test_dense_search_leaves_odd_vectors_out(spark):
+    kinds = "item_id string, vector array<float>, score string"
+    odd = [("a", None, "x"), ("b", [1.0, None], "x"), ("c", [float("nan"), 1.0], "x"), ("d", [float("inf"), 1.0], "x"), ("e", [], "x"), ("f", [1.0, 0.0, 0.0], "x")]
+    sound = [("z", [0.0, 0.0], "x"), ("h", [1.0, 0.0], "x"), ("g", [2.0, 0.0], "x"), ("g", [3.0, 0.0], "x")]
+    items = spark.createDataFrame(odd + sound, kinds)
+    asked = spark.createDataFrame([(1, [5.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, 0.0, 0.0])], "query_id int, vector array<double>")
+    found = sorted(map(tuple, retrieve.dense_search(asked, items, 9).select("query_id", "rank", "item_id", "score").collect()))
+    assert found[:4] == [(1, 1, "g", 1.0), (1, 2, "g", 1.0), (1, 3, "h", 1.0), (1, 4, "z", 0.0)]
+    assert [r[2] for r in found[4:8]] == ["g", "g", "h", "z"] and found[8:] == [(4, 1, "f", 1.0)]
+    assert retrieve.dense_search(asked, items.limit(0), 3).count() == 0
+    assert retrieve.dense_search(asked.limit(0), items, 3).count() == 0
+
+
+def test_dense_search_has_no_exploded_pairs(spark):
+    items = spark.range(50).select(F.col("id").alias("item_id"), F.array(F.sin("id"), F.cos("id")).alias("vector"))
+    found = retrieve.dense_search(items.limit(5).withColumnRenamed("item_id", "query_id"), items, 2)
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_groups_are_left_out_and_nothing_is_missed():
+    rng = np.random.default_rng(3)
+    for trial in range(20):
+        size = int(rng.integers(2, 9))
+        centres = rng.normal(size=(12, size))
+        rows = centres[rng.integers(0, 12, 600)] + rng.normal(0, 0.05, (600, size))
+        rows[rng.integers(0, 600, 100)] = rows[0]  # many equal scores
+        rows[:3] = 0
+        rows = pivots.unit_rows(rows)
+        asked = pivots.unit_rows(np.vstack([centres[:5], rng.normal(size=(3, size)), np.zeros((1, size))]))
+        count, k = (0, 1, 12, 64)[trial % 4], int(rng.integers(1, 8))
+        nearest = pivots.Nearest(asked, pivots.spread_out(rows, count), k)
+        found = [[] for _ in asked]
+        for low in range(0, 600, 250):
+            rank = np.arange(len(rows[low : low + 250]))
+            for q, r, s in zip(*nearest.best(rows[low : low + 250], rank)):
+                found[q].append((-s, int(r) + low))
+        for q, vector in enumerate(asked):
+            plain = sorted((-round(float(s), 9), i) for i, s in enumerate(rows @ vector))
+            mine = sorted(found[q])[:k]
+            assert [i for _, i in mine] == [i for _, i in plain[:k]]
+        if count >= 12 and size > 3:
+            assert nearest.scored < 0.6 * nearest.pairs
+    assert len(pivots.spread_out(np.ones((5, 2)) / np.sqrt(2), 4)) == 1
+
+
 def test_machine_context(spark):
     df = spark.createDataFrame(
         [("M-1", "defect", 0.5, "Quality", 0.123), ("M-2", None, None, None, None)],
