@@ -7,8 +7,9 @@ byte of every text is read. Gates are piecewise linear (clipped), which keeps a
 operations. The reset gate acts on the recurrent part of the candidate.
 
 The network is trained in NumPy by backpropagation through time and Adam, on strings drawn from at most about
-`SAMPLE` documents of up to `LONGEST` bytes (rows that may be learned from, with a language; drawn by a hash
-of doc_id), equally many strings for each language.
+`SAMPLE` documents of up to `LONGEST` bytes (rows that may be learned from, with a language). Languages are counted
+over all rows first, and about equally many documents of each are drawn by a hash of doc_id, so that a rare language
+is learned however large the table; equally many strings for each language.
 
 Edge cases: a null text, or one without any letter (a character of a Unicode letter category), is `und` with
 score 0; so is every text if nothing can be learned; a row without doc_id is scored, never learned from;
@@ -30,6 +31,7 @@ from plantflow.llm import learn
 WIDTH = 8
 SPAN = 64
 SAMPLE = 3_000
+LEAST = 32  # documents of a language drawn at least, if it has as many
 LONGEST = 1 << 16
 STRINGS = 24_000
 BATCH = 256
@@ -193,21 +195,37 @@ def fit(strings: np.ndarray, labels: np.ndarray, languages: list[str], epochs: i
     return net
 
 
+def sample_shares(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """How much of each language to draw, in parts of 2 ** 30: equally many documents of each.
+
+    What a small language does not need goes to the larger ones, so a language of few documents is drawn whole.
+    """
+    shares, left = {}, sample
+    for i, (language, count) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        wanted = max(left // (len(counts) - i), LEAST)
+        shares[language] = (1 << 30) if count <= wanted else int((1 << 30) * wanted / count)
+        left -= min(count, wanted)
+    return shares
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Network:
-    """Learn from strings of at most about `sample` documents."""
+    """Learn from strings of about `sample` documents, or `LEAST` of each language if that is more."""
     known = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~learn.held_out(F.col("doc_id")))
         .where(F.octet_length("text").between(1, LONGEST))
     )
-    rows = learn.drawn(known.select("doc_id"), sample).distinct()
+    counted = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()  # a row a language
+    shares = sample_shares({r["lang"]: r["n"] for r in counted}, sample)
+    if not shares:
+        return Network([], *[np.zeros(0)] * 4)
+    share = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair]), F.col("lang"))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30))
     chosen = (
-        known.join(F.broadcast(rows), "doc_id")  # bounded by `sample`
+        known.where(place < share)
         .groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("own")).orderBy("doc_id").select("own.*").collect()
     )
     languages = sorted({r["lang"] for r in chosen})
-    if not languages:
-        return Network([], *[np.zeros(0)] * 4)
     rng = np.random.default_rng(11)
     strings, labels = [], []
     for k, language in enumerate(languages):

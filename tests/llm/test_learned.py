@@ -119,6 +119,60 @@ def test_language_on_held_out_documents(tables):
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
 
 
+def test_a_rare_language_is_learned(spark):
+    common = ["the quiet river runs by the old stone mill and on to the sea", "le petit chat dort sur la chaise pendant que la pluie tombe"]
+    rare = "жил был старик со своею старухой у самого синего моря"
+    rows = spark.range(6_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") == 7, rare).when(F.col("id") % 2 == 0, common[0]).otherwise(common[1]).alias("text"),
+        F.when(F.col("id") == 7, "ru").when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("lang"),
+    )
+    assert not rows.where("doc_id = 7").select(learn.held_out(F.col("doc_id"))).first()[0]
+    network = language.train(rows, 60)
+    assert network.languages == ["en", "fr", "ru"]
+    assert network.name(pa.array([common[0], common[1], rare]))[0] == ["en", "fr", "ru"]
+
+
+def test_shares_of_languages():
+    shares = language.sample_shares({"a": 10, "b": 100_000, "c": 1_000_000}, 2_010)
+    assert shares["a"] == 1 << 30
+    assert [round(n * shares[k] / (1 << 30)) for k, n in (("b", 100_000), ("c", 1_000_000))] == [1_000, 1_000]
+    many = {f"l{i}": 10_000 for i in range(500)}
+    assert min(10_000 * x / (1 << 30) for x in language.sample_shares(many, 100).values()) > language.LEAST - 1
+    assert language.sample_shares({}, 100) == {}
+
+
+def test_pooled_probabilities_by_a_plain_loop():
+    """Every byte, gate and place one after the other, against strings side by side."""
+    texts = ["a quiet mill", "zwölf Mühlen am Bach, " * 9, "", "x" * language.SPAN]
+    strings = np.array([np.frombuffer(t.encode()[: language.SPAN].ljust(language.SPAN, b"\0"), np.uint8) for t in texts])
+    net = language.fit(np.repeat(strings[:2], 40, 0), np.repeat([0, 1], 40), ["en", "de"], epochs=2)
+    w, clip = language.WIDTH, lambda x, low: min(1.0, max(low, x))
+
+    def direction(text, side):
+        h, out = [0.0] * w, []
+        for byte in text:
+            x, r = net.embed[side][byte], [sum(float(u) * v for u, v in zip(row, h)) for row in net.recurrent[side]]
+            z = [clip(x[i] + r[i], 0.0) for i in range(w)]
+            reset = [clip(x[w + i] + r[w + i], 0.0) for i in range(w)]
+            c = [clip(x[2 * w + i] + reset[i] * (r[2 * w + i] + net.bias[side][i, 0]), -1.0) for i in range(w)]
+            h = [a + k * (b - a) for a, k, b in zip(h, z, c)]
+            out.append(h)
+        return out
+
+    found = net.pooled(pa.array(texts))
+    for text, row in zip(texts, found):
+        data, total = text.encode(), np.zeros(2)
+        for low in range(0, len(data), language.SPAN):
+            part = data[low : low + language.SPAN]
+            padded = part.ljust(language.SPAN, b"\0")
+            left, right = direction(padded, 0), direction(padded[::-1], 1)[::-1]
+            for i in range(len(part)):
+                e = np.exp(net.out @ np.array([*left[i], *right[i], 1.0]))
+                total += e / e.sum()
+        assert row == pytest.approx(total / max(len(data), 1), abs=1e-4)
+
+
 def test_gradient_of_the_network():
     rng = np.random.default_rng(4)
     names = ("embed", "recurrent", "bias", "out")
