@@ -6,6 +6,10 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml import Transformer
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantflow.operators import profile
@@ -109,3 +113,28 @@ def apply_contract(df: DataFrame, contract: Contract, keep: Sequence[str] = ())
             value = (value - contract.means[c]) / contract.stds[c]
         values.append(value.alias(c))
     return encoded.select(*[F.col(f"_keep_{c}").alias(c) for c in keep], *values)
+
+
+class ContractEncoder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """`apply_contract` as a pipeline stage: the encoded row becomes the vector `features`, all columns stay.
+
+    It is saved and loaded with the pipeline that it is a stage of, so a model cannot be read without its encoding.
+    A column already named `features` is replaced.
+    """
+
+    contract = Param(Params._dummy(), "contract", "the contract as JSON text", TypeConverters.toString)
+
+    def __init__(self, contract: Contract | None = None):
+        super().__init__()
+        if contract is not None:
+            self._set(contract=json.dumps(asdict(contract)))
+
+    def fitted(self) -> Contract:
+        return Contract(**json.loads(self.getOrDefault(self.contract)))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        contract = self.fitted()
+        own = F.struct(*[F.col(f"`{c}`") for c in dataset.columns if c != "features"]).alias("_row")
+        encoded = apply_contract(dataset.withColumn("_row", own), contract, keep=["_row"])
+        values = F.array(*[F.col(f"`{c}`") for c in contract.features]).cast("array<double>")
+        return encoded.select("_row.*", array_to_vector(values).alias("features"))

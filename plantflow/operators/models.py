@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantflow.config import TARGET
 from plantflow.functions.columns import clean_text
 from plantflow.operators import encode, evaluate, text as tx
-from plantflow.session import durable
+from plantflow.session import durable, new_folder
 
 MODELS = ["logistic_regression", "random_forest", "gradient_boosting"]
 
@@ -41,7 +42,18 @@ def fit(vectors: DataFrame, name: str, **settings):
     """Fit one classifier on the training rows, with the weights that suit it."""
     train = vectors.filter(F.col("split") == "train")
     weighted = evaluate.positive_weight(train) if name == "gradient_boosting" else evaluate.with_balanced_weight(train)
-    return estimator(name, train.count(), **settings).fit(weighted)
+    return _stored_model(estimator(name, train.count(), **settings).fit(weighted))
+
+
+def _stored_model(model):
+    """The model read back from the shared folder, without its training summary.
+
+    Scoring tasks would carry the summary and with it the session, which Spark 4.1 cannot send once it has counted
+    anything while writing (`quality.clean_and_record`).
+    """
+    path = new_folder(SparkSession.active(), "model")
+    model.write().save(path)
+    return type(model).load(path)
 
 
 def score(model, vectors: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
@@ -80,6 +92,23 @@ def train_and_score(
     return fitted, scored, contract
 
 
+def fitted_pipeline(model, contract: encode.Contract) -> PipelineModel:
+    """Encoding, model and threshold as one thing; saved and loaded by its own `write()` and `PipelineModel.load`."""
+    return PipelineModel([encode.ContractEncoder(contract), model])
+
+
+def predict(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Rows as they are plus `prob` and `predicted`, by the threshold that the pipeline was saved with."""
+    contract = pipeline.stages[0].fitted()
+    wanted = [c for c in rows.columns if c not in ("prob", "predicted")]
+    # the model's own columns must not meet columns of the caller
+    packed = rows.withColumn("_kept", F.struct(*[F.col(f"`{c}`") for c in wanted]))
+    needed = [c for c in dict.fromkeys([*contract.features, *contract.categories, *contract.medians]) if c in rows.columns]
+    scored = pipeline.transform(packed.select("_kept", *needed))
+    chance = F.element_at(vector_to_array("probability"), 2).alias("prob")
+    return scored.select("_kept.*", chance).withColumn("predicted", (F.col("prob") >= contract.threshold).cast("int"))
+
+
 def classify_text(
     docs: DataFrame,
     id_column: str,
@@ -111,7 +140,7 @@ def classify_text(
     classifier = LogisticRegression(
         family="multinomial", maxIter=2000, regParam=1.0 / max(training.count(), 1), standardization=False, weightCol="weight"
     )
-    model = classifier.fit(evaluate.with_balanced_weight(training))
+    model = _stored_model(classifier.fit(evaluate.with_balanced_weight(training)))
     chances = vector_to_array("probability")
     return model.transform(vectors).select(
         id_column,

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
 
 from plantflow.config import CHANNELS, GAP_READINGS, OUTLIER_CHANNELS, PHYSICAL_BOUNDS
 from plantflow.functions import columns as fn
 from plantflow.operators import skew
+from plantflow.session import group_rows
 
 Bounds = Mapping[str, tuple[float, float]]
 
@@ -224,8 +225,10 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] = OUTLIER_CHANNELS, hot:
 
 # --- ledgers --------------------------------------------------------------
 
+Entry = tuple[str, str | None, Column]  # rule, column, aggregate
 
-def _entries(df: DataFrame, table: str, entries: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
+
+def _entries(df: DataFrame, table: str, entries: Sequence[Entry]) -> DataFrame:
     """Aggregate many counters in one pass and list them as rows."""
     counts = df.agg(*[F.coalesce(value, F.lit(0)).cast("bigint").alias(f"n{i}") for i, (_, _, value) in enumerate(entries)])
     rows = [
@@ -240,63 +243,96 @@ def _entries(df: DataFrame, table: str, entries: Sequence[tuple[str, str | None,
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _row_counts(flagged_copies: str = "_copies") -> list[tuple[str, str | None, Column]]:
+def _row_counts(flagged_copies: str = "_copies") -> list[Entry]:
     return [
         ("rows_dropped_exact_duplicate", None, F.sum(F.col(flagged_copies) - 1)),
         ("rows_after", None, F.count(F.lit(1))),
     ]
 
 
-def sensor_ledger(raw: DataFrame, flagged: DataFrame, outliers: Sequence[str] = OUTLIER_CHANNELS) -> DataFrame:
-    """Long `(table, rule, column, n)` record of what sensor cleaning did."""
+def _before(table: str) -> list[Entry]:
+    """Counters over the raw rows of a table."""
+    rows = [("rows_before", None, F.count(F.lit(1)))]
+    if table == "sensor":
+        rows.append(("rows_dropped_malformed_timestamp", None, F.count_if(fn.lenient_timestamp("timestamp").isNull())))
+    return rows
+
+
+def _after(table: str, flagged: DataFrame) -> list[Entry]:
+    """Counters over the flagged rows of a table."""
+    if table == "production":
+        return _row_counts() + [
+            ("invalid_production_count_fixed", "production_count", F.count_if("_fixed_count")),
+            ("quality_score_imputed", "quality_score", F.count_if("_no_quality")),
+        ]
+    if table == "maintenance":
+        return _row_counts() + [("urgency_marked_unknown", "urgency", F.count_if("_no_urgency"))]
     channels = [c.removeprefix("_glitch_") for c in flagged.columns if c.startswith("_glitch_")]
-    outliers = [c for c in outliers if c in channels]
     idle = ~F.coalesce(F.col("operating_status") == "RUNNING", F.lit(False))
-    before = _entries(
-        raw,
-        "sensor",
-        [
-            ("rows_before", None, F.count(F.lit(1))),
-            ("rows_dropped_malformed_timestamp", None, F.count_if(fn.lenient_timestamp("timestamp").isNull())),
-        ],
-    )
     preserved = sum((F.count_if(idle & F.col(c).isNull()) for c in channels[1:]), F.count_if(idle & F.col(channels[0]).isNull()))
-    after = _entries(
-        flagged,
-        "sensor",
+    return (
         _row_counts()
         + [("physically_invalid_values_nulled", c, F.count_if(f"_glitch_{c}")) for c in channels]
         + [("running_state_values_imputed", c, F.count_if(F.col(f"_gap_{c}") & F.col(c).isNotNull())) for c in channels]
-        + [("down_state_missing_preserved", None, preserved)],
+        + [("down_state_missing_preserved", None, preserved)]
     )
-    spread = iqr_outliers(cleaned(flagged), outliers).select(
+
+
+def _outlier_entries(clean: DataFrame, outliers: Sequence[str], hot: bool | None = None) -> DataFrame:
+    return iqr_outliers(clean, [c for c in outliers if c in clean.columns], hot).select(
         F.lit("sensor").alias("table"),
         F.lit("iqr_outliers_detected_and_kept").alias("rule"),
         "column",
         F.col("outliers").alias("n"),
     )
-    return before.unionByName(after).unionByName(spread)
+
+
+def sensor_ledger(raw: DataFrame, flagged: DataFrame, outliers: Sequence[str] = OUTLIER_CHANNELS) -> DataFrame:
+    """Long `(table, rule, column, n)` record of what sensor cleaning did."""
+    counted = _entries(raw, "sensor", _before("sensor")).unionByName(_entries(flagged, "sensor", _after("sensor", flagged)))
+    return counted.unionByName(_outlier_entries(cleaned(flagged), [c for c in outliers if f"_glitch_{c}" in flagged.columns]))
 
 
 def production_ledger(raw: DataFrame, flagged: DataFrame) -> DataFrame:
-    before = _entries(raw, "production", [("rows_before", None, F.count(F.lit(1)))])
-    after = _entries(
-        flagged,
-        "production",
-        _row_counts()
-        + [
-            ("invalid_production_count_fixed", "production_count", F.count_if("_fixed_count")),
-            ("quality_score_imputed", "quality_score", F.count_if("_no_quality")),
-        ],
-    )
-    return before.unionByName(after)
+    return _entries(raw, "production", _before("production")).unionByName(_entries(flagged, "production", _after("production", flagged)))
 
 
 def maintenance_ledger(raw: DataFrame, flagged: DataFrame) -> DataFrame:
-    before = _entries(raw, "maintenance", [("rows_before", None, F.count(F.lit(1)))])
-    after = _entries(
-        flagged,
-        "maintenance",
-        _row_counts() + [("urgency_marked_unknown", "urgency", F.count_if("_no_urgency"))],
-    )
-    return before.unionByName(after)
+    return _entries(raw, "maintenance", _before("maintenance")).unionByName(_entries(flagged, "maintenance", _after("maintenance", flagged)))
+
+
+def clean_and_record(table: str, raw: DataFrame, path: str, outliers: Sequence[str] = OUTLIER_CHANNELS) -> tuple[DataFrame, DataFrame]:
+    """Clean a raw table (`sensor`, `production` or `maintenance`) into Parquet at `path`: the written table and its ledger.
+
+    Repairs are counted by the tasks that write the rows, so flagged rows are neither kept nor read again; such counts
+    are taken once a written part, also if a task is repeated. Raw rows are counted in the job that looks for large
+    machines, before the write, since counts taken above an exchange could be taken twice when an executor is lost.
+    Outliers need the quartiles of the cleaned values; they are read from the written columns.
+
+    In Spark 4.1 a session that has counted this way cannot score with a logistic or forest model that was fitted in
+    the session and not read back, since its training summary holds the session; `models.fit` reads its models back.
+    """
+    spark = raw.sparkSession
+    before = _before(table)
+    names = [f"n{i}" for i in range(len(before))]
+    counted = [value.alias(n) for n, (_, _, value) in zip(names, before)]
+    if table == "maintenance":
+        found = raw.agg(*counted).first()
+        flagged = flag_maintenance(raw)
+    else:
+        sizes = raw.groupBy("machine_id").agg(F.count(F.lit(1)).alias("_n"), *counted)
+        found = sizes.agg(F.max("_n").alias("_most"), *[F.sum(n).alias(n) for n in names]).first()
+        hot = (found["_most"] or 0) > group_rows(spark)
+        flagged = flag_sensor(raw, hot=hot) if table == "sensor" else flag_production(raw, hot=hot)
+    entries = [(table, rule, column, int(found[n] or 0)) for n, (rule, column, _) in zip(names, before)]
+
+    after, seen = _after(table, flagged), Observation()
+    metrics = [F.coalesce(value, F.lit(0)).cast("bigint").alias(f"n{i}") for i, (_, _, value) in enumerate(after)]
+    cleaned(flagged.observe(seen, *metrics)).write.mode("overwrite").parquet(path)
+    entries += [(table, rule, column, int(seen.get[f"n{i}"] or 0)) for i, (rule, column, _) in enumerate(after)]
+
+    written = spark.read.schema(cleaned(flagged).schema).parquet(path)
+    ledger = spark.createDataFrame(entries, "table string, rule string, column string, n bigint")
+    if table == "sensor":
+        ledger = ledger.unionByName(_outlier_entries(written, [c for c in outliers if f"_glitch_{c}" in flagged.columns]))
+    return written, ledger

@@ -9,7 +9,7 @@ from plantflow.functions import columns as fn
 from plantflow.operators import quality
 from plantflow.plans import sql_tables
 from plantflow.plans.registry import query, round_sql, rounded
-from plantflow.session import durable
+from plantflow.session import durable, new_folder
 from plantflow.sources import schema, star_inputs as inputs
 
 _NUMERIC = [c for c, kind in schema.SENSOR_SCHEMA.items() if kind != "text"]
@@ -209,8 +209,8 @@ FROM sensor_clean, (SELECT q[1] - 1.5 * (q[2] - q[1]) AS lo, q[2] + 1.5 * (q[2]
 
 @query("sensor_ledger", _LEDGER_SQL, ("sensor_clean",))
 def sensor_ledger(spark, sf_dir):
-    raw = inputs.sensor_raw(spark, sf_dir)
-    return quality.sensor_ledger(raw, durable(quality.flag_sensor(raw)))
+    """Counted while the cleaned table is written."""
+    return quality.clean_and_record("sensor", inputs.sensor_raw(spark, sf_dir), new_folder(spark, "cleaned"))[1]
 
 
 @query(
@@ -224,8 +224,7 @@ UNION ALL SELECT 'production', 'quality_score_imputed', 'quality_score', count(*
     ("production_distinct",),
 )
 def production_ledger(spark, sf_dir):
-    raw = inputs.production_raw(spark, sf_dir)
-    return quality.production_ledger(raw, quality.flag_production(raw))
+    return quality.clean_and_record("production", inputs.production_raw(spark, sf_dir), new_folder(spark, "cleaned"))[1]
 
 
 @query(
@@ -238,8 +237,7 @@ UNION ALL SELECT 'maintenance', 'urgency_marked_unknown', 'urgency', count(*) FI
     ("maintenance_distinct",),
 )
 def maintenance_ledger(spark, sf_dir):
-    raw = inputs.maintenance_raw(spark, sf_dir)
-    return quality.maintenance_ledger(raw, quality.flag_maintenance(raw))
+    return quality.clean_and_record("maintenance", inputs.maintenance_raw(spark, sf_dir), new_folder(spark, "cleaned"))[1]
 
 
 @query(

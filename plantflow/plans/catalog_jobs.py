@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plantflow.config import CHANNELS, Economics, SEQUENCE_SHIFTS, TARGET
-from plantflow.operators import decide, encode, evaluate, models, profile, retrieve, score, whatif
+from plantflow.operators import decide, encode, evaluate, models, profile, retrieve, score, skew, whatif
 from plantflow.plans import catalog_decisions, catalog_text, catalog_windows as windows, jobs
 from plantflow.plans import inputs as tables
 from plantflow.plans.registry import query, rounded
@@ -151,6 +153,27 @@ def _trained(spark, sf_dir, *names, **settings):
     return rounded(evaluate.tuned_evaluation(scored))
 
 
+@query(
+    "stored_contract",
+    "SELECT split, count(*) AS rows, CAST(0 AS BIGINT) AS different, CAST(0 AS BIGINT) AS decided_otherwise FROM split_features GROUP BY split",
+    ("split_features",),
+)
+def stored_contract(spark, sf_dir):
+    """Encoding, model and threshold saved as one pipeline: reloaded, it scores raw rows as the fitted model scored encoded ones."""
+    keys, threshold = ["machine_id", "date", "shift"], 0.4
+    table = durable(tables.feature_table(spark, sf_dir))
+    fitted, scored, contract = models.train_and_score(table, NUMERIC, CATEGORICAL, [*keys, "split"], ["logistic_regression"])
+    path = new_folder(spark, "pipeline")
+    models.fitted_pipeline(fitted["logistic_regression"], replace(contract, threshold=threshold)).write().save(path)
+    again = models.predict(PipelineModel.load(path), table.select(*keys, *NUMERIC, *CATEGORICAL))
+    met = skew.join_groups(scored.select(*keys, "split", F.col("prob").alias("direct")), again.select(*keys, "prob", "predicted"), keys, "inner")
+    return met.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(F.col("direct") - F.col("prob")) > 1e-12).alias("different"),
+        F.count_if((F.col("direct") >= threshold) != (F.col("predicted") == 1)).alias("decided_otherwise"),
+    )
+
+
 @query("logistic_regression")
 def logistic_regression(spark, sf_dir):
     """Balanced logistic regression: metrics of every split at the tuned threshold."""

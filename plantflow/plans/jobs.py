@@ -10,12 +10,13 @@ import json
 from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantflow import config
 from plantflow.config import CATEGORICAL_COLUMNS, ID_COLUMNS, SEQUENCE_COLUMNS, TARGET, Economics, SplitDays
 from plantflow.operators import decide, encode, evaluate, explain, features, integrate, models, profile, quality, retrieve, score, whatif
-from plantflow.session import build_session, durable, stored
+from plantflow.session import build_session, durable
 from plantflow.sources import readers, sinks
 
 
@@ -29,14 +30,9 @@ def prepare(spark: SparkSession, raw_dir: str, out_dir: str, days: SplitDays = S
         "production": readers.read_raw_production(spark, raw_dir),
         "maintenance": readers.read_raw_maintenance(spark, raw_dir),
     }
-    flag = {"sensor": quality.flag_sensor, "production": quality.flag_production, "maintenance": quality.flag_maintenance}
-    ledger = {"sensor": quality.sensor_ledger, "production": quality.production_ledger, "maintenance": quality.maintenance_ledger}
     clean, report = {}, None
     for name, table in raw.items():
-        flagged = stored(flag[name](table), f"flagged-{name}")
-        sinks.write_table(quality.cleaned(flagged), f"{out_dir}/cleaned_{name}")
-        clean[name] = spark.read.parquet(f"{out_dir}/cleaned_{name}")
-        entries = ledger[name](table, flagged)
+        clean[name], entries = quality.clean_and_record(name, table, f"{out_dir}/cleaned_{name}")
         report = entries if report is None else report.unionByName(entries)
         sinks.write_report(profile.dataset_overview(clean[name]), f"{out_dir}/reports/overview_{name}")
     sinks.write_report(report, f"{out_dir}/reports/cleaning")
@@ -67,26 +63,34 @@ def prepare(spark: SparkSession, raw_dir: str, out_dir: str, days: SplitDays = S
 def train(spark: SparkSession, out_dir: str, names: Sequence[str] = tuple(models.MODELS), **settings) -> DataFrame:
     """Fit, tune and compare the classifiers on a prepared folder; returns all metrics.
 
-    Saves each model, the encoding contract, the metrics (wide and long) and the registry entry of the best model.
+    Saves each model as one pipeline with its encoding and its threshold (read by `load_model`), the contract of the
+    best one, the metrics (wide and long) and the registry entry of the best model.
     """
     table = readers.read_splits(spark, f"{out_dir}/splits")
     numeric = [c for c in profile.numeric_columns(table) if c not in ID_COLUMNS]
     fitted, scored, contract = models.train_and_score(table, numeric, CATEGORICAL_COLUMNS, names=names, **settings)
     metrics = durable(evaluate.tuned_evaluation(scored))
+    tuned = {r["model"]: r["threshold"] for r in metrics.filter(F.col("split") == "validation").select("model", "threshold").collect()}
     for name, model in fitted.items():
-        model.write().overwrite().save(f"{out_dir}/models/{name}")
+        own = contract if tuned.get(name) is None else replace(contract, threshold=float(tuned[name]))
+        models.fitted_pipeline(model, own).write().overwrite().save(f"{out_dir}/models/{name}")
     sinks.write_report(metrics, f"{out_dir}/reports/metrics")
     sinks.write_report(evaluate.long_metrics(metrics), f"{out_dir}/reports/metrics_long")
     sinks.write_report(evaluate.compare_models(metrics), f"{out_dir}/reports/comparison")
     best = durable(evaluate.best_model(metrics, names))
-    chosen = best.join(metrics.filter(F.col("split") == "validation").select("model", "threshold"), "model").first()
-    if chosen is not None and chosen["threshold"] is not None:
-        contract = replace(contract, threshold=float(chosen["threshold"]))
+    chosen = best.first()
+    if chosen is not None and tuned.get(chosen["model"]) is not None:
+        contract = replace(contract, threshold=float(tuned[chosen["model"]]))
     contract.save(spark, f"{out_dir}/models/contract")
     sinks.register_model(best, f"{out_dir}/registry", "failure_predictor", "train", "highest validation F1")
     return metrics
 
 
+def load_model(out_dir: str, name: str) -> PipelineModel:
+    """A saved pipeline, for `models.predict`."""
+    return PipelineModel.load(f"{out_dir}/models/{name}")
+
+
 def _anchored(table: DataFrame, anchors: DataFrame, columns: Sequence[str], window: int):
     """Contract, anchored rows (gaps filled), standardised windows by anchor, and the last row of each with its raw values."""
     wanted = dict.fromkeys(["machine_id", "machine_type", "operating_status", "split", "sim_day", "shift", *columns])

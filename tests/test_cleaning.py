@@ -67,6 +67,32 @@ def test_order_of_repairs_and_ledger(spark):
     assert not [c for c in quality.cleaned(flagged).columns if c.startswith("_")]
 
 
+@pytest.mark.parametrize("limit", ["4000000", "3"])
+def test_ledger_of_the_write_equals_the_ledger_of_a_scan(spark, tmp_path, limit):
+    """Also where a machine counts as too large, for NULL machines and for an empty table."""
+    spark.conf.set("spark.plantflow.maxGroupRows", limit)
+    try:
+        rows = [reading(15 * i, 300.0 + i if i % 4 else None, "RUNNING" if i % 5 else "DOWN", machine=("M-1", "M-1", "M-2", None)[i % 4]) for i in range(40)]
+        rows += rows[:5] + [reading(45, 900.0, stamp="unknown"), reading(46, 900.0)]
+        raw = spark.createDataFrame(rows, SENSOR).repartition(3)
+        clean, found = quality.clean_and_record("sensor", raw, str(tmp_path / "clean"))
+        flagged = quality.flag_sensor(raw)
+        assert ledger(found) == ledger(quality.sensor_ledger(raw, flagged))
+        assert ledger(found)["rows_dropped_exact_duplicate", None] == 5 and ledger(found)["rows_before", None] == 47
+        assert sorted(map(str, clean.collect())) == sorted(map(str, quality.cleaned(flagged).collect()))
+        _, nothing = quality.clean_and_record("sensor", raw.limit(0), str(tmp_path / "none"))
+        assert set(ledger(nothing).values()) == {0}
+    finally:
+        spark.conf.unset("spark.plantflow.maxGroupRows")
+
+
+def test_ledger_of_the_write_reads_nothing_flagged_again(spark, tmp_path):
+    raw = spark.createDataFrame([reading(i, 300.0) for i in range(9)], SENSOR)
+    _, found = quality.clean_and_record("sensor", raw, str(tmp_path / "clean"))
+    plan = found._jdf.queryExecution().toString()
+    assert "_glitch" not in plan and "_gap" not in plan and "Window" not in plan
+
+
 def test_bounds_are_inclusive_and_nan_is_missing(spark):
     rows = [reading(0, 250.0), reading(15, 400.0), reading(30, float("nan"), "DOWN")]
     assert clean_values(spark, rows) == [250.0, 400.0, 400.0]

@@ -1,9 +1,12 @@
+from dataclasses import replace
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plantflow.operators import evaluate, models
 
 
-def test_classifiers_find_a_clear_signal(spark):
+def test_classifiers_find_a_clear_signal(spark, tmp_path):
     base = spark.range(240).select(
         F.concat(F.lit("M-"), (F.col("id") % 4).cast("string")).alias("machine_id"),
         F.when(F.col("id") < 140, "train").when(F.col("id") < 190, "validation").otherwise("test").alias("split"),
@@ -20,6 +23,25 @@ def test_classifiers_find_a_clear_signal(spark):
     assert all(rows[m, "test"].f1 == 1.0 for m in models.MODELS)
     assert evaluate.best_model(metrics, models.MODELS).first().model == "logistic_regression"
 
+    # one saved thing: raw rows in, the same scores out, whatever else the rows carry
+    direct = {}
+    for r in scored.collect():
+        direct.setdefault((r.model, r.machine_id, r.split, r.label), set()).add(round(r.prob, 12))
+    for name, model in fitted.items():
+        path = str(tmp_path / name)
+        models.fitted_pipeline(model, replace(contract, threshold=0.3)).write().save(path)
+        loaded = PipelineModel.load(path)
+        assert loaded.stages[0].fitted() == replace(contract, threshold=0.3)
+        odd = base.withColumns({c: F.lit("own") for c in ("features", "prob", "probability", "rawPrediction")})
+        rows = models.predict(loaded, odd).collect()
+        assert len(rows) == 240 and {r.features for r in rows} == {r.rawPrediction for r in rows} == {"own"}
+        for r in rows:
+            assert round(r.prob, 12) in direct[name, r.machine_id, r.split, r.failure_next_shift]
+            assert r.predicted == int(r.prob >= 0.3)
+        assert models.predict(loaded, base.limit(0)).count() == 0
+        bare = models.predict(loaded, spark.createDataFrame([(1, "never seen")], "id int, kind string")).first()
+        assert bare.id == 1 and 0 <= bare.prob <= 1
+
 
 def test_text_classifier(spark):
     docs = spark.createDataFrame(
