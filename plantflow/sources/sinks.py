@@ -30,6 +30,15 @@ def write_splits(df: DataFrame, path: str) -> None:
     write_table(df, path, "split")
 
 
+def write_text_files(texts: DataFrame, path: str, end: str = "\n") -> None:
+    """Every row of a one-column table as a text file of its own, all in one folder that does not exist yet.
+
+    Tasks move their own files into place; the driver would move them one by one.
+    """
+    writer = texts.write.option("maxRecordsPerFile", 1).option("lineSep", end)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A small result (metrics, ledger, one record per machine) as JSON lines."""
     df.write.mode("overwrite").json(path)

@@ -64,6 +64,15 @@ def test_page_files(spark, tmp_path):
         readers.read_page_files(spark, str(empty))
 
 
+def test_text_files_lie_in_one_folder_one_a_row(spark, tmp_path):
+    texts = spark.createDataFrame([(f"first {i}\fsecond {i}",) for i in range(40)], "value string").repartition(3)
+    sinks.write_text_files(texts, str(tmp_path / "files"), "\f")
+    assert len(list((tmp_path / "files").glob("part-*"))) == 40
+    pages = readers.read_page_files(spark, str(tmp_path / "files")).collect()
+    assert len({r.document for r in pages}) == 40
+    assert sorted((r.page, r.text) for r in pages) == sorted((n, f"{t} {i}") for n, t in ((1, "first"), (2, "second")) for i in range(40))
+
+
 def test_labelled_assets(spark):
     df = spark.createDataFrame([("a", "normal", "train"), ("b", "defect", "test"), ("c", "odd", "train")], "image_path string, label string, split string")
     assert {r.image_path: r.label_code for r in readers.labelled_assets(df, "train").collect()} == {"a": 0, "c": None}
