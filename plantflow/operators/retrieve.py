@@ -135,13 +135,16 @@ def _lists(known: tx.Vocabulary, stop: pa.Array):
     )
 
     def lists(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk_id").combine_chunks()
         shard = table["shard"][0].as_py()
-        names = table["chunk_id"].to_pylist()
-        parts = [known.weights(piece["tokens"], stop) for batch in table.to_batches() for piece in tx.pieces(batch)]
-        sizes = [piece.num_rows for batch in table.to_batches() for piece in tx.pieces(batch)]
-        begin = np.cumsum([0, *sizes])[:-1]
-        place = np.concatenate([row + low for (row, _, _), low in zip(parts, begin)])
+        ids = table["chunk_id"].combine_chunks()
+        order = pc.sort_indices(ids)  # places are ranks by id; the tokens stay where they are
+        names = ids.take(order).to_pylist()
+        rank = np.empty(len(ids), np.int64)
+        rank[np.asarray(order)] = np.arange(len(ids))
+        slices = [piece["tokens"] for batch in table.to_batches() for piece in tx.pieces(batch)]
+        parts = [known.weights(tokens, stop) for tokens in slices]
+        begin = np.cumsum([0, *map(len, slices)])[:-1]
+        place = np.concatenate([rank[row + low] for (row, _, _), low in zip(parts, begin)])
         number = np.concatenate([n for _, n, _ in parts])
         weight = np.concatenate([w for _, _, w in parts])
         order = np.lexsort((place, number))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ from plantflow.session import broadcast_rows, durable, spread
 
 MAX_FEATURES = 4096
 CELLS = 1 << 17  # hash cells of the first counting pass
-PIECE_TOKENS = 1 << 20
+PIECE_TOKENS = 1 << 18  # tokens counted at once: what a task holds besides its batch
 
 
 def english_stop_words(spark: SparkSession) -> list[str]:
@@ -60,43 +59,65 @@ def _unigrams(tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, pa.Arra
     return row, flat
 
 
+def _hashes(words: pa.StringArray) -> np.ndarray:
+    """A number for each word (of an array that is no slice), the same in every task; overflow is wanted."""
+    sizes = np.asarray(pc.binary_length(words)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8, int(sizes.sum())).astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(letters)) - np.repeat(ends - sizes, sizes)
+    powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, 0x100000001B3, np.uint64))
+    upto = np.r_[np.uint64(0), np.cumsum(letters * powers[place])]
+    return upto[ends] - upto[ends - sizes]
+
+
 class _Counted:
-    """Distinct uni- and bigrams of token lists, as numbers: terms are spelt out only where they are asked for."""
+    """Uni- and bigrams of token lists as numbers: words by their code, pairs of codes behind them.
+
+    Terms are sorted as plain numbers, and spelt out only where they are asked for.
+    """
 
     def __init__(self, tokens: pa.ListArray, stop: pa.Array):
+        self.rows = max(1, len(tokens))
         row, flat = _unigrams(tokens, stop)
         coded = flat.dictionary_encode()
         self.words, code = coded.dictionary, np.asarray(coded.indices).astype(np.int64)
-        same = row[:-1] == row[1:]
-        width = max(1, len(self.words))
-        self.pairs, place = np.unique((code[:-1] * width + code[1:])[same], return_inverse=True)
-        self.size = len(self.words) + len(self.pairs)
-        term = np.r_[code, place + len(self.words)]
-        # row and number of every term of every document, and how often it stands there
-        key, self.tf = np.unique(np.r_[row, row[:-1][same]] * max(1, self.size) + term, return_counts=True)
-        self.row, self.term = key // max(1, self.size), key % max(1, self.size)
-
-    def halves(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.divmod(self.pairs, max(1, len(self.words)))
-
-    def spelt(self, numbers: np.ndarray) -> pa.Array:
-        """The terms of some numbers."""
-        single = numbers < len(self.words)
-        first, second = self.halves()
-        at = np.where(single, 0, numbers - len(self.words))
-        left = np.where(single, numbers, first[at] if len(first) else 0)
-        names = self.words.take(pa.array(left))
+        self.width = max(1, len(self.words))
+        self.code, same = code, row[:-1] == row[1:]
+        # row and term of every occurrence; first and second word of every pair
+        self.first, self.second = code[:-1][same], code[1:][same]
+        self.row = np.r_[row, row[:-1][same]]
+        self.term = np.r_[code, self.width * (1 + self.first) + self.second]
+
+    def by_document(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and number of occurrences of every term of every document."""
+        span = self.width * (self.width + 1)
+        key, tf = np.unique(self.row * span + self.term, return_counts=True)
+        row, term = np.divmod(key, span)
+        return row, term, tf
+
+    def totals(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms, occurrences and documents with the term, of the chosen occurrences."""
+        key, tf = np.unique(self.term[chosen] * self.rows + self.row[chosen], return_counts=True)
+        term = key // self.rows
+        first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][: len(term)])
+        total = np.add.reduceat(tf, first) if len(first) else tf
+        return term[first], total, np.diff(np.r_[first, len(term)])
+
+    def spelt(self, terms: np.ndarray) -> pa.Array:
+        """The texts of some terms."""
+        first, second = np.divmod(terms, self.width)
+        single = first == 0
+        names = self.words.take(pa.array(np.where(single, second, first - 1)))
         if single.all():
             return names
-        behind = self.words.take(pa.array(second[at]))
+        behind = self.words.take(pa.array(second))
         return pc.if_else(pa.array(single), names, pc.binary_join_element_wise(names, behind, " "))
 
     def cells(self, cells: int) -> np.ndarray:
-        """Hash cell of every term."""
-        word = np.fromiter((zlib.crc32(w.as_buffer()) for w in self.words), np.uint64, len(self.words))
-        first, second = self.halves()
-        pair = word[first] * np.uint64(0x9E3779B97F4A7C15) + word[second] + np.uint64(1)
-        mixed = np.r_[word, pair] * np.uint64(0xBF58476D1CE4E5B9)
+        """Hash cell of every occurrence."""
+        word = _hashes(self.words)
+        pair = word[self.first] * np.uint64(0x9E3779B97F4A7C15) + word[self.second] + np.uint64(1)
+        mixed = np.r_[word[self.code], pair] * np.uint64(0xBF58476D1CE4E5B9)
         return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) >> np.uint64(40)).astype(np.int64) % cells
 
 
@@ -110,9 +131,8 @@ def term_counts(docs: DataFrame, id_column: str, text: str = "text", stop_words:
         for batch in batches:
             for piece in pieces(batch):
                 held = _Counted(piece["tokens"], stop)
-                yield pa.RecordBatch.from_arrays(
-                    [piece["id"].take(pa.array(held.row)), held.spelt(held.term), pa.array(held.tf)], schema.names
-                )
+                row, term, tf = held.by_document()
+                yield pa.RecordBatch.from_arrays([piece["id"].take(pa.array(row)), held.spelt(term), pa.array(tf)], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -175,8 +195,7 @@ def fit_vocabulary(
         mass = np.zeros(cells, np.int64)
         for batch in batches:
             for piece in pieces(batch):
-                held = _Counted(piece["tokens"], stop)
-                mass += np.bincount(held.cells(cells)[held.term], held.tf, cells).astype(np.int64)
+                mass += np.bincount(_Counted(piece["tokens"], stop).cells(cells), minlength=cells)
         some = np.flatnonzero(mass)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(mass[some])], ["cell", "mass"])
 
@@ -188,10 +207,8 @@ def fit_vocabulary(
             for batch in batches:
                 for piece in pieces(batch):
                     held = _Counted(piece["tokens"], stop)
-                    tf = np.bincount(held.term, held.tf, held.size).astype(np.int64)
-                    df = np.bincount(held.term, minlength=held.size)
-                    some = np.flatnonzero(wanted[held.cells(cells)])
-                    yield pa.RecordBatch.from_arrays([held.spelt(some), pa.array(tf[some]), pa.array(df[some])], ["term", "tf", "df"])
+                    term, tf, df = held.totals(wanted[held.cells(cells)])
+                    yield pa.RecordBatch.from_arrays([held.spelt(term), pa.array(tf), pa.array(df)], ["term", "tf", "df"])
 
         found = rows.mapInArrow(count, "term string, tf long, df long").groupBy("term")
         return found.agg(F.sum("tf").alias("total"), F.sum("df").alias("df"))
@@ -227,6 +244,10 @@ class Vocabulary:
 
     terms: pa.Array
     idf: np.ndarray
+    words: pa.Array  # all texts that a term is, or is made of by a blank
+    single: np.ndarray  # term number of a word, or -1
+    pairs: np.ndarray  # pairs of words that are a term, as one number, in order
+    paired: np.ndarray  # their term numbers
 
     @staticmethod
     def of(vocab: DataFrame) -> Vocabulary | None:
@@ -236,18 +257,33 @@ class Vocabulary:
         if len(rows) > limit:
             return None
         rows = sorted((r["term"], r["idf"]) for r in rows)
-        return Vocabulary(pa.array([t for t, _ in rows], pa.string()), np.array([x for _, x in rows], np.float64))
+        return Vocabulary.made([t for t, _ in rows], np.array([x for _, x in rows], np.float64))
+
+    @staticmethod
+    def made(terms: list[str], idf: np.ndarray) -> Vocabulary:
+        halves = [(t[:i], t[i + 1 :], n) for n, t in enumerate(terms) for i, letter in enumerate(t) if letter == " "]
+        words = sorted({*terms, *(w for a, b, _ in halves for w in (a, b))})
+        at = {w: i for i, w in enumerate(words)}
+        single = np.full(len(words), -1, np.int64)
+        single[[at[t] for t in terms]] = np.arange(len(terms))
+        found = sorted((at[a] * len(words) + at[b], n) for a, b, n in halves)
+        pairs, paired = (np.array([x[i] for x in found], np.int64) for i in (0, 1))
+        return Vocabulary(pa.array(terms, pa.string()), idf, pa.array(words, pa.string()), single, pairs, paired)
 
     def weights(self, tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, term number and normalised weight of every known term of token lists, in order of row and number."""
         row, flat = _unigrams(tokens, stop)
-        same = row[:-1] == row[1:]
-        chosen = pa.array(same)
-        pairs = pc.binary_join_element_wise(flat[:-1].filter(chosen), flat[1:].filter(chosen), " ") if len(flat) > 1 else flat[:0]
-        row, terms = np.r_[row, row[:-1][same]], pa.concat_arrays([flat, pairs])
-        number = np.asarray(pc.fill_null(pc.index_in(terms, value_set=self.terms), -1)).astype(np.int64)
+        word = np.asarray(pc.fill_null(pc.index_in(flat, value_set=self.words), -1)).astype(np.int64)
+        alone = np.flatnonzero(word >= 0)
+        alone = alone[self.single[word[alone]] >= 0]
+        pair = np.flatnonzero((word[:-1] >= 0) & (word[1:] >= 0) & (row[:-1] == row[1:]))
+        key = word[pair] * len(self.words) + word[pair + 1]
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        met = self.pairs[at] == key if len(self.pairs) else np.zeros(len(key), bool)
+        row = np.r_[row[alone], row[pair[met]]]
+        number = np.r_[self.single[word[alone]], self.paired[at[met]]]
         width = max(1, len(self.terms))
-        key, tf = np.unique((row * width + number)[number >= 0], return_counts=True)
+        key, tf = np.unique(row * width + number, return_counts=True)
         row, number = key // width, key % width
         weight = tf * self.idf[number]
         norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(tokens)))
