@@ -122,12 +122,12 @@ def build_index(
     if known is None:
         raise ValueError(f"an index takes a vocabulary of at most {broadcast_rows(spark)} terms")
     stop = pa.array(list(stop_words), pa.string())
-    tokens = fn.tokens("text", pattern=pattern) if pattern else fn.tokens("text")
-    made = chunks.select("shard", "chunk_id", tokens.alias("tokens")).groupBy("shard").applyInArrow(_lists(known, stop), _LISTS)
+    tokens = tx.uncut("text", pattern).alias("tokens")
+    made = chunks.select("shard", "chunk_id", tokens).groupBy("shard").applyInArrow(_lists(known, stop, pattern), _LISTS)
     return Index(chunks, _write_lists(made, new_folder(spark, "lists"), buckets), vocab, tuple(stop_words), pattern, buckets)
 
 
-def _lists(known: tx.Vocabulary, stop: pa.Array):
+def _lists(known: tx.Vocabulary, stop: pa.Array, pattern: str | None):
     """The posting lists of a shard, and its row of names."""
     schema = pa.schema(
         [("shard", pa.int32()), ("number", pa.int32()), ("places", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64())),
@@ -141,7 +141,7 @@ def _lists(known: tx.Vocabulary, stop: pa.Array):
         names = ids.take(order).to_pylist()
         rank = np.empty(len(ids), np.int64)
         rank[np.asarray(order)] = np.arange(len(ids))
-        slices = [piece["tokens"] for batch in table.to_batches() for piece in tx.pieces(batch)]
+        slices = [piece["tokens"] for batch in table.to_batches() for piece in tx.pieces(batch, pattern)]
         parts = [known.weights(tokens, stop) for tokens in slices]
         begin = np.cumsum([0, *map(len, slices)])[:-1]
         place = np.concatenate([rank[row + low] for (row, _, _), low in zip(parts, begin)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ from plantflow.session import broadcast_rows, durable, spread
 MAX_FEATURES = 4096
 CELLS = 1 << 17  # hash cells of the first counting pass
 PIECE_TOKENS = 1 << 18  # tokens counted at once: what a task holds besides its batch
+TOKEN_BYTES = 6  # of a token and its blank, about
 
 
 def english_stop_words(spark: SparkSession) -> list[str]:
@@ -30,22 +32,62 @@ def english_stop_words(spark: SparkSession) -> list[str]:
 # --- terms of a document ----------------------------------------------------
 #
 # A document is one row, and its terms are found, counted and weighed inside that row: Spark cuts the text into
-# tokens, and Arrow batches of token lists are worked through by vector functions. No text is moved.
+# tokens, or lower-cases it where they are plain runs of ASCII letters, and Arrow batches are worked through by vector
+# functions. No text is moved.
 
 
 def _token_rows(docs: DataFrame, id_column: str, text: str, pattern: str | None) -> DataFrame:
-    tokens = fn.tokens(text, pattern=pattern) if pattern else fn.tokens(text)
-    return spread(docs.select(id_column, text)).select(F.col(id_column).alias("id"), tokens.alias("tokens"))
-
-
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about PIECE_TOKENS tokens, at least one row each."""
-    ends = np.cumsum(np.asarray(pc.fill_null(batch["tokens"].value_lengths(), 0)).astype(np.int64))
+    return spread(docs.select(id_column, text)).select(F.col(id_column).alias("id"), uncut(text, pattern).alias("tokens"))
+
+
+_RUNS = re.compile(r"\[((?:[a-z]-[a-z]|[0-9]-[0-9]|[a-z0-9])+)\]\{(\d+),\}")
+
+
+def uncut(text: Column | str, pattern: str | None) -> Column:
+    """What tasks cut into the tokens of a text: lower-cased text if tokens are runs of ASCII letters, else the tokens."""
+    if pattern and _RUNS.fullmatch(pattern):
+        return F.lower(F.col(text) if isinstance(text, str) else text)
+    return fn.tokens(text, pattern=pattern) if pattern else fn.tokens(text)
+
+
+def cut(texts: pa.StringArray, pattern: str) -> pa.ListArray:
+    """Tokens of texts by a pattern like `[a-z0-9]{2,}`: maximal runs of such letters, of a least length."""
+    letters, least = _RUNS.fullmatch(pattern).groups()
+    known, least = np.array([bool(re.match(f"[{letters}]", chr(b))) for b in range(256)]), max(1, int(least))
+    texts = pc.fill_null(texts, "")
+    bounds = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    inside = known[data]
+    filled = bounds[:-1][np.diff(bounds) > 0]  # a run ends with its text
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    opens[filled] = inside[filled]
+    closes[:-1] &= ~inside[1:]
+    closes[filled - 1] = inside[filled - 1]
+    begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    size = end - begin
+    short = size < least
+    left_out = np.repeat(begin[short], size[short])
+    inside[left_out + np.arange(len(left_out)) - np.repeat(np.cumsum(size[short]) - size[short], size[short])] = False
+    begin, size = begin[~short], size[~short]
+    ends = np.r_[0, np.cumsum(size)].astype(np.int32)
+    values = pa.StringArray.from_buffers(len(size), pa.py_buffer(ends), pa.py_buffer(data[inside]))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(begin, bounds).astype(np.int32)), values)
+
+
+def pieces(batch: pa.RecordBatch, pattern: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about PIECE_TOKENS tokens, at least one row each; texts left `uncut` are cut here."""
+    whole = pa.types.is_string(batch["tokens"].type)
+    sizes = pc.binary_length(batch["tokens"]) if whole else batch["tokens"].value_lengths()
+    ends = np.cumsum(np.asarray(pc.fill_null(sizes, 0)).astype(np.int64))
+    most = PIECE_TOKENS * (TOKEN_BYTES if whole else 1)
     at = 0
     while at < batch.num_rows:
         begin = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, begin + PIECE_TOKENS, "right")))
-        yield batch.slice(at, end - at)
+        end = max(at + 1, int(np.searchsorted(ends, begin + most, "right")))
+        piece = batch.slice(at, end - at)
+        yield piece.set_column(piece.schema.get_field_index("tokens"), "tokens", cut(piece["tokens"], pattern)) if whole else piece
         at = end
 
 
@@ -129,7 +171,7 @@ def term_counts(docs: DataFrame, id_column: str, text: str = "text", stop_words:
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, pattern):
                 held = _Counted(piece["tokens"], stop)
                 row, term, tf = held.by_document()
                 yield pa.RecordBatch.from_arrays([piece["id"].take(pa.array(row)), held.spelt(term), pa.array(tf)], schema.names)
@@ -194,7 +236,7 @@ def fit_vocabulary(
     def add_up(batches):
         mass = np.zeros(cells, np.int64)
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, pattern):
                 mass += np.bincount(_Counted(piece["tokens"], stop).cells(cells), minlength=cells)
         some = np.flatnonzero(mass)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(mass[some])], ["cell", "mass"])
@@ -205,7 +247,7 @@ def fit_vocabulary(
         def count(batches):
             wanted = np.unpackbits(shared.value, count=cells).astype(bool)
             for batch in batches:
-                for piece in pieces(batch):
+                for piece in pieces(batch, pattern):
                     held = _Counted(piece["tokens"], stop)
                     term, tf, df = held.totals(wanted[held.cells(cells)])
                     yield pa.RecordBatch.from_arrays([held.spelt(term), pa.array(tf), pa.array(df)], ["term", "tf", "df"])
@@ -301,7 +343,7 @@ def weigh(
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, pattern):
                 row, number, weight = known.weights(piece["tokens"], stop)
                 bounds = pa.array(np.searchsorted(row, np.arange(piece.num_rows + 1)).astype(np.int32))
                 held = [pa.array(number.astype(np.int32)), known.terms.take(pa.array(number)), pa.array(weight)]

@@ -2,6 +2,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -345,3 +346,32 @@ def test_index_of_nothing(spark):
     pages = spark.createDataFrame([("a", 1, " \n ")], "document string, page int, text string")
     empty = retrieve.build_index(readers.usable_pages(pages))
     assert retrieve.retrieve(questions(spark, "vibration"), empty).collect() == [] == empty.postings.collect()
+
+
+def test_tokens_cut_in_tasks_are_those_of_the_pattern():
+    texts = ["ab 1 c2x,, é ab", None, "", "x", "abc1", "KKk_9 z9"]
+    for pattern in ("[a-z0-9]{2,}", "[a-c]{1,}", "[a-z]{3,}"):
+        for given in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(3), pa.array([], pa.string())):
+            assert tx.cut(given, pattern).to_pylist() == [re.findall(pattern, t or "") for t in given.to_pylist()]
+
+
+def test_words_are_numbered_without_spelling_pairs():
+    known = tx.Vocabulary.made(["a", "a b", "b c d"], np.ones(3))
+    tokens = pa.array([["a", "b", "a", "b c", "d"], [], ["b", "c d"]], pa.list_(pa.string()))
+    row, number, _ = known.weights(tokens, pa.array([], pa.string()))
+    assert list(zip(row, number)) == [(0, 0), (0, 1), (0, 2), (2, 2)]
+    assert tx._hashes(pa.array(["", "ab", "a"])).tolist()[0] == 0
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 18])
+def test_counts_do_not_depend_on_the_slices(spark, monkeypatch, size):
+    docs = spark.createDataFrame([(i, f"run{i % 3} on, on run{i % 2} x") for i in range(30)] + [(30, None)], "id int, text string").coalesce(1)
+    wanted = {(r.id, r.term, r.tf) for r in tx.term_counts(docs, "id", "text", ["on"], r"[a-z0-9]+").collect()}  # cut by Spark
+    batch = pa.RecordBatch.from_pylist([{"id": r.id, "tokens": r.text and r.text.lower()} for r in docs.collect()])
+    monkeypatch.setattr(tx, "PIECE_TOKENS", size)
+    found = set()
+    for piece in tx.pieces(batch, "[a-z0-9]{1,}"):
+        held = tx._Counted(piece["tokens"], pa.array(["on"]))
+        row, term, tf = held.by_document()
+        found |= set(zip(piece["id"].take(pa.array(row)).to_pylist(), held.spelt(term).to_pylist(), tf.tolist()))
+    assert found == wanted and (30 not in {i for i, _, _ in found})
