@@ -122,20 +122,17 @@ def classify_text(
 
     `docs` has `split`. Returns `(id, split, truth, said, confidence)`.
     """
-    cleaned = docs.withColumn("_text", clean_text(text))
+    own = F.struct(id_column, "split", F.col(label).cast("string").alias("truth"))
+    cleaned = docs.select(own.alias("_own"), "split", F.col(label).cast("string").alias("truth"), clean_text(text).alias("_text"))
     train = cleaned.filter(F.col("split") == "train")
-    vocab = durable(tx.fit_vocabulary(train, "_text", max_features, stop_words, pattern))
-    terms = [r["term"] for r in vocab.select("term").orderBy("term").collect()]  # at most max_features
-    rows = tx.dense_rows(tx.tfidf_of(cleaned, vocab, id_column, "_text", stop_words, pattern), terms, id_column, "_values")
-    zeros = F.array_repeat(F.lit(0.0), len(terms))
-    labelled = cleaned.select(id_column, "split", F.col(label).cast("string").alias("truth")).join(rows, id_column, "left")
-    names = sorted(encode.train_categories(labelled, ["truth"])["truth"])
+    known = tx.Vocabulary.of(tx.fit_vocabulary(train, "_text", max_features, stop_words, pattern))
+    if known is None:
+        raise ValueError(f"a vocabulary of {max_features} terms is too large for dense rows")
+    names = sorted(encode.train_categories(cleaned, ["truth"])["truth"])
     code = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("truth")) - 1
-    vectors = durable(
-        labelled.select(
-            id_column, "split", "truth", code.cast("double").alias("label"), array_to_vector(F.coalesce("_values", zeros)).alias("features")
-        )
-    )
+    # label and split go with their row: nothing is moved or joined
+    rows = tx.dense_rows(cleaned, known, "_own", "_text", stop_words, pattern).select("_own.*", "features")
+    vectors = durable(rows.select(id_column, "split", "truth", code.cast("double").alias("label"), array_to_vector("features").alias("features")))
     training = vectors.filter(F.col("split") == "train")
     classifier = LogisticRegression(
         family="multinomial", maxIter=2000, regParam=1.0 / max(training.count(), 1), standardization=False, weightCol="weight"

@@ -353,11 +353,25 @@ def weigh(
     return rows.mapInArrow(run, schema)
 
 
-def dense_rows(weights: DataFrame, terms: Sequence[str], id_column: str, name: str = "features") -> DataFrame:
-    """One dense array per document over a short fixed term list (a classifier's input)."""
-    weight_of = F.map_from_entries(F.collect_list(F.struct("term", "weight")))
-    values = F.array(*[F.coalesce(F.try_element_at(F.col("_m"), F.lit(t)), F.lit(0.0)) for t in terms])
-    return weights.groupBy(id_column).agg(weight_of.alias("_m")).select(id_column, values.alias(name))
+def dense_rows(
+    docs: DataFrame, known: Vocabulary, id_column: str, text: str = "text", stop_words: Sequence[str] = (), pattern: str | None = None
+) -> DataFrame:
+    """`(id, features)`: one array of all weights per document over a short vocabulary (a classifier's input)."""
+    rows = _token_rows(docs, id_column, text, pattern)
+    stop, width = pa.array(list(stop_words), pa.string()), len(known.terms)
+    schema = T.StructType([T.StructField(id_column, rows.schema["id"].dataType), *T.StructType.fromDDL("features array<double>")])
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, pattern):
+                row, number, weight = known.weights(piece["tokens"], stop)
+                values = np.zeros((piece.num_rows, width))
+                values[row, number] = weight
+                bounds = pa.array((np.arange(piece.num_rows + 1) * width).astype(np.int32))
+                arrays = pa.ListArray.from_arrays(bounds, pa.array(values.ravel()))
+                yield pa.RecordBatch.from_arrays([piece["id"], arrays], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 # --- chunks ---------------------------------------------------------------

@@ -1,9 +1,10 @@
 from dataclasses import replace
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from plantflow.operators import evaluate, models
+from plantflow.operators import evaluate, models, text as tx
 
 
 def test_classifiers_find_a_clear_signal(spark, tmp_path):
@@ -52,3 +53,14 @@ def test_text_classifier(spark):
     rows = {r.id: r for r in models.classify_text(docs, "id", "note", "kind").collect()}
     assert len(rows) == 41
     assert all(r.said == r.truth and r.confidence > 0.5 for r in rows.values() if r.id != 99)
+
+
+def test_text_classifier_moves_no_weights(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "train" if i < 40 else "test", "ab cd" if i % 2 else "ef gh ef", "x" if i % 2 else "y") for i in range(60)], "id int, split string, note string, kind string")
+    known = tx.Vocabulary.made(["ab", "ab cd", "ef"], np.ones(3))
+    rows = tx.dense_rows(docs, known, "id", "note", pattern="[a-z]{2,}")
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    found = {r.id: [round(x, 6) for x in r.features] for r in rows.collect()}
+    assert found[1] == [0.707107, 0.707107, 0.0] and found[2] == [0.0, 0.0, 1.0] and len(found) == 60
+    said = models.classify_text(docs, "id", "note", "kind", pattern="[a-z]{2,}").collect()
+    assert all(r.said == r.truth for r in said) and len(said) == 60
