@@ -74,8 +74,8 @@ def train_and_score(
 ) -> tuple[dict, DataFrame, encode.Contract]:
     """Fit the chosen classifiers on the training split and score every split.
 
-    The features and the encoded rows are materialised once each, since learning
-    the encoding and every fit read them many times. Returns the models, the scored
+    The features, the encoded rows and the scores are materialised once each, since
+    learning the encoding, every fit and the metrics read them many times. Returns the models, the scored
     rows and the encoding contract that the models were trained with.
     """
     wanted = dict.fromkeys([*keep, "split", *numeric, *categorical, TARGET])
@@ -85,7 +85,7 @@ def train_and_score(
     fitted, tables = {}, []
     for name in names:
         fitted[name] = fit(vectors, name, **settings)
-        tables.append(score(fitted[name], vectors, name, keep))
+        tables.append(durable(score(fitted[name], vectors, name, keep)))  # metrics read it several times
     scored = tables[0]
     for other in tables[1:]:
         scored = scored.unionByName(other)

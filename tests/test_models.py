@@ -18,6 +18,7 @@ def test_classifiers_find_a_clear_signal(spark, tmp_path):
     )
     fitted, scored, contract = models.train_and_score(base, ["x", "y"], ["kind"], trees=10, rounds=5)
     assert list(fitted) == models.MODELS
+    assert "UDF" not in scored._jdf.queryExecution().executedPlan().toString()  # scored once, however often it is read
     metrics = evaluate.tuned_evaluation(scored)
     rows = {(r.model, r.split): r for r in metrics.collect()}
     assert len(rows) == 9
