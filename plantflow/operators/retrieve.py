@@ -15,8 +15,8 @@ from plantflow import wording
 from plantflow.config import MIN_SCORE, TOP_K
 from plantflow.functions import columns as fn
 from plantflow.operators import pivots as pv, skew, text as tx
-from plantflow.operators.postings import DIGITS, Postings
-from plantflow.session import broadcast_rows, durable, new_folder
+from plantflow.operators.postings import DIGITS, MARGIN, Postings
+from plantflow.session import broadcast_rows, durable, new_folder, spread, stored
 from plantflow.sources.buckets import MAX_BUCKETS, bucket_keys, open_bucketed, write_bucketed
 from plantflow.sources.sinks import path_exists
 
@@ -84,6 +84,33 @@ class Index:
         return named.join(self.vocabulary.select("number", "term"), "number").select("chunk_id", "term", "weight")
 
 
+@dataclass(frozen=True)
+class Chunked:
+    """Text that is asked a few questions once: chunks where their pages lie, and the vocabulary; no lists.
+
+    Found are the same chunks, with the same scores, as by an `Index` of the same pages. One reading of the chunks weighs
+    them against all questions of a block, which costs less than dealing them to shards and writing their lists.
+    """
+
+    chunks: DataFrame
+    vocabulary: DataFrame
+    stop_words: tuple[str, ...] = ()
+    pattern: str | None = None
+
+
+def chunked(
+    pages: DataFrame, stop_words: Sequence[str] = (), max_features: int = tx.MAX_FEATURES, pattern: str | None = None
+) -> Chunked:
+    """Chunk the pages and fit the vocabulary; nothing is dealt out."""
+    chunks = stored(tx.chunk_pages(pages), "chunks")
+    return Chunked(chunks, _numbered(chunks, stop_words, max_features, pattern), tuple(stop_words), pattern)
+
+
+def _numbered(chunks: DataFrame, stop_words: Sequence[str], max_features: int, pattern: str | None) -> DataFrame:
+    fitted = tx.fit_vocabulary(chunks, "text", max_features, stop_words, pattern)
+    return durable(fitted.withColumn("number", F.row_number().over(W.orderBy("term")) - 1))  # at most `max_features` rows
+
+
 def _write_chunks(chunks: DataFrame, path: str, buckets: int, placed: bool) -> DataFrame:
     return write_bucketed(chunks, path, "shard", buckets, ["chunk_id"], placed)
 
@@ -116,8 +143,7 @@ def build_index(
         shard = F.get(F.lit(keys), F.pmod(shard, F.lit(len(keys))))
     chunks = _write_chunks(tx.chunk_pages(pages).withColumn("shard", shard), new_folder(spark, "chunks"), buckets, False)
 
-    fitted = tx.fit_vocabulary(chunks, "text", max_features, stop_words, pattern)
-    vocab = durable(fitted.withColumn("number", F.row_number().over(W.orderBy("term")) - 1))  # at most `max_features` rows
+    vocab = _numbered(chunks, stop_words, max_features, pattern)
     known = tx.Vocabulary.of(vocab)
     if known is None:
         raise ValueError(f"an index takes a vocabulary of at most {broadcast_rows(spark)} terms")
@@ -182,9 +208,11 @@ def _top(scores: DataFrame, item: str, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
+def similar_chunks(queries: DataFrame, index: Index | Chunked, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
     """`(query_id, shard, chunk_id, score, rank)`: cosine over shared terms, best `top_k`, then the score cut.
 
+    Without shards (a `Chunked` text) there is no column `shard`.
+
     A query without any known term has no rows. Every shard is searched where it lies and gives at most `top_k`
     chunks a question; blocks of chunks that cannot be among them, or reach the score cut, are not scored (see
     `postings`). Questions are taken in blocks; the rows of each of several blocks are written before the next is
@@ -192,6 +220,8 @@ def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_sco
     """
     spark = queries.sparkSession
     known = tx.Vocabulary.of(index.vocabulary)
+    if known is None:
+        raise ValueError(f"a search takes a vocabulary of at most {broadcast_rows(spark)} terms")
     asked = queries.filter(F.col("question").rlike(fn.NOT_BLANK)).select("query_id", "question")
     weights = tx.weigh(asked, known, "query_id", "question", index.stop_words, index.pattern)
     weights = durable(weights.filter(F.size("numbers") > 0).select("query_id", "numbers", "weights"))
@@ -200,15 +230,23 @@ def similar_chunks(queries: DataFrame, index: Index, top_k: int = TOP_K, min_sco
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     for i in range(blocks):
         own = weights.filter(block == i).toArrow().to_pydict()
-        found = _search_block(spark, own, weights.schema, index, top_k, min_score)
+        asked = [(np.array(n), np.array(w)) for n, w in zip(own["numbers"], own["weights"])]
+        if isinstance(index, Index):
+            places = _search_lists(spark, asked, index, top_k, min_score)
+        else:
+            places = _scan_chunks(spark, asked, index, known, top_k, min_score)
+        names = T.StructType([T.StructField("query", T.IntegerType()), weights.schema["query_id"]])
+        ids = spark.createDataFrame(list(enumerate(own["query_id"])), names)
+        named = places.join(F.broadcast(ids), "query").drop("query")
+        found = _top(named, "chunk_id", top_k).filter(F.col("score") >= min_score)
         if path is None:
             return found
         found.write.mode("append").parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 
 
-def _search_block(spark: SparkSession, own: dict, schema: T.StructType, index: Index, top_k: int, min_score: float) -> DataFrame:
-    asked = [(np.array(n), np.array(w)) for n, w in zip(own["numbers"], own["weights"])]
+def _search_lists(spark: SparkSession, asked: list, index: Index, top_k: int, min_score: float) -> DataFrame:
+    """The best of every shard for a block of questions."""
     sent = spark.sparkContext.broadcast(asked)  # at most QUERY_BLOCK questions, or a few more
 
     def search(table: pa.Table) -> pa.Table:
@@ -227,11 +265,40 @@ def _search_block(spark: SparkSession, own: dict, schema: T.StructType, index: I
     lists = index.lists
     if len(terms) <= FEW_TERMS:  # one comparison a term, so that the scan skips the pages of all others
         lists = lists.filter(reduce(Column.__or__, [F.col("number") == n for n in [NAMES, *terms]]))
-    found = lists.groupBy("shard").applyInArrow(search, "query int, shard int, chunk_id string, score double")
-    names = T.StructType([T.StructField("query", T.IntegerType()), schema["query_id"]])
-    ids = spark.createDataFrame(list(enumerate(own["query_id"])), names)
-    named = found.join(F.broadcast(ids), "query").drop("query")
-    return _top(named, "chunk_id", top_k).filter(F.col("score") >= min_score)
+    return lists.groupBy("shard").applyInArrow(search, "query int, shard int, chunk_id string, score double")
+
+
+def _scan_chunks(spark: SparkSession, asked: list, text: Chunked, known: tx.Vocabulary, top_k: int, min_score: float) -> DataFrame:
+    """The best of every task for a block of questions; a task holds its best chunks so far besides its batch."""
+    sent = spark.sparkContext.broadcast((asked, known))  # at most QUERY_BLOCK questions, or a few more
+    stop, pattern = pa.array(list(text.stop_words), pa.string()), text.pattern
+
+    def search(batches):
+        asked, known = sent.value
+        wanted = np.zeros(max(1, len(known.terms)), bool)
+        wanted[[n for numbers, _ in asked for n in numbers.tolist()]] = True
+        best = [[] for _ in asked]
+        for batch in batches:
+            for piece in tx.pieces(batch, pattern):
+                row, number, weight = known.weights(piece["tokens"], stop)
+                own = wanted[number]
+                row, number, weight = row[own], number[own], weight[own]
+                for q, (numbers, weights) in enumerate(asked):
+                    factor = np.zeros(len(wanted))
+                    factor[numbers] = weights
+                    score = np.bincount(row, factor[number] * weight, minlength=piece.num_rows)
+                    floor = max(min_score, best[q][-1][2]) if len(best[q]) == top_k else min_score
+                    new = np.flatnonzero((score > 0) & (score >= floor - MARGIN))
+                    ids = piece["chunk_id"].take(pa.array(new)).to_pylist()
+                    scores = score[new]
+                    ranked = zip((-np.round(scores, DIGITS)).tolist(), ids, scores.tolist())
+                    best[q] = sorted([*best[q], *ranked])[:top_k]
+        rows = [(q, name, score) for q, found in enumerate(best) for _, name, score in found]
+        kinds = {"query": pa.int32(), "chunk_id": pa.string(), "score": pa.float64()}
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], list(kinds))
+
+    rows = spread(text.chunks.select("chunk_id", "text")).select("chunk_id", tx.uncut("text", pattern).alias("tokens"))
+    return rows.mapInArrow(search, "query int, chunk_id string, score double")
 
 
 def shard_postings(table: pa.Table) -> tuple[list[str], Postings]:
@@ -245,12 +312,16 @@ def shard_postings(table: pa.Table) -> tuple[list[str], Postings]:
     return names, Postings(np.asarray(own["number"]).astype(np.int64), np.r_[0, np.cumsum(sizes)], flat[0].astype(np.int64), flat[1], len(names))
 
 
-def retrieve(queries: DataFrame, index: Index, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
+def retrieve(queries: DataFrame, index: Index | Chunked, top_k: int = TOP_K, min_score: float = MIN_SCORE) -> DataFrame:
     """Ranked evidence with its source: `(query_id, rank, document, page, section, evidence, score)`.
 
     Texts come from the shards of the chunks found; if these are few, only their buckets are read.
     """
     found = skew.checked_broadcast(similar_chunks(queries, index, top_k, min_score))
+    if isinstance(index, Chunked):
+        sources = index.chunks.select("chunk_id", "document", "page", "section", F.col("text").alias("evidence"))
+        met = sources.join(found, "chunk_id")
+        return met.select("query_id", "rank", "document", "page", "section", "evidence", "score")
     shards = [r["shard"] for r in found.select("shard").distinct().limit(FEW_SHARDS + 1).collect()]
     chunks = index.chunks
     if len(shards) <= FEW_SHARDS:

@@ -60,13 +60,11 @@ def cut(texts: pa.StringArray, pattern: str) -> pa.ListArray:
     bounds = bounds - bounds[0]
     inside = known[data]
     filled = bounds[:-1][np.diff(bounds) > 0]  # a run ends with its text
-    opens, closes = inside.copy(), inside.copy()
-    opens[1:] &= ~inside[:-1]
-    opens[filled] = inside[filled]
-    closes[:-1] &= ~inside[1:]
-    closes[filled - 1] = inside[filled - 1]
-    begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    size = end - begin
+    inner = filled[1:]
+    inner = inner[inside[inner - 1] & inside[inner]]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    edges = np.sort(np.r_[edges, inner, inner]) if len(inner) else edges
+    begin, size = edges[::2], edges[1::2] - edges[::2]
     short = size < least
     left_out = np.repeat(begin[short], size[short])
     inside[left_out + np.arange(len(left_out)) - np.repeat(np.cumsum(size[short]) - size[short], size[short])] = False
@@ -91,14 +89,15 @@ def pieces(batch: pa.RecordBatch, pattern: str | None = None) -> Iterator[pa.Rec
         at = end
 
 
-def _unigrams(tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Tokens of all lists, stop words left out, and the row of each."""
+def _unigrams(tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row and code of all tokens of lists, stop words left out, and the word of each code (stop words included)."""
     sizes = np.asarray(pc.fill_null(tokens.value_lengths(), 0)).astype(np.int64)
-    row, flat = np.repeat(np.arange(len(sizes)), sizes), tokens.flatten()
+    coded = tokens.flatten().dictionary_encode()
+    row, code = np.repeat(np.arange(len(sizes)), sizes), np.asarray(coded.indices).astype(np.int64)
     if len(stop):
-        kept = pc.invert(pc.is_in(flat, value_set=stop))
-        row, flat = row[np.asarray(kept)], flat.filter(kept)
-    return row, flat
+        kept = ~np.asarray(pc.is_in(coded.dictionary, value_set=stop))[code]
+        row, code = row[kept], code[kept]
+    return row, code, coded.dictionary
 
 
 def _hashes(words: pa.StringArray) -> np.ndarray:
@@ -120,9 +119,7 @@ class _Counted:
 
     def __init__(self, tokens: pa.ListArray, stop: pa.Array):
         self.rows = max(1, len(tokens))
-        row, flat = _unigrams(tokens, stop)
-        coded = flat.dictionary_encode()
-        self.words, code = coded.dictionary, np.asarray(coded.indices).astype(np.int64)
+        row, code, self.words = _unigrams(tokens, stop)
         self.width = max(1, len(self.words))
         self.code, same = code, row[:-1] == row[1:]
         # row and term of every occurrence; first and second word of every pair
@@ -314,8 +311,8 @@ class Vocabulary:
 
     def weights(self, tokens: pa.ListArray, stop: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, term number and normalised weight of every known term of token lists, in order of row and number."""
-        row, flat = _unigrams(tokens, stop)
-        word = np.asarray(pc.fill_null(pc.index_in(flat, value_set=self.words), -1)).astype(np.int64)
+        row, code, words = _unigrams(tokens, stop)
+        word = np.asarray(pc.fill_null(pc.index_in(words, value_set=self.words), -1)).astype(np.int64)[code]
         alone = np.flatnonzero(word >= 0)
         alone = alone[self.single[word[alone]] >= 0]
         pair = np.flatnonzero((word[:-1] >= 0) & (word[1:] >= 0) & (row[:-1] == row[1:]))

@@ -235,7 +235,7 @@ def machine_workflow(spark, sf_dir):
     )
     scorer = score.recurrent_scorer(windows.fixed_weights(len(columns) + 3))
     decided = jobs.decide_all(
-        tables.feature_table(spark, sf_dir), scorer, 0.5, images, notes, catalog_text._index(spark, sf_dir), columns
+        tables.feature_table(spark, sf_dir), scorer, 0.5, images, notes, catalog_text._chunked(spark, sf_dir), columns
     )
     return decided.select(
         "machine_id", "priority", "recommendation", F.array_join("reasoning", " | ").alias("reasoning"),

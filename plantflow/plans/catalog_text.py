@@ -110,6 +110,11 @@ def _index(spark, sf_dir) -> retrieve.Index:
     return retrieve.build_index(pages, STOP, pattern=TOKEN)
 
 
+def _chunked(spark, sf_dir) -> retrieve.Chunked:
+    pages = readers.usable_pages(inputs.pages(spark, sf_dir))
+    return retrieve.chunked(pages, STOP, pattern=TOKEN)
+
+
 def _questions(spark, sf_dir):
     return inputs.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
 

@@ -78,3 +78,32 @@ def test_decisions_at_a_past_shift(spark, prepared):
     assert one.horizon_hours == one.horizon_shifts * 8 and one.recommended_scenario == max(one.scenarios, key=lambda s: (s.estimated_net_value_usd, -s.scenario_order)).scenario
     assert one.scenarios[1].description.startswith("Stop now for preventive maintenance (4.5h, ")
     assert one.scenarios[2].description == "Reduce production rate/load by 20% for the full horizon."
+
+
+def test_workflow_neither_indexes_pages_nor_counts_groups_of_every_table(spark, sf_dir, monkeypatch):
+    """One count of the events stands for all tables made from them, and few questions need no posting lists."""
+    from plantflow.operators import retrieve, skew
+    from plantflow.plans import catalog_jobs
+
+    def refused(*_, **__):
+        raise AssertionError("not for this query")
+
+    monkeypatch.setattr(retrieve, "build_index", refused)
+    monkeypatch.setattr(skew, "has_hot_group", refused)
+    rows = catalog_jobs.machine_workflow(spark, sf_dir).collect()
+    assert rows and all(r.steps == 7 and r.question for r in rows)
+
+
+def test_one_count_of_events_bounds_all_groups(spark, sf_dir, small_groups):
+    """Groups that may be too large are measured by each step, as before."""
+    from plantflow.plans import inputs as tables
+
+    assert tables.hot_groups(spark, sf_dir) is None
+    spark.conf.unset("spark.plantflow.maxGroupRows")
+    assert tables.hot_groups(spark, sf_dir) is False
+    most = max(
+        table(spark, sf_dir).groupBy("machine_id").count().agg(F.max("count")).first()[0]
+        for table in (inputs.sensor_raw, inputs.production_raw, inputs.maintenance_raw)
+    )
+    largest = inputs.table(spark, sf_dir, "events").groupBy("user_id").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * largest

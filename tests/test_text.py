@@ -263,6 +263,30 @@ def big_index(spark):
     return retrieve.build_index(readers.usable_pages(catalog_text.inputs.pages(spark, "/root/testdata/sf0.01")), shard_rows=1_000)
 
 
+@pytest.mark.parametrize(("k", "cut"), [(4, 0.05), (50, 0.0), (1, 0.4)])
+def test_chunks_without_lists_answer_as_the_index_does(spark, big_index, k, cut):
+    """Same chunks, ranks and scores from one reading of the chunks, in several Arrow batches a task."""
+    from plantflow.plans import catalog_text
+
+    text = retrieve.chunked(readers.usable_pages(catalog_text.inputs.pages(spark, "/root/testdata/sf0.01")))
+    asked = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").selectExpr("item_id as query_id", "text as question")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = [[tuple(r)[:6] + (round(r.score, 9),) for r in retrieve.retrieve(asked, x, k, cut).orderBy("query_id", "rank").collect()] for x in (text, big_index)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows[0]) > 20 and rows[0] == rows[1]
+
+
+def test_tokens_of_texts_that_touch():
+    """Runs end with their text, also where the next one goes on with a letter; short runs and empty texts are left out."""
+    texts = ["", "ab cd", "ef", "", "g", "hi!", None, "j kl", "m", "é12"]
+    expected = [re.findall("[a-z0-9]{2,}", t or "") for t in texts]
+    assert tx.cut(pa.array(texts), "[a-z0-9]{2,}").to_pylist() == expected
+    assert tx.cut(pa.array(texts).slice(2, 5), "[a-z0-9]{2,}").to_pylist() == expected[2:7]
+    assert tx.cut(pa.array([], pa.string()), "[a-z0-9]{2,}").to_pylist() == []
+
+
 def test_most_pairs_are_not_scored(spark, big_index):
     """The k best of every question, against all pairs; blocks whose bound is too low are left alone."""
     known = tx.Vocabulary.of(big_index.vocabulary)
