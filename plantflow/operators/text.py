@@ -374,62 +374,58 @@ def dense_rows(
 # --- chunks ---------------------------------------------------------------
 
 
-# A heading stands at the start of a line, blanks in front of it aside.
-_BLANK_IN_LINE = rf"[{fn.BLANK}&&[^\n]]*"
-_HEADING = r"Section[ \t\x0b\f\r]+\d+"
+# A heading stands at the start of a line, blanks in front of it aside. `str.split` and `str.rstrip` know the blanks of
+# `fn.BLANK`.
+_BLANK_IN_LINE = r"[\t\x0b\f\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+_HEADING = r"Section[ \t\x0b\f\r]+[0-9]+"
+_BEFORE_HEADING = re.compile(rf"\n(?={_BLANK_IN_LINE}{_HEADING})")
+_HEADING_LINE = re.compile(rf"{_BLANK_IN_LINE}({_HEADING}[^\n]*)")
+
+
+def _chunks_of(text: str, size: int, overlap: int) -> Iterator[tuple[int, str | None, str, int]]:
+    """Number, section, text and word count of the chunks of a page."""
+    words, headings = [], []
+    for part in _BEFORE_HEADING.split(text):
+        if line := _HEADING_LINE.match(part):
+            headings.append((len(words), line[1].rstrip()))
+        words += part.split()
+    above, section = 0, None
+    for at in range(-(-max(0, len(words) - size) // (size - overlap)) + 1 if words else 0):
+        start = at * (size - overlap)
+        own = words[start : start + size]
+        while above < len(headings) and headings[above][0] < start + len(own):
+            section, above = headings[above][1], above + 1
+        yield at + 1, section, " ".join(own), len(own)
 
 
 def chunk_pages(pages: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Overlapping word windows per page, each with its nearest preceding section heading.
 
-    `(document, page, chunk_no, chunk_id, section, text, word_count)`. A page is one row, and its chunks are made
-    inside that row: the text is cut before every heading line, the words of the parts are strung together, and only
-    the finished chunks leave the row. Work is proportional to the text, and nothing moves.
+    `(document, page, chunk_no, chunk_id, section, text, word_count)`. A page is one row, and its chunks are made from
+    that row alone: the text is cut before every heading line, the words of the parts are strung together, and only
+    the finished chunks go on, about PIECE_TOKENS words at once. Work is proportional to the text, and nothing moves.
     """
-    step = size - overlap
-    parts = F.split(F.col("text"), rf"\n(?={_BLANK_IN_LINE}{_HEADING})")
+    sound = F.when(F.is_valid_utf8("text"), F.col("text")).otherwise(F.get(F.split("text", "(?!)"), F.lit(0)))  # bad bytes replaced
+    rows = spread(pages.select("document", "page", "text")).withColumn("text", sound)
+    schema = T.StructType([*rows.schema.fields[:2], *T.StructType.fromDDL("chunk_no int, section string, text string, word_count int")])
+    kinds = [pa.int32(), pa.string(), pa.string(), pa.int32()]
 
-    def heading(part: Column) -> Column:
-        line = F.regexp_extract(part, rf"^{_BLANK_IN_LINE}({_HEADING}[^\n]*)", 1)
-        return F.when(line != "", F.regexp_replace(line, rf"{fn.BLANK}+$", ""))
-
-    read = F.transform(parts, lambda part: F.struct(fn.words(part).alias("words"), heading(part).alias("line")))
-    nothing = F.array().cast("array<struct<at:int,line:string>>")
-
-    def headings(read: Column) -> Column:
-        """Word number at which each heading stands, and the heading."""
-        begin = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-
-        def after(s: Column, part: Column) -> Column:
-            here = F.array(F.struct(s["at"].alias("at"), part["line"].alias("line")))
-            found = F.when(part["line"].isNotNull(), F.concat(s["found"], here)).otherwise(s["found"])
-            return F.struct((s["at"] + F.size(part["words"])).alias("at"), found.alias("found"))
-
-        return F.aggregate(read, begin, after, lambda s: s["found"])
-
-    def page_of(read: Column) -> Column:
-        words = F.flatten(F.transform(read, lambda part: part["words"]))
-        return F.struct(words.alias("words"), headings(read).alias("headings"))
-
-    def chunks(page: Column) -> Column:
-        n = F.size(page["words"])
-
-        def chunk(at: Column) -> Column:
-            start = at * step
-            count = F.least(F.lit(size), n - start)
-            above = F.filter(page["headings"], lambda h: h["at"] < start + count)
-            return F.struct(
-                (at + 1).alias("chunk_no"),
-                F.try_element_at(above, F.lit(-1))["line"].alias("section"),
-                F.array_join(F.slice(page["words"], start + 1, count), " ").alias("text"),
-                count.alias("word_count"),
-            )
-
-        last = F.greatest(F.lit(0), F.ceil((n - size) / step).cast("int"))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0), last), chunk))
+    def run(batches):
+        for batch in batches:
+            row, made, held = [], [], 0
+            for i, text in enumerate(batch["text"]):
+                own = list(_chunks_of(text.as_py(), size, overlap)) if text.is_valid else []
+                row += [i] * len(own)
+                made += own
+                held += sum(chunk[3] for chunk in own)
+                if held > PIECE_TOKENS or (made and i == batch.num_rows - 1):
+                    places = pa.array(row)
+                    columns = [pa.array(values, kind) for values, kind in zip(zip(*made), kinds)]
+                    yield pa.RecordBatch.from_arrays([batch["document"].take(places), batch["page"].take(places), *columns], schema.names)
+                    row, made, held = [], [], 0
 
-    made = spread(pages.select("document", "page", "text")).select("document", "page", F.inline(fn.bound(fn.bound(read, page_of), chunks)))
     number = F.concat_ws(":", "document", "page", "chunk_no")
+    made = rows.mapInArrow(run, schema)
     return made.select("document", "page", "chunk_no", number.alias("chunk_id"), "section", "text", "word_count")
 
 

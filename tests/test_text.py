@@ -278,6 +278,26 @@ def test_chunks_without_lists_answer_as_the_index_does(spark, big_index, k, cut)
     assert len(rows[0]) > 20 and rows[0] == rows[1]
 
 
+def test_chunks_are_made_in_arrow_batches(spark):
+    """Blanks, heading lines and bad bytes of any kind; a page's chunks are not made by nested row expressions."""
+    texts = ["a\u2003b\x1cc\u200bd", "Section 1: x \u3000\nb\n\u00a0Section\t2 y\nc", "Section \u0663 a\nSectional 4", "", " \n", None]
+    page = spark.createDataFrame([(f"d{i}", i, t) for i, t in enumerate(texts)], "document string, page int, text string")
+    bad = spark.sql("SELECT 'e' AS document, 9 AS page, cast(X'61FF20EDA08062' AS string) AS text")
+    made = tx.chunk_pages(page.unionByName(bad), size=3, overlap=1)
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
+    got = [(r.chunk_id, r.section, r.text, r.word_count) for r in made.orderBy("document", "chunk_no").collect()]
+    assert got == [
+        ("d0:0:1", None, "a b c\u200bd", 3),
+        ("d1:1:1", "Section 1: x", "Section 1: x", 3),
+        ("d1:1:2", "Section\t2 y", "x b Section", 3),
+        ("d1:1:3", "Section\t2 y", "Section 2 y", 3),
+        ("d1:1:4", "Section\t2 y", "y c", 2),
+        ("d2:2:1", None, "Section \u0663 a", 3),
+        ("d2:2:2", None, "a Sectional 4", 3),
+        ("e:9:1", None, "a\ufffd \ufffdb", 2),
+    ]
+
+
 def test_tokens_of_texts_that_touch():
     """Runs end with their text, also where the next one goes on with a letter; short runs and empty texts are left out."""
     texts = ["", "ab cd", "ef", "", "g", "hi!", None, "j kl", "m", "é12"]
