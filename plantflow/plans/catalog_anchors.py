@@ -229,6 +229,5 @@ def page_files(spark, sf_dir):
     documents = inputs.table(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
     pages = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "text"))), lambda p: p["text"])
     files = documents.groupBy("source", F.floor(F.col("doc_id") / 50).alias("part")).agg(F.array_join(pages, "\f").alias("value"))
-    sinks.write_text_files(files.select("value"), folder, "\f")
-    found = readers.read_page_files(spark, folder)
-    return found.select("page", F.md5(F.col("text").cast("binary")).alias("digest"))
+    sinks.write_text_files(files.select("value"), folder, "\f", folders=True)
+    return readers.read_page_files(spark, folder, ["page", F.md5(F.col("text").cast("binary")).alias("digest")])

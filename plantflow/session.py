@@ -19,6 +19,10 @@ BROADCAST_ROWS_DEFAULT = 200_000
 BROADCAST_BYTES_CONF = "spark.plantflow.maxBroadcastBytes"
 BROADCAST_BYTES_DEFAULT = 64 << 20
 
+# Number of files up to which the driver lists them at once.
+FILES_AT_ONCE_CONF = "spark.plantflow.maxFilesAtOnce"
+FILES_AT_ONCE_DEFAULT = 10_000
+
 
 def build_session(app: str = "plantflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on: UTC, ANSI casts and adaptive plans."""
@@ -49,6 +53,10 @@ def broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_DEFAULT)))
 
 
+def files_at_once(spark: SparkSession) -> int:
+    return int(spark.conf.get(FILES_AT_ONCE_CONF, str(FILES_AT_ONCE_DEFAULT)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, named by the cluster in `spark.checkpoint.dir`.
 

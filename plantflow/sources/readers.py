@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plantflow.functions import columns as fn
 from plantflow.session import durable
-from plantflow.sources import ranges, schema as sc
+from plantflow.sources import folders, ranges, schema as sc
 from plantflow.sources.sinks import path_exists
 
 # File names of the raw tables in a raw folder.
@@ -117,31 +117,39 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("text").rlike(fn.NOT_BLANK))
 
 
-def _page_file_bytes(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
-    return files.select("path", F.col("content").cast("string").alias("content"))
+def _page_file_bytes(spark: SparkSession, block: folders.Block) -> DataFrame:
+    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(block.paths)
+    name = F.array_join(F.slice(F.split("path", "/"), -block.depth, block.depth), "/")
+    return files.select(name.alias("document"), F.col("content").cast("string").alias("content"))
 
 
-def read_page_files(spark: SparkSession, path: str) -> DataFrame:
+def read_page_files(spark: SparkSession, path: str, columns: Sequence[Column | str] = ("document", "page", "text")) -> DataFrame:
     """Page text from text files, one file per document, pages separated by form feeds.
 
-    Files that are not text (see `unreadable_page_files`) are skipped; it is an error if nothing usable is left.
+    A file in a folder `key=value` below is named with that folder. Files that are not text (see `unreadable_page_files`)
+    are skipped; it is an error if nothing usable is left. If there are more files than the driver lists at once, what is
+    read is stored (`folders`): then `columns`, made of document, page and text, says what is needed of each page.
     """
-    files = _page_file_bytes(spark, path).filter(F.is_valid_utf8("content"))
-    numbered = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("document"), F.posexplode(F.split("content", "\f")).alias("page", "text")
-    )
-    pages = usable_pages(numbered.withColumn("page", F.col("page") + 1))
-    if not pages.select("page").head(1):  # reads on only until a page is found
+
+    def read(session: SparkSession, block: folders.Block) -> DataFrame:
+        files = _page_file_bytes(session, block).filter(F.is_valid_utf8("content"))
+        numbered = files.select("document", F.posexplode(F.split("content", "\f")).alias("page", "text"))
+        return usable_pages(numbered.withColumn("page", F.col("page") + 1)).select(*columns)
+
+    pages = folders.read_blocks(spark, path, read)
+    if not pages.select(F.lit(1)).head(1):  # reads on only until a page is found
         raise ValueError(f"no document in {path} has usable text")
     return pages
 
 
 def unreadable_page_files(spark: SparkSession, path: str) -> DataFrame:
     """Every file that `read_page_files` leaves out, with the reason: not text in UTF-8, or without any text."""
-    files = _page_file_bytes(spark, path)
     reason = F.when(~F.is_valid_utf8("content"), "not text in UTF-8").when(~F.col("content").rlike(fn.NOT_BLANK), "no text")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("document"), reason.alias("reason")).filter("reason IS NOT NULL")
+
+    def read(session: SparkSession, block: folders.Block) -> DataFrame:
+        return _page_file_bytes(session, block).select("document", reason.alias("reason")).filter("reason IS NOT NULL")
+
+    return folders.read_blocks(spark, path, read)
 
 
 def labelled_assets(metadata: DataFrame, split: str | None = None) -> DataFrame:

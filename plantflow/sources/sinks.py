@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from plantflow.session import files_at_once
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
@@ -30,13 +32,21 @@ def write_splits(df: DataFrame, path: str) -> None:
     write_table(df, path, "split")
 
 
-def write_text_files(texts: DataFrame, path: str, end: str = "\n") -> None:
+def write_text_files(texts: DataFrame, path: str, end: str = "\n", folders: bool = False) -> None:
     """Every row of a one-column table as a text file of its own, all in one folder that does not exist yet.
 
-    Tasks move their own files into place; the driver would move them one by one.
+    Tasks move their own files into place; the driver would move them one by one. With `folders` each task deals its
+    files to folders below, named `folder=…`, of as many files as the driver lists at once; these are moved whole.
     """
+    if folders:
+        number = F.monotonically_increasing_id()  # the task, and in the lower 33 bits the row
+        part = F.floor(number.bitwiseAND((1 << 33) - 1) / files_at_once(texts.sparkSession))
+        texts = texts.withColumn("folder", F.concat_ws("-", F.shiftright(number, 33), part))
     writer = texts.write.option("maxRecordsPerFile", 1).option("lineSep", end)
-    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+    if folders:
+        writer.partitionBy("folder").text(path)
+    else:
+        writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:

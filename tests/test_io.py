@@ -1,4 +1,5 @@
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 from plantflow.config import CHANNELS
 from plantflow.operators import evaluate, integrate, quality
 from plantflow.plans import inputs as tables
-from plantflow.sources import readers, schema, sinks, star_inputs as inputs
+from plantflow.session import FILES_AT_ONCE_CONF
+from plantflow.sources import folders, readers, schema, sinks, star_inputs as inputs
 from plantflow.streaming import shifts
+from tests import compare
 
 
 def test_raw_csv_is_typed_and_validated(spark, sf_dir, tmp_path):
@@ -73,6 +76,50 @@ def test_text_files_lie_in_one_folder_one_a_row(spark, tmp_path):
     assert sorted((r.page, r.text) for r in pages) == sorted((n, f"{t} {i}") for n, t in ((1, "first"), (2, "second")) for i in range(40))
 
 
+@pytest.fixture
+def few_files(spark):
+    """Let the driver list no more than ten files at once."""
+    spark.conf.set(FILES_AT_ONCE_CONF, "10")
+    yield 10
+    spark.conf.unset(FILES_AT_ONCE_CONF)
+
+
+def test_the_driver_holds_few_page_files_at_a_time(spark, tmp_path, few_files):
+    texts = spark.createDataFrame([(f"first {i}\f \fthird {i}",) for i in range(64)], "value string").repartition(3)
+    sinks.write_text_files(texts, str(tmp_path / "files"), "\f", folders=True)
+    assert max(len(list(f.glob("part-*"))) for f in (tmp_path / "files").glob("folder=*")) == few_files
+    (tmp_path / "files/folder=0-0/odd.txt").write_bytes(b"\xff\xfe\x00bad")
+    lists = [[len(list(Path(p.removeprefix("file:")).glob("*.txt"))) for p in block.paths] for block in folders.blocks(spark, str(tmp_path / "files"))]
+    assert sum(map(sum, lists)) == 65 and all(sum(n) <= few_files or len(n) == 1 for n in lists)
+
+    pages = readers.read_page_files(spark, str(tmp_path / "files"))
+    assert "binaryFile" not in pages._jdf.queryExecution().toString()  # no plan is left that lists every file
+    rows = pages.collect()
+    assert len({r.document for r in rows}) == 64
+    assert sorted((r.page, r.text) for r in rows) == sorted((n, f"{t} {i}") for n, t in ((1, "first"), (3, "third")) for i in range(64))
+    assert [tuple(r) for r in readers.unreadable_page_files(spark, str(tmp_path / "files")).collect()] == [("folder=0-0/odd.txt", "not text in UTF-8")]
+    assert all(spark.conf.get(k) != v for k, v in folders.SMALL_FILES.items())
+
+
+def test_page_files_in_many_folders_without_text_are_an_error(spark, tmp_path, few_files):
+    for i in range(24):
+        (tmp_path / f"of={i % 4}").mkdir(exist_ok=True)
+        (tmp_path / f"of={i % 4}/{i}.txt").write_text(" \f")
+    assert len(list(folders.blocks(spark, str(tmp_path)))) == 4
+    with pytest.raises(ValueError):
+        readers.read_page_files(spark, str(tmp_path))
+    (tmp_path / "of=3/23.txt").write_text("page")
+    assert [tuple(r) for r in readers.read_page_files(spark, str(tmp_path / "of=*"), ["page", "text"]).collect()] == [(1, "page")]
+
+
+def test_page_files_query_leaves_no_list_of_files(spark, sf_dir, few_files):
+    from plantflow.plans import catalog
+
+    pages = catalog.QUERIES["page_files"](spark, sf_dir)
+    assert "binaryFile" not in pages._jdf.queryExecution().toString()
+    assert compare.difference(compare.spark_rows(pages), compare.sql_rows(compare.duck(sf_dir), catalog.SQL["page_files"])) is None
+
+
 def test_labelled_assets(spark):
     df = spark.createDataFrame([("a", "normal", "train"), ("b", "defect", "test"), ("c", "odd", "train")], "image_path string, label string, split string")
     assert {r.image_path: r.label_code for r in readers.labelled_assets(df, "train").collect()} == {"a": 0, "c": None}
